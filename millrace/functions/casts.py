@@ -11,10 +11,8 @@ from pyspark.sql import types as T
 from millrace.config import ColumnMap
 
 # The characters a unicode-aware strip removes.
-WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
-    "           "
-    "    　"
+WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B))
 )
 
 # Words accepted as booleans.
