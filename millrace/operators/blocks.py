@@ -38,19 +38,29 @@ def _part(chunk_rows: int) -> Column:
 def attach(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """Inner join of rows to one record per key, safe for a key that holds most rows.
 
-    The record is repeated once per part of the key that really has rows, so
-    every join group is at most ``chunk_rows`` long.  A lookup that turns out
-    small is broadcast by the optimizer on its own size estimate.
+    The record is repeated once per part of the key that has rows, so every
+    join group is at most ``chunk_rows`` long.  Where the lookup knows its row
+    range (``_from``, ``_to``) the parts follow from that, else the rows are
+    asked.  A lookup that turns out small is broadcast by the optimizer on its
+    own size estimate.
     """
     parted = rows.withColumn("_part", _part(chunk_rows))
-    spread = parted.select(*keys, "_part").distinct().join(lookup, list(keys))
+    if "_from" in lookup.columns:
+        first, last = (F.floor(F.col(c) / chunk_rows).cast("long") for c in ("_from", "_to"))
+        spread = lookup.withColumn("_part", F.explode(F.sequence(first, last))).drop("_from", "_to")
+    else:
+        spread = parted.select(*keys, "_part").distinct().join(lookup, list(keys))
     return parted.join(spread, [*keys, "_part"]).drop("_part")
 
 
-def number_blocks(grid: DataFrame, marker: str, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+def number_blocks(
+    grid: DataFrame, marker: str, *, sized: bool = True, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
     """Split files into blocks at rows whose first cell starts with ``marker`` (any case).
 
     Rows before a file's first marker belong to no block and are left out.
+    Without ``sized`` the rows carry their file's end instead of their block's
+    size, which spares a sort.
     """
     starts = F.upper(cell(0)).startswith(marker.upper())
     parted = grid.withColumn("_part", _part(chunk_rows)).withColumn("_start", F.when(starts, F.col("row_no")))
@@ -61,33 +71,37 @@ def number_blocks(grid: DataFrame, marker: str, chunk_rows: int = CHUNK_ROWS) ->
         F.max("_start").alias("_last"),
         F.max("row_no").alias("_end"),
     )
-    by_file = Window.partitionBy("source_file").orderBy("_part")
-    earlier = by_file.rowsBetween(Window.unboundedPreceding, -1)
-    later = by_file.rowsBetween(1, Window.unboundedFollowing)
+    # What follows is found by running backwards: a frame that reaches to the
+    # end of its group would be evaluated anew for every row.
+    by_file = Window.partitionBy("source_file")
+    earlier = by_file.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    later = by_file.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)
     carry = summary.select(
         "source_file",
         "_part",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_blocks_before"),
         F.max("_last").over(earlier).alias("_start_before"),
         F.min("_first").over(later).alias("_start_after"),
-        (F.max("_end").over(Window.partitionBy("source_file")) + 1).alias("_file_end"),
+        (F.max("_end").over(by_file) + 1).alias("file_end"),
     )
 
-    by_part = Window.partitionBy("source_file", "_part").orderBy("row_no")
-    upto = by_part.rowsBetween(Window.unboundedPreceding, 0)
-    after = by_part.rowsBetween(1, Window.unboundedFollowing)
-    placed = parted.join(carry, ["source_file", "_part"]).select(
-        *grid.columns,
-        (F.col("_blocks_before") + F.count("_start").over(upto)).alias("block_id"),
-        F.coalesce(F.max("_start").over(upto), F.col("_start_before")).alias("_from"),
-        F.coalesce(F.min("_start").over(after), F.col("_start_after"), F.col("_file_end")).alias("_to"),
-    )
-    return placed.where(F.col("block_id") > 0).select(
-        *grid.columns,
-        "block_id",
-        (F.col("row_no") - F.col("_from")).alias("block_row"),
-        (F.col("_to") - F.col("_from")).alias("block_size"),
+    by_part = Window.partitionBy("source_file", "_part")
+    upto = by_part.orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
+    placed = parted.join(carry, ["source_file", "_part"]).withColumns(
+        {
+            "block_id": F.col("_blocks_before") + F.count("_start").over(upto),
+            "_from": F.coalesce(F.max("_start").over(upto), F.col("_start_before")),
+        }
     )
+    place = ["block_id", (F.col("row_no") - F.col("_from")).alias("block_row")]
+    if sized:
+        after = by_part.orderBy(F.desc("row_no")).rowsBetween(Window.unboundedPreceding, -1)
+        end = F.coalesce(F.min("_start").over(after), F.col("_start_after"), F.col("file_end"))
+        placed = placed.withColumn("_to", end)
+        place.append((F.col("_to") - F.col("_from")).alias("block_size"))
+    else:
+        place.append("file_end")
+    return placed.where(F.col("block_id") > 0).select(*grid.columns, *place)
 
 
 def whole_file(grid: DataFrame) -> DataFrame:
@@ -132,6 +146,17 @@ def _numbered_names(cells: Column) -> Column:
     return F.transform(cells, name)
 
 
+def _header_of(cells: Column) -> list[Column]:
+    """Names, their positions and the length of a header given as cells."""
+    named = _numbered_names(cells)
+    at = F.filter(F.transform(named, lambda n, i: F.when(n.isNotNull(), i)), lambda i: i.isNotNull())
+    return [
+        F.filter(named, lambda n: n.isNotNull()).alias("names"),
+        at.alias("positions"),
+        F.coalesce(F.array_max(at) + 1, F.lit(0)).alias("header_size"),
+    ]
+
+
 def expand_header(
     grid: DataFrame,
     header_row: int,
@@ -146,18 +171,7 @@ def expand_header(
     moves all names one cell to the right, behind the label.
     """
     cells = F.col("cells") if names is None else names
-    header = (
-        grid.where(F.col("block_row") == header_row)
-        .select(*BLOCK, _numbered_names(cells).alias("_all"))
-        .select(
-            *BLOCK,
-            F.filter("_all", lambda n: n.isNotNull()).alias("names"),
-            F.filter(
-                F.transform("_all", lambda n, i: F.when(n.isNotNull(), i)), lambda i: i.isNotNull()
-            ).alias("positions"),
-        )
-        .withColumn("header_size", F.coalesce(F.array_max("positions") + 1, F.lit(0)))
-    )
+    header = grid.where(F.col("block_row") == header_row).select(*BLOCK, *_header_of(cells))
     if shift_label is None:
         return header
     first = grid.where(F.col("block_row") == header_row + 1).select(*BLOCK, F.col("_fields").alias("_first"))
@@ -172,6 +186,56 @@ def expand_header(
     )
 
 
+def last_entries(entries: Column) -> Column:
+    """Entries with a key, without those whose key comes again later."""
+    keyed = F.filter(entries, lambda e: e["key"].isNotNull())
+    return F.filter(
+        keyed,
+        lambda e, i: ~F.exists(F.slice(keyed, i + 2, F.size(keyed)), lambda later: later["key"] == e["key"]),
+    )
+
+
+def block_heads(
+    blocks: DataFrame,
+    header_row: int,
+    sections: Sequence[tuple[Column, Column]],
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """Header and metrics of every block in one pass over its few special rows.
+
+    ``sections`` are (condition, entries) pairs, each naming a fixed number of
+    rows per block; later sections and rows overwrite earlier keys.  With
+    ``columns`` other keys are dropped before anything is exchanged.
+    """
+    special = F.col("block_row") == header_row
+    lists = []
+    for n, (holds, entries) in enumerate(sections):
+        special = special | holds
+        wanted = entries if columns is None else F.filter(entries, lambda e: e["key"].isin(list(columns)))
+        lists.append(
+            F.sort_array(F.collect_list(F.when(holds, F.struct("row_no", wanted.alias("entries"))))).alias(f"_s{n}")
+        )
+    sized = "block_size" in blocks.columns
+    end = F.col("row_no") - F.col("block_row") + F.col("block_size") if sized else F.col("file_end")
+    heads = blocks.where(special).groupBy(*BLOCK).agg(
+        F.max(F.when(F.col("block_row") == header_row, F.col("cells"))).alias("_header"),
+        F.min(F.col("row_no") - F.col("block_row")).alias("_from"),
+        F.max(end).alias("_end"),
+        *lists,
+    )
+    following = F.lead("_from").over(Window.partitionBy("source_file").orderBy("block_id"))
+    heads = heads.withColumn("_to", F.coalesce(following, F.col("_end")) - 1)
+    entries = F.flatten(F.concat(*[F.transform(f"_s{n}", lambda r: r["entries"]) for n in range(len(sections))]))
+    return (
+        heads.where(F.col("_header").isNotNull())
+        .withColumn("_entries", entries)
+        .select(
+            *BLOCK, *_header_of(F.col("_header")), "_from", "_to",
+            F.map_from_entries(last_entries(F.col("_entries"))).alias("metrics"),
+        )
+    )
+
+
 def discover_columns(lookup: DataFrame, with_metrics: bool) -> list[str]:
     """Union of all header names and metric keys, headers first. Runs a job over headers only."""
     named = lookup.select(F.posexplode("names").alias("at", "name")).select(F.lit(0).alias("kind"), "at", "name")
@@ -192,23 +256,27 @@ def promote_header(
     *,
     columns: Sequence[str] | None = None,
     metrics: DataFrame | None = None,
-    header: DataFrame | None = None,
+    lookup: DataFrame | None = None,
     data: Column | None = None,
     row_filter: Callable[[Column], Column] | None = None,
     keep: Sequence[str] = ("source_file",),
 ) -> DataFrame:
     """Name the cells below a header row and spread block metrics over the rows.
 
-    A metric replaces a table column of the same name.  With ``columns`` the
+    ``lookup`` is a prepared header (:func:`expand_header`) or header with
+    metrics (:func:`block_heads`).  A metric replaces a table column of the same
+    name.  With ``columns`` the
     plan stays lazy; without, one job over the headers finds their names.
     Columns a block does not have are NULL.
     """
-    lookup = expand_header(grid, header_row) if header is None else header
+    if lookup is None:
+        lookup = expand_header(grid, header_row)
     if metrics is not None:
         lookup = lookup.join(metrics, BLOCK, "left").withColumn(
             "metrics", F.coalesce("metrics", F.create_map().cast("map<string,string>"))
         )
-    wanted = list(columns) if columns is not None else discover_columns(lookup, metrics is not None)
+    with_metrics = "metrics" in lookup.columns
+    wanted = list(columns) if columns is not None else discover_columns(lookup, with_metrics)
 
     want = F.array(*[F.lit(n) for n in wanted]) if wanted else F.array().cast("array<string>")
     slim = [
@@ -216,7 +284,9 @@ def promote_header(
         "header_size",
         F.transform(want, lambda n: F.get("positions", F.array_position("names", n).cast("int") - 1)).alias("_at"),
     ]
-    if metrics is not None:
+    if "_from" in lookup.columns:
+        slim += ["_from", "_to"]
+    if with_metrics:
         slim.append(F.transform(want, lambda n: F.map_contains_key(F.col("metrics"), n)).alias("_has"))
         slim.append(F.transform(want, lambda n: F.col("metrics")[n]).alias("_value"))
     body = grid.where(F.col("block_row") > header_row if data is None else data)
@@ -226,7 +296,7 @@ def promote_header(
 
     def output(k: int) -> Column:
         here = F.get("cells", F.get("_at", F.lit(k)))
-        if metrics is None:
+        if not with_metrics:
             return here
         return F.when(F.get("_has", F.lit(k)), F.get("_value", F.lit(k))).otherwise(here)
 

@@ -16,6 +16,7 @@ from millrace.operators.blocks import (
     TOTAL_LABELS,
     attach,
     blank_to_null,
+    block_heads,
     cell,
     drop_empty_columns,
     drop_empty_rows,
@@ -38,8 +39,8 @@ def _entry(key: Column, value: Column) -> Column:
     return F.struct(key.alias("key"), value.alias("value"))
 
 
-def _blocked(grid: DataFrame, marker: str, staged: bool) -> DataFrame:
-    blocks = number_blocks(grid, marker)
+def _blocked(grid: DataFrame, marker: str, staged: bool, sized: bool) -> DataFrame:
+    blocks = number_blocks(grid, marker, sized=sized)
     return stage(blocks, "blocks") if staged else blocks
 
 
@@ -50,21 +51,21 @@ PCF_HEAD_CELLS = {"SS_LONG_CODE": 2, "FULL_NAME": 4, "TICKER_1": 5, "TICKER_2":
 PCF_HEADER_ROW = 8
 
 
-def pcf_metrics(blocks: DataFrame) -> DataFrame:
-    """Key/value pairs in the eight head rows of a basket block."""
+def pcf_heads(blocks: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Header row, and the key/value pairs of the eight rows above it."""
     first = F.array(
         _entry(cell(0), cell(1)),
         *[_entry(F.lit(name), cell(at)) for name, at in PCF_HEAD_CELLS.items()],
         _entry(cell(8), cell(9)),
     )
     entries = F.when(F.col("block_row") == 0, first).otherwise(pairs(F.col("cells")))
-    return metrics_map(key_values(blocks.where(F.col("block_row") < PCF_HEADER_ROW), entries))
+    return block_heads(blocks, PCF_HEADER_ROW, [(F.col("block_row") < PCF_HEADER_ROW, entries)], columns)
 
 
 def pcf_report(grid: DataFrame, columns: Sequence[str] | None = None, staged: bool = False) -> DataFrame:
     """Basket report: holdings below the header row, head metrics on every holding."""
-    blocks = _blocked(grid, PCF_MARKER, staged)
-    return promote_header(blocks, PCF_HEADER_ROW, columns=columns, metrics=pcf_metrics(blocks))
+    blocks = _blocked(grid, PCF_MARKER, staged, sized=False)
+    return promote_header(blocks, PCF_HEADER_ROW, columns=columns, lookup=pcf_heads(blocks, columns))
 
 
 # Fixed values of the order layout: width, block marker, header row, tail length, two special cells.
@@ -76,33 +77,29 @@ UCF_ORDER_TYPE_CELL = (6, 0)
 UCF_BROKER_CELL = (3, 2)
 
 
-def ucf_metrics(blocks: DataFrame) -> DataFrame:
-    """Pairs in the seven head rows and the last sixteen rows of an order block."""
+def ucf_heads(blocks: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Header row, and the pairs of the seven rows above it and of the last sixteen."""
     row = F.col("block_row")
-    in_head = row < UCF_HEADER_ROW
-    in_tail = row >= F.col("block_size") - UCF_TAIL_ROWS
     type_row, type_col = UCF_ORDER_TYPE_CELL
     broker_row, broker_col = UCF_BROKER_CELL
-    none = F.array().cast("array<struct<key:string,value:string>>")
-
-    unbrokered = F.transform(
-        "cells", lambda c, i: F.when(~((row == broker_row) & (i == broker_col)), c)
-    )
-    named = (
+    unbrokered = F.transform("cells", lambda c, i: F.when(~((row == broker_row) & (i == broker_col)), c))
+    head = (
         F.when(row == type_row, F.array(_entry(F.lit("ORDER_TYPE"), cell(type_col))))
-        .when(row == broker_row, F.array(_entry(F.lit("BROKER_NAME"), cell(broker_col))))
-        .otherwise(none)
+        .when(row == broker_row, F.concat(F.array(_entry(F.lit("BROKER_NAME"), cell(broker_col))), pairs(unbrokered)))
+        .otherwise(pairs(F.col("cells")))
     )
-    head = F.when(in_head, F.concat(named, F.when(row != type_row, pairs(unbrokered)).otherwise(none))).otherwise(none)
-    tail = F.when(in_tail, pairs(F.col("cells"))).otherwise(none)
-    return metrics_map(key_values(blocks.where(in_head | in_tail), F.concat(head, tail)))
+    sections = [
+        (row < UCF_HEADER_ROW, head),
+        (row >= F.col("block_size") - UCF_TAIL_ROWS, pairs(F.col("cells"))),
+    ]
+    return block_heads(blocks, UCF_HEADER_ROW, sections, columns)
 
 
 def ucf_report(grid: DataFrame, columns: Sequence[str] | None = None, staged: bool = False) -> DataFrame:
     """Order report: holdings between the header row and the tail, metrics on every holding."""
-    blocks = _blocked(grid, UCF_MARKER, staged)
+    blocks = _blocked(grid, UCF_MARKER, staged, sized=True)
     body = (F.col("block_row") > UCF_HEADER_ROW) & (F.col("block_row") < F.col("block_size") - UCF_TAIL_ROWS)
-    return promote_header(blocks, UCF_HEADER_ROW, columns=columns, metrics=ucf_metrics(blocks), data=body)
+    return promote_header(blocks, UCF_HEADER_ROW, columns=columns, lookup=ucf_heads(blocks, columns), data=body)
 
 
 def _single_metric_report(
@@ -135,7 +132,7 @@ def nbf_report(grid: DataFrame, columns: Sequence[str] | None = None) -> DataFra
         .otherwise(F.replace(c, F.lit("."), F.lit("/"))),
     )
     table = promote_header(
-        sheet, 0, columns=columns, header=expand_header(sheet, 0, names=names), data=F.col("block_row") >= 2
+        sheet, 0, columns=columns, lookup=expand_header(sheet, 0, names=names), data=F.col("block_row") >= 2
     )
     body = [c for c in table.columns if c != "source_file"]
     table = drop_empty_rows(blank_to_null(table, body), body)
@@ -174,8 +171,8 @@ __all__ = [
     "bmo_report",
     "cil_report",
     "nbf_report",
-    "pcf_metrics",
+    "pcf_heads",
     "pcf_report",
-    "ucf_metrics",
+    "ucf_heads",
     "ucf_report",
 ]

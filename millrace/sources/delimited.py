@@ -104,9 +104,9 @@ def scan_header_shift(
     its first data row; further rows that are too long are dropped.
     """
     grid = whole_file(_with_field_count(fixed_grid(spark, paths, width, long_rows="keep", **options)))
-    header = expand_header(grid, 0, shift_label=label)
+    lookup = expand_header(grid, 0, shift_label=label)
     return promote_header(
-        grid, 0, columns=columns, header=header, row_filter=lambda header_size: F.col("_fields") <= header_size
+        grid, 0, columns=columns, lookup=lookup, row_filter=lambda header_size: F.col("_fields") <= header_size
     )
 
 

@@ -14,9 +14,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, tuple[Query, str | None]]:
-    from millrace.workload import cleaning, dedup, grids, scans, transforms, upserts
+    from millrace.workload import bronze, cleaning, dedup, files, grids, scans, transforms, upserts
 
-    families = (cleaning, transforms, dedup, upserts, grids, scans)
+    families = (cleaning, transforms, dedup, upserts, grids, scans, files, bronze)
     merged: dict[str, tuple[Query, str | None]] = {}
     for family in families:
         for name, entry in family.QUERIES.items():

@@ -49,34 +49,35 @@ def numbered(df: DataFrame, key: str, spread: str) -> DataFrame:
     )
 
 
-def order_grid(
+def supplier_grid(
     spark: SparkSession,
     folder: str,
     head: Sequence[Column],
     line: Column,
     tail: Sequence[Column] = (),
 ) -> DataFrame:
-    """One block per order, a few orders per file, one stray row at the top of each file."""
+    """One block per supplier, a few suppliers per file, one stray row at the top of each file."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount"
     )
-    counts = lines.groupBy("l_orderkey").agg(F.count("*").alias("n"))
+    counts = lines.groupBy("l_suppkey").agg(F.count("*").alias("n"))
     size = F.lit(len(head) + len(tail)) + F.coalesce(F.col("n"), F.lit(0))
-    file = F.concat(F.lit("report_"), F.floor(F.col("o_orderkey") / PER_FILE).cast("string"))
-    in_file = Window.partitionBy("source_file").orderBy("o_orderkey").rowsBetween(Window.unboundedPreceding, -1)
+    file = F.concat(F.lit("report_"), F.floor(F.col("s_suppkey") / PER_FILE).cast("string"))
+    in_file = Window.partitionBy("source_file").orderBy("s_suppkey").rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
-        table(spark, folder, "orders")
-        .join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .drop("l_orderkey")
+        table(spark, folder, "supplier")
+        .join(counts, F.col("s_suppkey") == F.col("l_suppkey"), "left")
+        .drop("l_suppkey")
         .select("*", file.alias("source_file"), size.alias("size"))
         .withColumn("start", F.coalesce(F.sum("size").over(in_file), F.lit(0)) + 1)
     )
     width = len(line_width(head))
-    stray = blocks.where("start = 1").select("source_file", F.lit(0).cast("long").alias("row_no"), padded(width, "stray").alias("cells"))
+    first = blocks.where("start = 1")
+    stray = first.select("source_file", F.lit(0).cast("long").alias("row_no"), padded(width, "stray").alias("cells"))
     tops = blocks.select("source_file", "start", F.posexplode(F.array(*head)).alias("at", "cells"))
     tops = tops.select("source_file", (F.col("start") + F.col("at")).alias("row_no"), "cells")
-    body = numbered(lines, "l_orderkey", "l_partkey").join(
-        blocks.select("o_orderkey", "source_file", "start"), F.col("l_orderkey") == F.col("o_orderkey")
+    body = numbered(lines, "l_suppkey", "l_partkey").join(
+        blocks.select("s_suppkey", "source_file", "start"), F.col("l_suppkey") == F.col("s_suppkey")
     )
     body = body.select("source_file", (F.col("start") + len(head) + F.col("seq")).alias("row_no"), line.alias("cells"))
     grid = stray.unionByName(tops).unionByName(body)
@@ -93,47 +94,49 @@ def line_width(head: Sequence[Column]) -> range:
 
 def pcf_grid(spark: SparkSession, folder: str) -> DataFrame:
     w = reports.PCF_WIDTH
-    key = text("o_orderkey")
+    key = text("s_suppkey")
+    twelve = [c for n in range(1, 13) for c in (f"K{n}", str(n))]
     head = [
         padded(
-            w, "Trade_Date", F.date_format("o_orderdate", "yyyyMMdd"), F.concat(key, F.lit("-L")), None, "Fund, A",
-            F.concat(F.lit("T"), key), None, "CAD", "NAV", F.col("o_totalprice"),
+            w, "Trade_Date", "20240131", F.concat(key, F.lit("-L")), None, "Fund, A", F.concat(F.lit("T"), key), None,
+            "CAD", "NAV", F.col("s_acctbal"),
         ),
-        padded(w, "STATUS", "old", "CUSTOMER", F.col("o_custkey")),
-        padded(w, None, "no key", "PRIORITY", F.col("o_orderpriority")),
+        padded(w, "STATUS", "old", "NATION", F.col("s_nationkey")),
+        padded(w, None, "no key", "NAME", F.col("s_name")),
         padded(w),
         padded(w, "EMPTY", None),
-        padded(w, "A", "1", "B", "2", "C", "3", "D", "4", "E", "5", "F", "6", "G", "7", "H", "8", "I", "9", "J", "10", "K", "11", "L", "12", "ODD"),
+        padded(w, *twelve, "ODD"),
         padded(w, "STATUS", "older"),
-        padded(w, "STATUS", F.col("o_orderstatus")),
-        padded(w, "ORDER", "PART", None, "SHARES", "STATUS", "PRICE", "LINE"),
+        padded(w, "STATUS", F.concat(F.lit("S"), key)),
+        padded(w, "ORDER", "PART", None, "SHARES", "STATUS", "PRICE", "LINE", "PART"),
     ]
     line = padded(
         w, F.col("l_orderkey"), F.col("l_partkey"), "unnamed", F.col("l_quantity"), "not this", F.col("l_extendedprice"),
-        F.col("l_linenumber"),
+        F.col("l_linenumber"), "again",
     )
-    return order_grid(spark, folder, head, line)
+    return supplier_grid(spark, folder, head, line)
 
 
 def ucf_grid(spark: SparkSession, folder: str) -> DataFrame:
     w = reports.UCF_WIDTH
+    key = text("s_suppkey")
     head = [
-        padded(w, "FUND_NAME", F.concat(F.lit("Fund "), text("o_orderkey")), "FUND_TICKER", F.concat(F.lit("T"), text("o_orderkey"))),
-        padded(w, "TRADE_DATE", F.date_format("o_orderdate", "yyyyMMdd")),
+        padded(w, "FUND_NAME", F.concat(F.lit("Fund "), key), "FUND_TICKER", F.concat(F.lit("T"), key)),
+        padded(w, "TRADE_DATE", "20240131"),
         padded(w),
-        padded(w, "BROKER", None, F.concat(F.lit("Clerk "), text("o_custkey")), "taken apart"),
+        padded(w, "BROKER", None, F.concat(F.lit("Clerk "), text("s_nationkey")), "taken apart"),
         padded(w, "NAV", "0"),
-        padded(w, "PRIORITY", F.col("o_orderpriority")),
-        padded(w, F.when(F.col("o_orderkey") % 2 == 0, "CREATION").otherwise("REDEMPTION"), "ignored"),
+        padded(w, "NAME", F.col("s_name")),
+        padded(w, F.when(F.col("s_suppkey") % 2 == 0, "CREATION").otherwise("REDEMPTION"), "ignored"),
         padded(w, "ORDER", "PART", "SHARES", None, "PRICE", "NAV", "LINE"),
     ]
     line = padded(
         w, F.col("l_orderkey"), F.col("l_partkey"), F.col("l_quantity"), None, F.col("l_extendedprice"), "hidden",
         F.col("l_linenumber"),
     )
-    tail = [padded(w, f"K{i}", str(i), f"X{i}", F.col("o_custkey") + i) for i in range(reports.UCF_TAIL_ROWS - 1)]
-    tail.append(padded(w, "NAV", F.col("o_totalprice"), "STATUS", F.col("o_orderstatus")))
-    return order_grid(spark, folder, head, line, tail)
+    tail = [padded(w, f"K{i}", str(i), f"X{i}", F.col("s_nationkey") + i) for i in range(reports.UCF_TAIL_ROWS - 1)]
+    tail.append(padded(w, "NAV", F.col("s_acctbal"), "STATUS", F.concat(F.lit("S"), key)))
+    return supplier_grid(spark, folder, head, line, tail)
 
 
 def _numbers(df: DataFrame, longs: Sequence[str], doubles: Sequence[str]) -> DataFrame:
@@ -141,42 +144,42 @@ def _numbers(df: DataFrame, longs: Sequence[str], doubles: Sequence[str]) -> Dat
     return df.withColumns(typed)
 
 
-FILE = f"'report_' || CAST(o_orderkey // {PER_FILE} AS VARCHAR)"
+FILE = f"'report_' || CAST(s_suppkey // {PER_FILE} AS VARCHAR)"
+LINE = """l_orderkey AS "ORDER", l_partkey AS "PART", l_quantity AS "SHARES", l_extendedprice AS "PRICE",
+    CAST(l_linenumber AS BIGINT) AS "LINE" """
+HELD = "supplier JOIN lineitem ON s_suppkey = l_suppkey"
 
 
 def q_pcf(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["ORDER", "PART", "SHARES", "PRICE", "LINE", "Trade_Date", "SS_LONG_CODE", "FULL_NAME", "TICKER_1",
-               "TICKER_2", "BASE_CURRENCY", "NAV", "STATUS", "CUSTOMER", "PRIORITY", "EMPTY", "L", "ODD"]
+               "TICKER_2", "BASE_CURRENCY", "NAV", "STATUS", "NATION", "NAME", "EMPTY", "K12", "ODD"]
     report = reports.pcf_report(pcf_grid(spark, folder), columns)
-    return _numbers(report, ["ORDER", "PART", "LINE", "CUSTOMER"], ["SHARES", "PRICE", "NAV"])
+    return _numbers(report, ["ORDER", "PART", "LINE", "NATION"], ["SHARES", "PRICE", "NAV"])
 
 
 PCF_SQL = f"""
-    SELECT {FILE} AS source_file, o_orderkey AS "ORDER", l_partkey AS "PART", l_quantity AS "SHARES",
-           l_extendedprice AS "PRICE", CAST(l_linenumber AS BIGINT) AS "LINE",
-           strftime(o_orderdate, '%Y%m%d') AS "Trade_Date", o_orderkey || '-L' AS "SS_LONG_CODE",
-           'Fund, A' AS "FULL_NAME", 'T' || o_orderkey AS "TICKER_1", NULL::VARCHAR AS "TICKER_2", 'CAD' AS "BASE_CURRENCY",
-           o_totalprice AS "NAV", o_orderstatus AS "STATUS", o_custkey AS "CUSTOMER", o_orderpriority AS "PRIORITY",
-           NULL::VARCHAR AS "EMPTY", '12' AS "L", NULL::VARCHAR AS "ODD"
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    SELECT {FILE} AS source_file, {LINE}, '20240131' AS "Trade_Date", s_suppkey || '-L' AS "SS_LONG_CODE",
+           'Fund, A' AS "FULL_NAME", 'T' || s_suppkey AS "TICKER_1", NULL::VARCHAR AS "TICKER_2", 'CAD' AS "BASE_CURRENCY",
+           s_acctbal AS "NAV", 'S' || s_suppkey AS "STATUS", CAST(s_nationkey AS BIGINT) AS "NATION", s_name AS "NAME",
+           NULL::VARCHAR AS "EMPTY", '12' AS "K12", NULL::VARCHAR AS "ODD"
+    FROM {HELD}
 """
 
 
 def q_ucf(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["ORDER", "PART", "SHARES", "PRICE", "LINE", "FUND_NAME", "FUND_TICKER", "TRADE_DATE", "BROKER_NAME",
-               "PRIORITY", "ORDER_TYPE", "NAV", "STATUS", "K0", "X14", "BROKER"]
+               "NAME", "ORDER_TYPE", "NAV", "STATUS", "K0", "X14", "BROKER"]
     report = reports.ucf_report(ucf_grid(spark, folder), columns)
     return _numbers(report, ["ORDER", "PART", "LINE", "X14"], ["SHARES", "PRICE", "NAV"])
 
 
 UCF_SQL = f"""
-    SELECT {FILE} AS source_file, o_orderkey AS "ORDER", l_partkey AS "PART", l_quantity AS "SHARES",
-           l_extendedprice AS "PRICE", CAST(l_linenumber AS BIGINT) AS "LINE", 'Fund ' || o_orderkey AS "FUND_NAME",
-           'T' || o_orderkey AS "FUND_TICKER", strftime(o_orderdate, '%Y%m%d') AS "TRADE_DATE",
-           'Clerk ' || o_custkey AS "BROKER_NAME", o_orderpriority AS "PRIORITY",
-           CASE WHEN o_orderkey % 2 = 0 THEN 'CREATION' ELSE 'REDEMPTION' END AS "ORDER_TYPE",
-           o_totalprice AS "NAV", o_orderstatus AS "STATUS", '0' AS "K0", o_custkey + 14 AS "X14", NULL::VARCHAR AS "BROKER"
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+    SELECT {FILE} AS source_file, {LINE}, 'Fund ' || s_suppkey AS "FUND_NAME", 'T' || s_suppkey AS "FUND_TICKER",
+           '20240131' AS "TRADE_DATE", 'Clerk ' || s_nationkey AS "BROKER_NAME", s_name AS "NAME",
+           CASE WHEN s_suppkey % 2 = 0 THEN 'CREATION' ELSE 'REDEMPTION' END AS "ORDER_TYPE",
+           s_acctbal AS "NAV", 'S' || s_suppkey AS "STATUS", '0' AS "K0", CAST(s_nationkey + 14 AS BIGINT) AS "X14",
+           NULL::VARCHAR AS "BROKER"
+    FROM {HELD}
 """
 
 
@@ -184,34 +187,43 @@ def q_blocks(spark: SparkSession, folder: str) -> DataFrame:
     blocks = number_blocks(pcf_grid(spark, folder), "trade_date")
     return blocks.groupBy(*BLOCK).agg(
         F.count("*").alias("n_rows"), F.max("block_row").alias("last_row"), F.max("block_size").alias("block_size"),
-        F.max(F.when(F.col("block_row") == 0, F.get("cells", F.lit(1)))).alias("trade_date"),
+        F.max(F.when(F.col("block_row") == 0, F.get("cells", F.lit(2)))).alias("long_code"),
     )
 
 
 BLOCKS_SQL = f"""
-    SELECT {FILE} AS source_file, row_number() OVER (PARTITION BY o_orderkey // {PER_FILE} ORDER BY o_orderkey) AS block_id,
-           9 + n AS n_rows, 8 + n AS last_row, 9 + n AS block_size, strftime(o_orderdate, '%Y%m%d') AS trade_date
-    FROM (SELECT o_orderkey, o_orderdate, count(l_orderkey) AS n
-          FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL)
+    SELECT {FILE} AS source_file, row_number() OVER (PARTITION BY s_suppkey // {PER_FILE} ORDER BY s_suppkey) AS block_id,
+           9 + n AS n_rows, 8 + n AS last_row, 9 + n AS block_size, s_suppkey || '-L' AS long_code
+    FROM (SELECT s_suppkey, count(l_suppkey) AS n FROM supplier LEFT JOIN lineitem ON s_suppkey = l_suppkey GROUP BY ALL)
 """
 
 
 def q_kv(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs of whole blocks: every holding row counts as pairs as well, the last row of a key wins."""
     blocks = number_blocks(pcf_grid(spark, folder), "TRADE_DATE")
-    head = blocks.where("block_row BETWEEN 1 AND 7")
-    return key_values(head, pairs(F.col("cells"))).where("length(key) > 1")
+    keyed = F.filter(pairs(F.col("cells")), lambda e: ~e["key"].isin("unnamed", "not this"))
+    kv = key_values(blocks.where("block_row > 0"), keyed)
+    return kv.withColumn("value", F.when(~F.col("key").rlike("^[0-9.]+$"), F.col("value"))).distinct()
 
 
 KV_SQL = f"""
     WITH b AS (
         SELECT *, {FILE} AS source_file,
-               row_number() OVER (PARTITION BY o_orderkey // {PER_FILE} ORDER BY o_orderkey) AS block_id
-        FROM orders
+               row_number() OVER (PARTITION BY s_suppkey // {PER_FILE} ORDER BY s_suppkey) AS block_id
+        FROM supplier
+    ), held AS (
+        SELECT b.*, l.* FROM b JOIN lineitem l ON s_suppkey = l_suppkey
     )
-    SELECT source_file, block_id, 'STATUS' AS key, o_orderstatus AS value FROM b
-    UNION ALL SELECT source_file, block_id, 'CUSTOMER', CAST(o_custkey AS VARCHAR) FROM b
-    UNION ALL SELECT source_file, block_id, 'PRIORITY', o_orderpriority FROM b
+    SELECT source_file, block_id, 'STATUS' AS key, 'PRICE' AS value FROM b
+    UNION ALL SELECT source_file, block_id, 'NATION', CAST(s_nationkey AS VARCHAR) FROM b
+    UNION ALL SELECT source_file, block_id, 'NAME', s_name FROM b
     UNION ALL SELECT source_file, block_id, 'EMPTY', NULL FROM b
+    UNION ALL SELECT source_file, block_id, 'K' || n, n FROM b, range(1, 13) r(n)
+    UNION ALL SELECT source_file, block_id, 'ORDER', 'PART' FROM b
+    UNION ALL SELECT source_file, block_id, 'LINE', 'PART' FROM b
+    UNION ALL SELECT DISTINCT source_file, block_id, CAST(l_orderkey AS VARCHAR), NULL FROM held
+    UNION ALL SELECT DISTINCT source_file, block_id, CAST(l_linenumber AS VARCHAR), NULL FROM held
+        WHERE l_linenumber NOT IN (SELECT l_orderkey FROM held h WHERE h.block_id = held.block_id AND h.source_file = held.source_file)
 """
 
 
@@ -220,11 +232,7 @@ def q_header(spark: SparkSession, folder: str) -> DataFrame:
     return _numbers(promote_header(blocks, 8), ["ORDER", "PART", "LINE"], ["SHARES", "PRICE"])
 
 
-HEADER_SQL = f"""
-    SELECT {FILE} AS source_file, o_orderkey AS "ORDER", l_partkey AS "PART", l_quantity AS "SHARES", 'not this' AS "STATUS",
-           l_extendedprice AS "PRICE", CAST(l_linenumber AS BIGINT) AS "LINE"
-    FROM orders JOIN lineitem ON o_orderkey = l_orderkey
-"""
+HEADER_SQL = f"""SELECT {FILE} AS source_file, {LINE}, 'not this' AS "STATUS", 'again' AS "PART.1" FROM {HELD}"""
 
 
 def sheet_of(df: DataFrame, key: str, per_sheet: int, heads: Sequence[Column], row: Column, ends: Sequence[Column] = ()) -> DataFrame:
