@@ -13,6 +13,9 @@ from millrace.sources.grid import GRID, file_label, fixed_grid
 
 ROW_LABEL = "__index_level_0__"
 
+# Cells per row that a header-named scan looks for; a wider file raises.
+DEFAULT_WIDTH = 64
+
 
 def scan_delimited(
     spark: SparkSession,
@@ -51,7 +54,7 @@ def scan_by_name(
     paths: str | Sequence[str],
     columns: Sequence[str] | None = None,
     *,
-    width: int = 128,
+    width: int = DEFAULT_WIDTH,
     header_row: int = 0,
     **grid_options,
 ) -> DataFrame:
@@ -80,7 +83,7 @@ def scan_skip_bad_rows(
     paths: str | Sequence[str],
     columns: Sequence[str] | None = None,
     *,
-    width: int = 128,
+    width: int = DEFAULT_WIDTH,
     **options,
 ) -> DataFrame:
     """Rows with more fields than the header are dropped; short rows are padded."""
@@ -94,7 +97,7 @@ def scan_header_shift(
     columns: Sequence[str] | None = None,
     *,
     label: str = ROW_LABEL,
-    width: int = 128,
+    width: int = DEFAULT_WIDTH,
     **options,
 ) -> DataFrame:
     """Data one field longer than the header: field 0 is a row label.

@@ -48,13 +48,14 @@ def _scan(
         .option("recursiveFileLookup", True)
         .csv(paths)
     )
-    cells = [F.nullif(F.col(f"c{i}"), F.lit("")) for i in range(width)]
+    # Empty cells are NULL already; a quoted empty cell arrives as "".
+    cells = F.transform(F.array(*[F.col(f"c{i}") for i in range(width)]), lambda c: F.nullif(c, F.lit("")))
     return raw.select(
         file_label(lineage).alias("source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_order"),
-        F.array(*cells).alias("cells"),
+        cells.alias("cells"),
         F.nullif(F.col(f"c{width}"), F.lit("")).alias("_spare"),
     )
 

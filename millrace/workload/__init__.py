@@ -14,9 +14,25 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def all_queries() -> dict[str, tuple[Query, str | None]]:
-    from millrace.workload import bronze, cleaning, dedup, files, grids, scans, transforms, upserts
-
-    families = (cleaning, transforms, dedup, upserts, grids, scans, files, bronze)
+    from millrace.workload import (
+        bronze,
+        cleaning,
+        dedup,
+        files,
+        grids,
+        logs,
+        quality,
+        scans,
+        sql,
+        streams,
+        transforms,
+        upserts,
+        vendor,
+    )
+
+    families = (
+        cleaning, transforms, dedup, upserts, grids, scans, files, bronze, sql, logs, vendor, quality, streams,
+    )
     merged: dict[str, tuple[Query, str | None]] = {}
     for family in families:
         for name, entry in family.QUERIES.items():

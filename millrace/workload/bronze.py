@@ -77,7 +77,10 @@ FEEDS = [
     ),
     FeedSpec(
         r"orders_b", "csv", "orders_b", load_type="overwrite", rename=True,
-        silver=SilverSpec("orders_kept", ("order_id",), {"Order": ColumnMap("int", "order_id")}, dedup_timestamp="order_id"),
+        silver=SilverSpec(
+            "orders_kept", ("order_id",), {"Order": ColumnMap("int", "order_id"), "Price": ColumnMap("float", "price")},
+            dedup_timestamp="order_id",
+        ),
     ),
     FeedSpec(r"missing", "csv", "never_landed", silver=SilverSpec("never", ("id",))),
 ]
@@ -101,12 +104,12 @@ def q_replay(spark: SparkSession, folder: str) -> DataFrame:
 
 
 REPLAY_SQL = """
-    SELECT o_orderkey AS order_id, CASE t.name WHEN 'orders' THEN o_totalprice END AS price, o_orderstatus AS order_status,
+    SELECT o_orderkey AS order_id, o_totalprice AS price, o_orderstatus AS order_status,
            CASE t.name WHEN 'orders' THEN 'in.csv' ELSE 'in_20240102_1430.csv' END AS source_file, t.batch AS batch_id,
            true AS is_current, t.name AS "table", 'never=missing,orders=done,orders_kept=done' AS states
     FROM orders, (VALUES ('orders', 'a2')) t(name, batch)
     UNION ALL
-    SELECT o_orderkey, NULL, o_orderstatus, 'in_20240102_1430.csv', 'b2', true, 'orders_kept',
+    SELECT o_orderkey, o_totalprice, o_orderstatus, 'in_20240102_1430.csv', 'b2', true, 'orders_kept',
            'never=missing,orders=done,orders_kept=done' FROM orders
 """
 
