@@ -82,9 +82,10 @@ def cast_loss(df: DataFrame, spec: SilverSpec | Mapping[str, ColumnMap], samples
     few = (
         ranked.where(F.col("_rank") <= samples)
         .groupBy("column")
-        .agg(F.array_sort(F.collect_list("value")).alias("samples"))
+        .agg(F.sort_array(F.collect_list(F.struct("value", "n"))).alias("few"))
     )
-    return totals.join(few, "column").select("column", "lost", "empty", "samples")
+    samples_only = F.transform("few", lambda s: s["value"]).alias("samples")
+    return totals.join(few, "column").select("column", "lost", "empty", samples_only)
 
 
 def infer_types(

@@ -79,40 +79,59 @@ def elapsed(
     tie_break: str,
     keys: Sequence[str] = (),
     output: str = "elapsed_s",
-    slot: str = "hour",
 ) -> DataFrame:
     """Seconds since the previous row in time order, over the whole table or per key.
 
-    Even the table-wide order needs no single sorted partition: repeated
-    timestamps collapse first (all but the first row of one differ by zero),
-    predecessors are then found inside time slots, and the last timestamp of
-    each slot is carried to the next, one record per slot.
+    ``tie_break`` is unique per row.  Even the table-wide order needs no single
+    sorted partition: repeated timestamps collapse first (all but the first row
+    of one differ by zero); the predecessor of a timestamp is then looked for
+    within its second, else in the earlier seconds of its day, else in the
+    earlier days.  A sort so sees at most the microseconds of one second, the
+    seconds of one day or the days of the table.
     """
-    micros = F.unix_micros(F.col(timestamp).cast("timestamp"))
-    stamped = df.withColumn("_us", micros)
+    stamped = df.withColumn("_us", F.unix_micros(F.col(timestamp).cast("timestamp")))
+    second = F.floor(F.col("_us") / 1_000_000)
     distinct = (
         stamped.where(F.col("_us").isNotNull())
         .groupBy(*keys, "_us")
         .agg(F.min(tie_break).alias("_first"))
-        .withColumn("_slot", F.date_trunc(slot, F.timestamp_micros("_us")))
+        .withColumns({"_second": second, "_day": F.floor(second / 86_400)})
     )
-    last = distinct.groupBy(*keys, "_slot").agg(F.max("_us").alias("_last"))
-    # An unkeyed order over the slots holds one record per slot, not per row.
-    over_slots = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_slot")
-    carry = last.select(*keys, "_slot", F.lag("_last").over(over_slots).alias("_carried"))
-    in_slot = Window.partitionBy(*keys, "_slot").orderBy("_us")
-    previous = distinct.join(carry, [*keys, "_slot"]).select(
+    seconds = distinct.groupBy(*keys, "_day", "_second").agg(F.max("_us").alias("_last"))
+    days = seconds.groupBy(*keys, "_day").agg(F.max("_last").alias("_last"))
+
+    def before(frame: DataFrame, group: Sequence[str], order: str, value: str, name: str) -> DataFrame:
+        by = [*keys, *group] or [F.lit(0)]
+        return frame.withColumn(name, F.lag(value).over(Window.partitionBy(*by).orderBy(order)))
+
+    by_day = before(days, [], "_day", "_last", "_day_before").drop("_last")
+    by_second = before(seconds, ["_day"], "_second", "_last", "_second_before").drop("_last")
+    carry = _join_on(by_second, by_day, [*keys, "_day"]).select(
+        *keys, "_second", F.coalesce("_second_before", "_day_before").alias("_carried")
+    )
+    in_second = before(distinct, ["_second"], "_us", "_us", "_us_before").select(
+        *keys, "_second", "_us", "_first", "_us_before"
+    )
+    previous = _join_on(in_second, carry, [*keys, "_second"]).select(
         *[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)],
         F.col("_us").alias("_at"),
         "_first",
-        F.coalesce(F.lag("_us").over(in_slot), F.col("_carried")).alias("_before"),
+        F.coalesce("_us_before", "_carried").alias("_before"),
     )
     on = (F.col("_us") == F.col("_at")) & (F.col(tie_break) == F.col("_first"))
     for n, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"_k{n}"))
-    seconds = (
+    gap = (
         F.when(F.col("_us").isNull(), F.lit(None).cast("double"))
         .when(F.col("_at").isNull(), F.lit(0.0))
         .otherwise((F.col("_us") - F.col("_before")) / F.lit(1e6))
     )
-    return stamped.join(previous, on, "left").select(*df.columns, seconds.alias(output))
+    return stamped.join(previous, on, "left").select(*df.columns, gap.alias(output))
+
+
+def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on NULL-matching keys; the right side's keys go."""
+    names = {k: f"_r_{k}" for k in keys}
+    side = right.withColumnsRenamed(names)
+    on = [F.col(k).eqNullSafe(F.col(n)) for k, n in names.items()]
+    return left.join(side, on).drop(*names.values())

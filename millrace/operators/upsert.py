@@ -1,7 +1,9 @@
-"""Versioned upsert (SCD type 2) as one null-safe full outer join.
+"""Versioned upsert (SCD type 2) on null-safe keys.
 
-Both sides hold each key at most once, so no join group can grow; the join
-hashes on the key and nothing is gathered or broadcast.
+Both sides hold each key at most once, so no join group can grow.  The general
+form is one full outer join that hashes both sides by key.  A batch whose row
+count has been checked to be small is broadcast instead: then the current rows
+are scanned (twice, once for the keys only) but neither shuffled nor sorted.
 """
 
 from __future__ import annotations
@@ -63,11 +65,14 @@ def compare_versions(
     keys: Sequence[str],
     policy: str = "on_change",
     ignore: Sequence[str] = AUDIT_COLUMNS,
+    *,
+    small_batch: bool = False,
 ) -> DataFrame:
     """Pair current and incoming rows by key: ``(action, before, after)``.
 
     ``action`` is ``keep`` (no incoming row, or one the policy skips; the
-    skipped ones have ``after`` set), ``insert`` or ``replace``.
+    skipped ones have ``after`` set), ``insert`` or ``replace``.  With
+    ``small_batch`` the incoming rows are broadcast; only for a checked size.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
@@ -78,10 +83,18 @@ def compare_versions(
     compared = [c for c in after.columns if c in before.columns and c not in keys and c not in ignore]
     added = [c for c in after.columns if c not in before.columns and c not in ignore]
 
-    left = before.select(*[F.col(f"`{k}`").alias(f"_e{n}") for n, k in enumerate(keys)], F.struct("*").alias("before"))
-    right = after.select(*[F.col(f"`{k}`").alias(f"_i{n}") for n, k in enumerate(keys)], F.struct("*").alias("after"))
-    on = reduce(lambda a, b: a & b, [F.col(f"_e{n}").eqNullSafe(F.col(f"_i{n}")) for n in range(len(keys))])
-    pair = left.join(right, on, "full_outer")
+    left = before.select(*_key_copies(keys, "_e"), F.struct("*").alias("before"))
+    right = after.select(*_key_copies(keys, "_i"), F.struct("*").alias("after"))
+    on = _copies_match(len(keys), "_e", "_i")
+    if small_batch:
+        batch = F.broadcast(right)
+        met = before.select(*_key_copies(keys, "_m")).join(
+            F.broadcast(right.drop("after")), _copies_match(len(keys), "_m", "_i"), "left_semi"
+        )
+        fresh = right.join(F.broadcast(met), _copies_match(len(keys), "_i", "_m"), "left_anti")
+        pair = left.join(batch, on, "left").unionByName(fresh, allowMissingColumns=True)
+    else:
+        pair = left.join(right, on, "full_outer")
 
     changed = _differs(F.col("before"), F.col("after"), compared)
     for c in added:
@@ -95,6 +108,14 @@ def compare_versions(
     return pair.select(action.alias("action"), "before", "after")
 
 
+def _key_copies(keys: Sequence[str], prefix: str) -> list[Column]:
+    return [F.col(f"`{k}`").alias(f"{prefix}{n}") for n, k in enumerate(keys)]
+
+
+def _copies_match(n_keys: int, a: str, b: str) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{a}{n}").eqNullSafe(F.col(f"{b}{n}")) for n in range(n_keys)])
+
+
 def versions(compared: DataFrame) -> DataFrame:
     """Expand compared pairs to table rows with ``is_current``; a replaced row gives two."""
     before = compared.schema["before"].dataType

@@ -24,17 +24,27 @@ from millrace.sources.tables import read_table, table_exists
 
 log = logging.getLogger(__name__)
 
+def _pcf(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame:
+    return reports.pcf_report(fixed_grid(spark, paths, reports.PCF_WIDTH, **options), staged=True)
+
+
+def _ucf(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame:
+    return reports.ucf_report(fixed_grid(spark, paths, reports.UCF_WIDTH, **options), staged=True)
+
+
+def _cil(spark: SparkSession, paths: Sequence[str], **options) -> DataFrame:
+    return reports.cil_report(ragged_grid(spark, paths, **options))
+
+
+# Scan options of a feed (``multiline=False`` for large files without quoted
+# line breaks, ``width``, ``delimiter``) pass through.
 PARSERS = {
-    "csv": lambda spark, paths: scan_by_name(spark, paths, lineage="path"),
-    "csv skip 1": lambda spark, paths: scan_skip_rows(spark, paths, 1, lineage="path"),
-    "csv shifted": lambda spark, paths: scan_header_shift(spark, paths, lineage="path"),
-    "cil": lambda spark, paths: reports.cil_report(ragged_grid(spark, paths, lineage="path")),
-    "pcf": lambda spark, paths: reports.pcf_report(
-        fixed_grid(spark, paths, reports.PCF_WIDTH, lineage="path"), staged=True
-    ),
-    "ucf": lambda spark, paths: reports.ucf_report(
-        fixed_grid(spark, paths, reports.UCF_WIDTH, lineage="path"), staged=True
-    ),
+    "csv": scan_by_name,
+    "csv skip 1": lambda spark, paths, **options: scan_skip_rows(spark, paths, 1, **options),
+    "csv shifted": scan_header_shift,
+    "cil": _cil,
+    "pcf": _pcf,
+    "ucf": _ucf,
 }
 
 # Workbooks arrive as decoded grids: a parquet folder with source_file, row_no, cells.
@@ -51,7 +61,7 @@ def parse(spark: SparkSession, feed: FeedSpec, paths: Sequence[str]) -> DataFram
     if callable(feed.parser):
         return feed.parser(spark, list(paths))
     if feed.parser in PARSERS:
-        return PARSERS[feed.parser](spark, list(paths))
+        return PARSERS[feed.parser](spark, list(paths), lineage="path", **feed.options)
     if feed.parser in GRID_PARSERS:
         return GRID_PARSERS[feed.parser](spark.read.parquet(*paths))
     raise ValueError(f"no parser {feed.parser!r} for {feed.bronze_table}")

@@ -4,7 +4,7 @@ Every upsert writes a new folder of current rows and a new folder with just the
 rows it closed, then one commit record that names them.  Readers follow the
 last commit, so a job that dies half way leaves the table as it was, and a
 batch that is already committed is not applied again.  Closed rows are never
-rewritten.
+rewritten.  One writer at a time: commits are not arbitrated.
 """
 
 from __future__ import annotations
@@ -20,6 +20,9 @@ from millrace.config import SilverSpec
 from millrace.operators.dedup import latest_by_null_pattern
 from millrace.operators.upsert import CURRENT, compare_versions, initial_version, versions
 
+# A batch of at most this many rows is broadcast to the current rows.
+SMALL_BATCH_ROWS = 100_000
+
 _COMMIT = "version bigint, batch_id string, current string, closed array<string>"
 
 
@@ -70,8 +73,11 @@ class SilverTable:
             return True
         if self.has_batch(batch_id):
             return False
-        fresh = latest_by_null_pattern(incoming, self.spec.primary_keys, self.spec.dedup_timestamp)
-        compared = compare_versions(self._read(commit["current"]), fresh, self.spec.primary_keys, policy)
+        keys = self.spec.primary_keys
+        # Cleaned and deduplicated once, and small enough to count.
+        fresh = self._read(self._write(latest_by_null_pattern(incoming, keys, self.spec.dedup_timestamp), "batch"))
+        small = fresh.count() <= SMALL_BATCH_ROWS
+        compared = compare_versions(self._read(commit["current"]), fresh, keys, policy, small_batch=small)
         # The join runs once: both kinds of row go to one folder, split by partition.
         merged = self._write(versions(compared), "merge", CURRENT)
         closed = [*commit["closed"], f"{merged}/{CURRENT}=false"]

@@ -24,7 +24,7 @@ from millrace.plans import reports
 from millrace.workload.tables import table, text
 
 PER_FILE = 16
-SPREAD = 32
+KEYS_PER_PART = 1_024
 
 
 def padded(width: int, *cells: Column | str | None) -> Column:
@@ -34,8 +34,8 @@ def padded(width: int, *cells: Column | str | None) -> Column:
 
 
 def numbered(df: DataFrame, key: str, spread: str) -> DataFrame:
-    """Add a dense ``seq`` within ``key`` from 0; a key with very many rows is counted in parts."""
-    parts = df.withColumn("_sub", F.pmod(F.col(spread), F.lit(SPREAD)))
+    """Add a dense ``seq`` within ``key`` from 0; a key with very many rows is counted in ranges of ``spread``."""
+    parts = df.withColumn("_sub", F.floor(F.col(spread) / KEYS_PER_PART))
     within = F.row_number().over(Window.partitionBy(key, "_sub").orderBy(*[c for c in df.columns if c != key])) - 1
     earlier = Window.partitionBy(key).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.groupBy(key, "_sub").agg(F.count("*").alias("_n")).select(
