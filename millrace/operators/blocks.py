@@ -11,7 +11,7 @@ key also carries the part.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -164,25 +164,38 @@ def expand_header(
     names: Column | None = None,
     shift_label: str | None = None,
 ) -> DataFrame:
-    """Header of each block: its names, their cell positions and the header's length.
+    """Header of each block: its names, their cell positions, the header's length and the block's rows.
 
     ``names`` replaces the plain ``cells`` by an expression over them.  With
     ``shift_label`` a first data row one longer than the header (``_fields``)
     moves all names one cell to the right, behind the label.
     """
     cells = F.col("cells") if names is None else names
-    header = grid.where(F.col("block_row") == header_row).select(*BLOCK, *_header_of(cells))
+
+    def at(row: int, value: Column) -> Column:
+        return F.max(F.when(F.col("block_row") == row, value))
+
+    header = grid.groupBy(*BLOCK).agg(
+        at(header_row, cells).alias("_header"),
+        (at(header_row + 1, F.col("_fields")) if shift_label else F.lit(None)).alias("_first"),
+        F.min("row_no").alias("_from"),
+        F.max("row_no").alias("_to"),
+    )
+    header = header.where(F.col("_header").isNotNull()).select(
+        *BLOCK, *_header_of(F.col("_header")), "_first", "_from", "_to"
+    )
     if shift_label is None:
-        return header
-    first = grid.where(F.col("block_row") == header_row + 1).select(*BLOCK, F.col("_fields").alias("_first"))
+        return header.drop("_first")
     shifted = F.coalesce(F.col("_first") == F.col("header_size") + 1, F.lit(False))
-    return header.join(first, BLOCK, "left").select(
+    return header.select(
         *BLOCK,
         F.when(shifted, F.concat(F.array(F.lit(shift_label)), "names")).otherwise(F.col("names")).alias("names"),
         F.when(shifted, F.concat(F.array(F.lit(0)), F.transform("positions", lambda p: p + 1)))
         .otherwise(F.col("positions"))
         .alias("positions"),
         (F.col("header_size") + shifted.cast("int")).alias("header_size"),
+        "_from",
+        "_to",
     )
 
 
@@ -215,8 +228,12 @@ def block_heads(
         lists.append(
             F.sort_array(F.collect_list(F.when(holds, F.struct("row_no", wanted.alias("entries"))))).alias(f"_s{n}")
         )
-    sized = "block_size" in blocks.columns
-    end = F.col("row_no") - F.col("block_row") + F.col("block_size") if sized else F.col("file_end")
+    if "block_size" in blocks.columns:
+        end = F.col("row_no") - F.col("block_row") + F.col("block_size")
+    elif "file_end" in blocks.columns:
+        end = F.col("file_end")
+    else:  # whole files: their end is seen only by reading them
+        end, special = F.col("row_no") + 1, F.lit(True)
     heads = blocks.where(special).groupBy(*BLOCK).agg(
         F.max(F.when(F.col("block_row") == header_row, F.col("cells"))).alias("_header"),
         F.min(F.col("row_no") - F.col("block_row")).alias("_from"),
@@ -258,15 +275,15 @@ def promote_header(
     metrics: DataFrame | None = None,
     lookup: DataFrame | None = None,
     data: Column | None = None,
-    row_filter: Callable[[Column], Column] | None = None,
+    row_filter: Column | None = None,
     keep: Sequence[str] = ("source_file",),
 ) -> DataFrame:
     """Name the cells below a header row and spread block metrics over the rows.
 
     ``lookup`` is a prepared header (:func:`expand_header`) or header with
     metrics (:func:`block_heads`).  A metric replaces a table column of the same
-    name.  With ``columns`` the
-    plan stays lazy; without, one job over the headers finds their names.
+    name.  ``data`` picks the data rows before the join, ``row_filter`` after
+    it, when further lookup columns are at hand.  With ``columns`` the plan stays lazy; without, one job over the headers finds their names.
     Columns a block does not have are NULL.
     """
     if lookup is None:
@@ -279,20 +296,19 @@ def promote_header(
     wanted = list(columns) if columns is not None else discover_columns(lookup, with_metrics)
 
     want = F.array(*[F.lit(n) for n in wanted]) if wanted else F.array().cast("array<string>")
+    own = {*BLOCK, "names", "positions", "metrics"}
     slim = [
         *BLOCK,
-        "header_size",
+        *[c for c in lookup.columns if c not in own],
         F.transform(want, lambda n: F.get("positions", F.array_position("names", n).cast("int") - 1)).alias("_at"),
     ]
-    if "_from" in lookup.columns:
-        slim += ["_from", "_to"]
     if with_metrics:
         slim.append(F.transform(want, lambda n: F.map_contains_key(F.col("metrics"), n)).alias("_has"))
         slim.append(F.transform(want, lambda n: F.col("metrics")[n]).alias("_value"))
     body = grid.where(F.col("block_row") > header_row if data is None else data)
     joined = attach(body, lookup.select(*slim), BLOCK)
     if row_filter is not None:
-        joined = joined.where(row_filter(F.col("header_size")))
+        joined = joined.where(row_filter)
 
     def output(k: int) -> Column:
         here = F.get("cells", F.get("_at", F.lit(k)))
@@ -346,14 +362,55 @@ def is_total(c: Column, labels: Sequence[str] = TOTAL_LABELS) -> Column:
     return F.coalesce(F.upper(c).isin(*labels), F.lit(False))
 
 
-def truncate_at_first(rows: DataFrame, stop: Column) -> DataFrame:
-    """Per file, only rows before the first one for which ``stop`` holds."""
-    first = rows.groupBy("source_file").agg(F.min(F.when(stop, F.col("row_no"))).alias("_stop"))
-    return (
-        attach(rows, first, ["source_file"])
-        .where(F.col("_stop").isNull() | (F.col("row_no") < F.col("_stop")))
-        .drop("_stop")
+def anchored_tables(grid: DataFrame, label: str, within: int = 6) -> DataFrame:
+    """Where the table of each sheet starts and stops, and its header, in one pass over the grid.
+
+    The table starts at the anchor (see :func:`find_anchor`) and stops before
+    the first row below whose cell under the anchor is a total label.  Only the
+    few top rows of a sheet are gathered.
+    """
+    top = F.col("row_no") < within
+    sheets = grid.groupBy("source_file").agg(
+        F.sort_array(F.collect_list(F.when(top, F.struct("row_no", "cells")))).alias("_top"),
+        *[F.min(F.when(~top & is_total(cell(p)), F.col("row_no"))).alias(f"_total{p}") for p in range(within)],
+        F.min("row_no").alias("_from"),
+        F.max("row_no").alias("_to"),
+    )
+
+    def hits(row: Column) -> Column:
+        marked = F.transform(
+            F.slice(row["cells"], 1, within),
+            lambda c, i: F.when(
+                F.upper(strip(c)) == label.upper(),
+                F.struct(row["row_no"].alias("row_no"), i.alias("col"), row["cells"].alias("cells")),
+            ),
+        )
+        return F.filter(marked, lambda h: h.isNotNull())
+
+    message = F.concat(F.lit(f"no {label!r} cell in the first {within} rows and columns of "), F.col("source_file"))
+    found = F.get(F.flatten(F.transform("_top", hits)), F.lit(0))
+    placed = sheets.withColumn("_at", F.when(found.isNotNull(), found).otherwise(F.raise_error(message))).withColumns(
+        {"anchor_row": F.col("_at.row_no"), "anchor_col": F.col("_at.col")}
+    )
+    total_in_top = F.transform(
+        F.filter(
+            "_top",
+            lambda r: (r["row_no"] > F.col("anchor_row")) & is_total(F.get(r["cells"], F.col("anchor_col"))),
+        ),
+        lambda r: r["row_no"],
+    )
+    total_below = F.get(F.array(*[F.col(f"_total{p}") for p in range(within)]), F.col("anchor_col"))
+    header = placed.select(
+        "source_file",
+        F.lit(1).cast("long").alias("block_id"),
+        "anchor_row",
+        "anchor_col",
+        F.least(F.array_min(total_in_top), total_below).alias("stop_row"),
+        *_header_of(F.slice("_at.cells", F.col("anchor_col") + 1, F.size("_at.cells"))),
+        "_from",
+        "_to",
     )
+    return header.withColumn("positions", F.transform("positions", lambda p: p + F.col("anchor_col")))
 
 
 def drop_total_columns(df: DataFrame, labels: Sequence[str] = TOTAL_LABELS) -> DataFrame:

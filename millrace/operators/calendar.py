@@ -77,7 +77,13 @@ def business_day_offset(
     ).first()
     if span["lo"] is None:
         return df.withColumn(output, F.col(anchor))
-    n_holidays = holidays.count()
+    # The days off are few; read once, they need not be derived again by each join.
+    days_off = holidays.select("date").distinct().limit(BROADCAST_DAYS).collect()
+    n_holidays = len(days_off)
+    if n_holidays < BROADCAST_DAYS:
+        holidays = spark.createDataFrame(days_off, "date date")
+    else:
+        n_holidays = holidays.select("date").distinct().count()
     # n business days span at most 7/5 n calendar days plus the holidays among them.
     slack = int(span["n"] or 0) * 7 // 5 + n_holidays + 14
     bounds = spark.range(1).select(

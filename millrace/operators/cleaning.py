@@ -34,11 +34,22 @@ def _plan(df: DataFrame, columns: Mapping[str, ColumnMap]) -> list[tuple[T.Struc
     return planned
 
 
-def _typed(f: T.StructField, target: str, m: ColumnMap | None) -> Column:
-    c = F.col(f"`{f.name}`")
-    if m is not None:
-        return casts.CONVERTERS[m.dtype](c, f.dataType, m)
-    return c if target in UNTOUCHED else casts.tidy(c)
+def _is_text(f: T.StructField, target: str, m: ColumnMap | None) -> bool:
+    """Whether the column goes through text (else it is taken as it is)."""
+    return target not in UNTOUCHED if m is None else not casts.passes(m.dtype, f.dataType)
+
+
+def _with_tidy(df: DataFrame, planned: list) -> DataFrame:
+    """Add each text column tidied, as ``_tidy{n}``: a projection of its own, so
+    that conversions which look at their input more than once tidy it once."""
+    return df.withColumns(
+        {f"_tidy{n}": casts.tidy(F.col(f"`{f.name}`")) for n, (f, t, m) in enumerate(planned) if _is_text(f, t, m)}
+    )
+
+
+def _typed(n: int, f: T.StructField, target: str, m: ColumnMap | None) -> Column:
+    c = F.col(f"_tidy{n}") if _is_text(f, target, m) else F.col(f"`{f.name}`")
+    return c if m is None else casts.CONVERTERS[m.dtype](c, f.dataType, m, tidied=_is_text(f, target, m))
 
 
 def clean_and_cast(
@@ -47,11 +58,11 @@ def clean_and_cast(
     """Exact duplicates out, mapped columns renamed and cast, the rest snake-cased text.
 
     Mapped columns that the input lacks are skipped.  Apart from the duplicate
-    removal this is one projection.
+    removal this is projections only.
     """
     planned = _plan(df, _columns_of(spec))
-    rows = df.dropDuplicates() if drop_exact else df
-    return rows.select(*[_typed(*p).alias(p[1]) for p in planned])
+    rows = _with_tidy(df.dropDuplicates() if drop_exact else df, planned)
+    return rows.select(*[_typed(n, *p).alias(p[1]) for n, p in enumerate(planned)])
 
 
 def cast_loss(df: DataFrame, spec: SilverSpec | Mapping[str, ColumnMap], samples: int = SAMPLES) -> DataFrame:
@@ -67,12 +78,13 @@ def cast_loss(df: DataFrame, spec: SilverSpec | Mapping[str, ColumnMap], samples
     if not planned:
         raise ValueError("no mapped column is present")
     cells = []
-    for f, target, m in planned:
+    for n, (f, target, m) in enumerate(planned):
         raw = F.col(f"`{f.name}`")
-        lost = raw.isNotNull() & _typed(f, target, m).isNull()
-        text = raw.cast("string")
-        cells.append(F.when(lost, F.struct(F.lit(target).alias("column"), text.alias("value"))))
-    lost = df.select(F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("cell")).select("cell.*")
+        lost = raw.isNotNull() & _typed(n, f, target, m).isNull()
+        cells.append(F.when(lost, F.struct(F.lit(target).alias("column"), raw.cast("string").alias("value"))))
+    # Exploded whole and filtered after: a filter on the array would take the casts out of generated code.
+    cell = F.explode(F.array(*cells)).alias("cell")
+    lost = _with_tidy(df, planned).select(cell).where(F.col("cell").isNotNull()).select("cell.*")
     counted = lost.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     totals = counted.groupBy("column").agg(
         F.sum("n").alias("lost"),
@@ -88,6 +100,12 @@ def cast_loss(df: DataFrame, spec: SilverSpec | Mapping[str, ColumnMap], samples
     return totals.join(few, "column").select("column", "lost", "empty", samples_only)
 
 
+def _presentable(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Tidy text without null words. Two projections, as each step reads its input more than once."""
+    tidied = df.withColumns({n: casts.tidy(F.col(f"`{n}`")) for n in columns})
+    return tidied.withColumns({n: casts.null_words(F.col(f"`{n}`")) for n in columns})
+
+
 def infer_types(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -102,8 +120,7 @@ def infer_types(
     names = list(columns) if columns is not None else df.columns
     checks = []
     for i, n in enumerate(names):
-        text = casts.null_words(casts.tidy(F.col(f"`{n}`")))
-        figure = casts.currency_number(text)
+        text, figure = F.col(f"`{n}`"), F.col(f"_figure{i}")
         present = text.isNotNull()
         checks += [
             F.count(text).alias(f"n{i}"),
@@ -111,7 +128,9 @@ def infer_types(
             F.count_if(present & (figure.isNull() | (figure != F.rint(figure)))).alias(f"i{i}"),
             F.count_if(present & figure.isNull()).alias(f"f{i}"),
         ]
-    misfits = df.agg(*checks).first()
+    texts = _presentable(df.select(*[f"`{n}`" for n in names]), names)
+    figures = {f"_figure{i}": casts.currency_number(F.col(f"`{n}`")) for i, n in enumerate(names)}
+    misfits = texts.withColumns(figures).agg(*checks).first()
     chosen = {}
     for i, n in enumerate(names):
         fits = [t for t, k in (("datetime", "d"), ("int", "i"), ("float", "f")) if misfits[f"{k}{i}"] == 0]
@@ -127,7 +146,7 @@ def clean_by_type(
     """Cast text columns to chosen types, with null words, currency signs and mixed dates."""
 
     def typed(n: str) -> Column:
-        text = casts.null_words(casts.tidy(F.col(f"`{n}`")))
+        text = F.col(f"`{n}`")
         kind = types.get(n, "str")
         if kind == "datetime":
             return casts.mixed_date(text, date_layouts)
@@ -135,7 +154,7 @@ def clean_by_type(
             return F.rint(casts.currency_number(text)).try_cast("long")
         return casts.currency_number(text) if kind == "float" else text
 
-    return df.select(*[typed(n).alias(n) for n in df.columns])
+    return _presentable(df, df.columns).select(*[typed(n).alias(n) for n in df.columns])
 
 
 def clean_inferred(df: DataFrame, declared: Mapping[str, str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.functions.casts import number
+from millrace.functions.casts import number, parse_timestamp
 
 # The parts of the two message shapes, in the order of their groups.
 _STAMP = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d+ [AP]M)"
@@ -31,30 +31,34 @@ FIELDS = (
 )
 NUMERIC = ("port", "quantity", "filled_qty", "price")
 STAMP_LAYOUT = "yyyy-MM-dd hh:mm:ss"
+SEPARATOR = "\x1f"
 
 
 def _stamp(text: Column) -> Column:
     """12-hour stamp with a fraction of any length, without a zone."""
     whole = F.concat_ws(" ", F.regexp_extract(text, r"^(.*)\.\d+ [AP]M$", 1), F.right(text, F.lit(2)))
     micros = F.rpad(F.substring(F.regexp_extract(text, r"\.(\d+) [AP]M$", 1), 1, 6), 6, "0").try_cast("long")
-    at = F.try_to_timestamp(whole, F.lit(f"{STAMP_LAYOUT} a")).cast("timestamp_ntz")
+    at = parse_timestamp(whole, f"{STAMP_LAYOUT} a").cast("timestamp_ntz")
     return at + F.make_dt_interval(secs=(micros / F.lit(1_000_000)).cast("decimal(18,6)"))
 
 
 def parse_messages(lines: DataFrame, line: str = "line") -> DataFrame:
     """Raw text fields per line; the first shape that fits wins, else ``UNKNOWN`` with the line."""
     text = F.col(line)
-    shape = F.lit("UNKNOWN")
-    for name, (pattern, _) in reversed(MESSAGES.items()):
-        shape = F.when(text.rlike(pattern), F.lit(name)).otherwise(shape)
-    shaped = lines.withColumn("msg_type", shape)
+    # One pass per shape: a match is rewritten to its groups, split apart again.
+    fields = F.array(F.lit("UNKNOWN"))
+    for name, (pattern, groups) in reversed(MESSAGES.items()):
+        rewrite = SEPARATOR.join([name, *[f"${n}" for n in range(1, len(groups) + 1)]])
+        parts = F.split(F.regexp_replace(text, f"{pattern}(?s:.*)$", rewrite), SEPARATOR)
+        fields = F.when(text.rlike(pattern), parts).otherwise(fields)
+    shaped = lines.withColumn("_fields", fields).withColumn("msg_type", F.col("_fields")[0])
 
     def field_of(name: str) -> Column:
         value = F.lit(None).cast("string")
-        for kind, (pattern, groups) in MESSAGES.items():
+        for kind, (_, groups) in MESSAGES.items():
             if name in groups:
                 value = F.when(
-                    F.col("msg_type") == kind, F.regexp_extract(text, pattern, groups.index(name) + 1)
+                    F.col("msg_type") == kind, F.get("_fields", F.lit(groups.index(name) + 1))
                 ).otherwise(value)
         return value
 
@@ -68,7 +72,7 @@ def parse_messages(lines: DataFrame, line: str = "line") -> DataFrame:
 
 def type_messages(raw: DataFrame) -> DataFrame:
     """Typed fields: timestamp, time of day as ``HH:mm:ss`` text, numbers without commas."""
-    clock = F.date_format(F.try_to_timestamp("trade_time", F.lit("hh:mm a")), "HH:mm:ss")
+    clock = F.date_format(parse_timestamp(F.col("trade_time"), "hh:mm a"), "HH:mm:ss")
     figures = {n: number(F.replace(F.col(n), F.lit(","), F.lit(""))) for n in NUMERIC}
     return raw.withColumns({"log_ts": _stamp(F.col("log_ts")), "trade_time": clock, **figures})
 

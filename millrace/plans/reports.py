@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from millrace.operators.blocks import (
     BLOCK,
     TOTAL_LABELS,
-    attach,
+    anchored_tables,
     blank_to_null,
     block_heads,
     cell,
@@ -22,14 +22,10 @@ from millrace.operators.blocks import (
     drop_empty_rows,
     drop_total_columns,
     expand_header,
-    find_anchor,
     is_total,
-    key_values,
-    metrics_map,
     number_blocks,
     pairs,
     promote_header,
-    truncate_at_first,
     whole_file,
 )
 from millrace.session import stage
@@ -108,8 +104,8 @@ def _single_metric_report(
     sheet = whole_file(grid)
     row, col = key_at
     entry = F.array(_entry(cell(col), cell(value_col)))
-    metrics = metrics_map(key_values(sheet.where(F.col("block_row") == row), entry))
-    return promote_header(sheet, header_row, columns=columns, metrics=metrics)
+    lookup = block_heads(sheet, header_row, [(F.col("block_row") == row, entry)], columns)
+    return promote_header(sheet, header_row, columns=columns, lookup=lookup)
 
 
 def cil_report(grid: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -146,20 +142,15 @@ def bmo_report(grid: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
     Finding out which columns are empty runs one aggregate job.
     """
-    anchors = find_anchor(grid, "BRANCH")
-    placed = (
-        attach(grid, anchors, ["source_file"])
-        .where(F.col("row_no") >= F.col("anchor_row"))
-        .select(
-            "source_file",
-            F.lit(1).cast("long").alias("block_id"),
-            (F.col("row_no") - F.col("anchor_row")).alias("block_row"),
-            "row_no",
-            F.slice("cells", F.col("anchor_col") + 1, F.size("cells")).alias("cells"),
-        )
+    below = F.col("row_no") > F.col("anchor_row")
+    table = promote_header(
+        whole_file(grid),
+        0,
+        columns=columns,
+        lookup=anchored_tables(grid, "BRANCH"),
+        data=F.lit(True),
+        row_filter=below & (F.col("stop_row").isNull() | (F.col("row_no") < F.col("stop_row"))),
     )
-    kept = truncate_at_first(placed, (F.col("block_row") > 0) & is_total(cell(0)))
-    table = promote_header(kept, 0, columns=columns)
     body = [c for c in table.columns if c != "source_file"]
     table = drop_total_columns(drop_empty_rows(blank_to_null(table, body), body))
     return drop_empty_columns(table, [c for c in table.columns if c != "source_file"])

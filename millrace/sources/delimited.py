@@ -44,7 +44,7 @@ def scan_delimited(
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = reader.option("enforceSchema", False).schema(schema).csv(paths)
     return raw.select(
-        *[F.nullif(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names],
+        *[F.col(f"`{n}`") for n in names],
         file_label(lineage).alias("source_file"),
     )
 
@@ -88,7 +88,7 @@ def scan_skip_bad_rows(
 ) -> DataFrame:
     """Rows with more fields than the header are dropped; short rows are padded."""
     grid = whole_file(_with_field_count(fixed_grid(spark, paths, width, long_rows="keep", **options)))
-    return promote_header(grid, 0, columns=columns, row_filter=lambda header_size: F.col("_fields") <= header_size)
+    return promote_header(grid, 0, columns=columns, row_filter=F.col("_fields") <= F.col("header_size"))
 
 
 def scan_header_shift(
@@ -109,7 +109,7 @@ def scan_header_shift(
     grid = whole_file(_with_field_count(fixed_grid(spark, paths, width, long_rows="keep", **options)))
     lookup = expand_header(grid, 0, shift_label=label)
     return promote_header(
-        grid, 0, columns=columns, lookup=lookup, row_filter=lambda header_size: F.col("_fields") <= header_size
+        grid, 0, columns=columns, lookup=lookup, row_filter=F.col("_fields") <= F.col("header_size")
     )
 
 

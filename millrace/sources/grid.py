@@ -38,6 +38,7 @@ def _scan(
     # One spare column past the width: Spark cuts longer rows silently, so
     # without it a row that does not fit could not be told from one that does.
     schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width + 1)])
+    # The default null and empty marks make both empty and quoted empty cells NULL.
     raw = (
         spark.read.schema(schema)
         .option("header", False)
@@ -48,15 +49,13 @@ def _scan(
         .option("recursiveFileLookup", True)
         .csv(paths)
     )
-    # Empty cells are NULL already; a quoted empty cell arrives as "".
-    cells = F.transform(F.array(*[F.col(f"c{i}") for i in range(width)]), lambda c: F.nullif(c, F.lit("")))
     return raw.select(
         file_label(lineage).alias("source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_order"),
-        cells.alias("cells"),
-        F.nullif(F.col(f"c{width}"), F.lit("")).alias("_spare"),
+        F.array(*[F.col(f"c{i}") for i in range(width)]).alias("cells"),
+        F.col(f"c{width}").alias("_spare"),
     )
 
 

@@ -194,6 +194,12 @@ def test_files_with_other_headers(spark, folder):
         delimited.scan_delimited(spark, str(folder)).collect()
 
 
+def test_quoted_empty_cells_are_null(spark, folder):
+    (folder / "a.csv").write_text('A,B,C\n1,"",3\n')
+    assert rows(delimited.scan_delimited(spark, str(folder)).na.fill("-"), "A", "B", "C") == [("1", "-", "3")]
+    assert grid.fixed_grid(spark, str(folder), 3).where("row_no = 1").first()["cells"] == ["1", None, "3"]
+
+
 def test_ragged_rows(spark, folder):
     (folder / "a.csv").write_text("a\nb,,c\n,,\n")
     got = {r["row_no"]: r["cells"] for r in grid.ragged_grid(spark, str(folder), max_width=4).collect()}
