@@ -14,42 +14,44 @@ from collections.abc import Mapping
 from millrace.config import ColumnMap, FeedSpec, SilverSpec
 
 # Fixed values, one feed per line, first match wins:
-# file name pattern | parser | bronze table | load, rename | silver table | keys | dedup timestamp
-# {c} is the client name, {t} the same in lower case.
+# file name pattern | parser | bronze table | load, rename | silver keys | silver table | dedup timestamp
+# {c} is the client name, {t} the same in lower case. A feed without keys has no
+# silver table; the silver table is named like the bronze one ("=" or left out)
+# and versions are ranked by ingested_at, unless the line says otherwise.
 DELIVERIES = r"""
-{c}_INAVBSKT_ALL\.\d{8}\.csv | pcf | pcf_inav_baskets | append | pcf_inav_baskets | trade_date, fund_ticker, description, ticker | ingested_at
-{c}_BSKT_ALL\.\d{8}\.csv | pcf | pcf_creation_baskets | append | pcf_creation_baskets | trade_date, fund_ticker, description, ticker | ingested_at
-All_Positions\d{8}\.csv | csv | all_positions | append | all_positions | source_file, ss_id_cust, ticker | ingested_at
-PLF_Positions\d{8}\.csv | csv | plf_positions | append | plf_positions | source_file, ss_id_cust, ticker | ingested_at
-{c}_CIL_ALL\.\d{8}\.(csv¦txt) | cil | cash_in_lieu_records | append | cash_in_lieu_records | record_date, fund_ticker, description | ingested_at
-{c}_INKIND\.\d{8}\.txt | csv skip 1 | inkind_orders | append | inkind_orders | trade_date, ss_id, description, ticker | ingested_at
-{c}_NAV_ALL\.\d{8}\.csv | cil | pcf_nav_records | append | pcf_nav_records | record_date, fund_ticker | ingested_at
-{c}_Preburst_INKIND_ALL\.\d{8}\.txt | csv skip 1 | preburst_inkind_orders | append | preburst_inkind_orders | trade_date, ss_id, description, ticker | ingested_at
-{c} Price File -\d{8}\.(xls¦xlsx) | accounting_nav | accounting_nav_records | append | accounting_nav_records | record_date, ss_id, fund_name | ingested_at
-Accounting_Cash_Statement\.csv | csv | accounting_cash_statements | overwrite, rename | accounting_cash_statements | record_date, ss_id, cash_post_description, cusip_id | record_date
-All_Corporate_Actions\.csv | csv | all_corporate_actions | overwrite, rename | all_corporate_actions | notification_date, ss_id, event_id | notification_date
-Cash_Forecast_Transactions\.csv | csv | cash_forecast_transactions | overwrite, rename | cash_forecast_transactions | record_datetime, ss_id, isin_id | trade_date
-Custody_Positions\.csv | csv | custody_positions | append, rename | custody_positions | ingested_at, ss_id, security_name | ingested_at
-Custody_Transactions\.csv | csv | custody_transactions | overwrite, rename | custody_transactions | record_datetime, ss_id, ss_trade_id | trade_date
-Daily_Model_Holdings\.csv | csv | daily_model_holdings | append, rename | daily_model_holdings | record_date, ss_id, security_name | ingested_at
-Daily_Net_Asset_Values\.csv | csv | daily_net_asset_values | append, rename | daily_net_asset_values | record_date, ss_id, fund_class | ingested_at
-Distribution_Liability\.CSV | csv | distribution_liabilities | append, rename | distribution_liabilities | record_date, ss_id, gl_account_number | ingested_at
-Loan_Balances\.csv | csv | loan_balances | append, rename | loan_balances | record_date, ss_id, gl_account_number | ingested_at
-Opening_Cash_Balances\.csv | csv | opening_cash_balances | append, rename | opening_cash_balances | record_date, ss_id | ingested_at
-Pending_FX_Accounting\.csv | csv | pending_fx_accounting_records | append, rename | pending_fx_accounting_records | record_date, ss_id, trade_id | ingested_at
-Top10_FX_Pending\.csv | csv | top10_fx_pending_records | append, rename | top10_fx_pending_records | record_date, ss_id, trade_id | ingested_at
-Top10_Net_Asset_Value\.csv | csv | top10_net_asset_values | append, rename | top10_net_asset_values | record_date, ss_id, dual_pricing_basis | ingested_at
-{c}_UCF | ucf | ucf_records | append | ucf_records | trade_date, fund_ticker, description, ticker | ingested_at
-FPTRAD_report\.csv | csv shifted | daily_net_sales | append, rename | daily_net_sales | order_id, trade_date, ticker | ingested_at
-^securities\.csv$ | csv | all_securities | append, rename | ref_all_securities | figi_id | ingested_at
-^exchanges\.csv$ | csv | all_exchanges_codes | append, rename | ref_exchanges | iso_country, equity_exch_code | ingested_at
-{c} Canadian ETF\.xlsx | sheet | cds_monthly_participant_reports | append | cds_monthly_participant_reports | report_date, isin_id, cuid_id | ingested_at
-{t}_fund_identifiers\.csv | csv | {t}_fund_identifiers | append, rename | ref_{t}_fund_identifiers | fund_ticker | ingested_at
-history_all_distributions\.csv | csv | bbg_history_all_distributions | append, rename | bbg_history_all_distributions | ex_date, ticker | ingested_at
-bbg_history_all_funds_monthly_navs\.csv | csv | bbg_history_all_funds_monthly_navs | append, rename | | |
-{c}_\d{4}[-_]\d{2}[-_]\d{2}\.xlsx | nbf | nbf_wealth_changes_qq | append | | |
-BMO_Q\d{1}_\d{4}\.xlsx | bmo | bmo_wealth_changes_qq | append | bmo_wealth_changes_qq | branch | ingested_at
-Branch_Mapping\.csv | csv | branch_mappings | append | ref_branch_mappings | broker, branch_name | ingested_at
+{c}_INAVBSKT_ALL\.\d{8}\.csv | pcf | pcf_inav_baskets | append | trade_date, fund_ticker, description, ticker
+{c}_BSKT_ALL\.\d{8}\.csv | pcf | pcf_creation_baskets | append | trade_date, fund_ticker, description, ticker
+All_Positions\d{8}\.csv | csv | all_positions | append | source_file, ss_id_cust, ticker
+PLF_Positions\d{8}\.csv | csv | plf_positions | append | source_file, ss_id_cust, ticker
+{c}_CIL_ALL\.\d{8}\.(csv|txt) | cil | cash_in_lieu_records | append | record_date, fund_ticker, description
+{c}_INKIND\.\d{8}\.txt | csv skip 1 | inkind_orders | append | trade_date, ss_id, description, ticker
+{c}_NAV_ALL\.\d{8}\.csv | cil | pcf_nav_records | append | record_date, fund_ticker
+{c}_Preburst_INKIND_ALL\.\d{8}\.txt | csv skip 1 | preburst_inkind_orders | append | trade_date, ss_id, description, ticker
+{c} Price File -\d{8}\.(xls|xlsx) | accounting_nav | accounting_nav_records | append | record_date, ss_id, fund_name
+Accounting_Cash_Statement\.csv | csv | accounting_cash_statements | overwrite, rename | record_date, ss_id, cash_post_description, cusip_id | = | record_date
+All_Corporate_Actions\.csv | csv | all_corporate_actions | overwrite, rename | notification_date, ss_id, event_id | = | notification_date
+Cash_Forecast_Transactions\.csv | csv | cash_forecast_transactions | overwrite, rename | record_datetime, ss_id, isin_id | = | trade_date
+Custody_Positions\.csv | csv | custody_positions | append, rename | ingested_at, ss_id, security_name
+Custody_Transactions\.csv | csv | custody_transactions | overwrite, rename | record_datetime, ss_id, ss_trade_id | = | trade_date
+Daily_Model_Holdings\.csv | csv | daily_model_holdings | append, rename | record_date, ss_id, security_name
+Daily_Net_Asset_Values\.csv | csv | daily_net_asset_values | append, rename | record_date, ss_id, fund_class
+Distribution_Liability\.CSV | csv | distribution_liabilities | append, rename | record_date, ss_id, gl_account_number
+Loan_Balances\.csv | csv | loan_balances | append, rename | record_date, ss_id, gl_account_number
+Opening_Cash_Balances\.csv | csv | opening_cash_balances | append, rename | record_date, ss_id
+Pending_FX_Accounting\.csv | csv | pending_fx_accounting_records | append, rename | record_date, ss_id, trade_id
+Top10_FX_Pending\.csv | csv | top10_fx_pending_records | append, rename | record_date, ss_id, trade_id
+Top10_Net_Asset_Value\.csv | csv | top10_net_asset_values | append, rename | record_date, ss_id, dual_pricing_basis
+{c}_UCF | ucf | ucf_records | append | trade_date, fund_ticker, description, ticker
+FPTRAD_report\.csv | csv shifted | daily_net_sales | append, rename | order_id, trade_date, ticker
+^securities\.csv$ | csv | all_securities | append, rename | figi_id | ref_all_securities
+^exchanges\.csv$ | csv | all_exchanges_codes | append, rename | iso_country, equity_exch_code | ref_exchanges
+{c} Canadian ETF\.xlsx | sheet | cds_monthly_participant_reports | append | report_date, isin_id, cuid_id
+{t}_fund_identifiers\.csv | csv | {t}_fund_identifiers | append, rename | fund_ticker | ref_{t}_fund_identifiers
+history_all_distributions\.csv | csv | bbg_history_all_distributions | append, rename | ex_date, ticker
+bbg_history_all_funds_monthly_navs\.csv | csv | bbg_history_all_funds_monthly_navs | append, rename
+{c}_\d{4}[-_]\d{2}[-_]\d{2}\.xlsx | nbf | nbf_wealth_changes_qq | append
+BMO_Q\d{1}_\d{4}\.xlsx | bmo | bmo_wealth_changes_qq | append | branch
+Branch_Mapping\.csv | csv | branch_mappings | append | broker, branch_name | ref_branch_mappings
 """
 
 
@@ -59,9 +61,11 @@ def catalogue(client: str, columns: Mapping[str, Mapping[str, ColumnMap]] | None
     feeds = []
     for line in DELIVERIES.strip().splitlines():
         filled = line.replace("{c}", re.escape(client)).replace("{t}", client.lower())
-        pattern, parser, bronze, load, silver, keys, stamp = (p.strip() for p in filled.split("|"))
+        pattern, parser, bronze, load, *rest = filled.split(" | ")
+        keys, silver, stamp = (rest + ["", "=", "ingested_at"][len(rest) :])[:3]
+        silver = bronze if silver == "=" else silver
         spec = None
-        if silver:
+        if keys:
             spec = SilverSpec(
                 table=silver,
                 primary_keys=tuple(k.strip() for k in keys.split(",")),
@@ -71,7 +75,7 @@ def catalogue(client: str, columns: Mapping[str, Mapping[str, ColumnMap]] | None
             )
         feeds.append(
             FeedSpec(
-                pattern=pattern.replace("¦", "|"),
+                pattern=pattern,
                 parser=parser,
                 bronze_table=bronze,
                 rename="rename" in load,
