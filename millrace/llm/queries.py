@@ -36,7 +36,7 @@ END_ID = 2
 REDACTIONS = (
     (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "@", "[EMAIL]"),
     (r"[0-9a-fA-F]{32,}", "[0-9a-fA-F]{32}", "[KEY]"),
-    (r"\+?[0-9][0-9 ().-]{7,}[0-9]", "[0-9][0-9 ().-]{7}", "[NUMBER]"),
+    (r"(?<![0-9A-Za-z])\+?[0-9][0-9 ().-]{7,}[0-9](?![0-9A-Za-z])", "[0-9][0-9 ().-]{7}", "[NUMBER]"),
     (r"Licensed under the [^\n]*", "Licensed under the ", ""),
 )
 
