@@ -17,9 +17,10 @@ Shards are written by tasks over ranges of doc_id, under names of their own for
 each attempt; the table of shards, which Spark commits as a whole, says which
 ones count.  A lost task thus leaves at most files that nothing names.
 
-Texts are cut, before encoding, at every space with no white space beside it,
-where the byte-level pattern always starts a pre-token; pieces met before are
-taken from a bounded memory and only new ones are encoded.
+Texts are cut, before encoding, where the byte-level pattern always starts a
+pre-token: at every space with no white space beside it, and new pieces again
+after ASCII letters and lone line breaks.  Pieces met before are taken from a
+bounded memory; only new ones are encoded.
 
 Defined cases: null texts are empty and give a record with the end id alone;
 null ids come first; repeated ids are kept, in order of their text hashes; an
@@ -30,7 +31,9 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import partial
 from uuid import uuid4
@@ -45,7 +48,8 @@ from pyspark.sql import Window as W
 from millrace.llm.common import rows_of, small_batches
 from millrace.session import stage, workspace
 
-REMEMBERED = 300_000
+#: Pieces that a worker remembers; as many again stay from before the last turn.
+REMEMBERED = 600_000
 #: Bytes that a writer gathers, and a reader fetches, at a time.
 BUFFER = 1 << 20
 
@@ -53,6 +57,8 @@ _SHARDS = "shard int, path string, n_docs bigint, n_ids bigint, n_bytes bigint,
 _HEAD, _CHECK, _ID = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<Bq")
 _TOUCHING = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: Inside a piece, where the pattern starts a pre-token too: after ASCII letters, and after a lone line break.
+_INNER = re.compile(r"(?<=[A-Za-z])(?=[!-/:-@\[-`{-~\n])|(?<=\S\n)(?=\S)")
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -63,12 +69,29 @@ def masked(data: bytes) -> int:
 
 
 def pieces(text: str) -> list[str]:
-    """The text cut before every space that has no white space beside it."""
-    if _TOUCHING.search(text) or text[:1] == " " or text[-1:] == " ":
-        parts = _LONE_SPACE.split(text)
-    else:
-        parts = text.split(" ")
-    return [parts[0], *(" " + p for p in parts[1:])] if parts[0] or len(parts) > 1 else []
+    """The text cut at every space that has no white space beside it; all pieces but the first lack that space."""
+    if text[:1] == " " or text[-1:] == " " or _TOUCHING.search(text):
+        return _LONE_SPACE.split(text)
+    return text.split(" ")
+
+
+class _Memory:
+    """What was met lately: a map that starts anew when full and still looks into its last filling."""
+
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def turn(self) -> None:
+        if len(self.now) > REMEMBERED:
+            self.now, self.before = {}, self.now
+
+    def lacking(self, wanted: set[str]) -> list[str]:
+        """What of ``wanted`` has to be learned; the rest is in ``now`` afterwards."""
+        now, before = self.now, self.before
+        new = [p for p in wanted if p not in now]
+        now.update((p, before[p]) for p in new if p in before)
+        return [p for p in new if p not in before]
 
 
 class Encoder:
@@ -80,18 +103,39 @@ class Encoder:
         self._tokenizer = Tokenizer.from_file(vocabulary)
         self._tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self._known: dict[str, bytes] = {}
+        self._code = "H" if self.kind.itemsize == 2 else "I"
+        self._spaced, self._parts = _Memory(), _Memory()
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        if len(self._known) > REMEMBERED:
-            self._known.clear()
-        known = self._known
-        cut = [pieces(t) for t in texts]
-        new = list({p for parts in cut for p in parts if p not in known})
+    def _encode_parts(self, wanted: set[str]) -> None:
+        new = self._parts.lacking(wanted)
         for p, found in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[p] = np.array(found.ids, self.kind).tobytes()
-        for parts in cut:
-            yield b"".join([known[p] for p in parts])
+            ids = array(self._code, found.ids)
+            if sys.byteorder == "big":
+                ids.byteswap()
+            self._parts.now[p] = ids.tobytes()
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        self._spaced.turn()
+        self._parts.turn()
+        known = self._spaced.now
+        cut, new, heads = [], set(), set()
+        for text in texts:
+            own = pieces(text)
+            head = own.pop(0)
+            ids = list(map(known.get, own))
+            if None in ids:
+                new.update(p for p, found in zip(own, ids) if found is None)
+            heads.add(head)
+            cut.append((head, own, ids))
+        inner = {p: _INNER.split(" " + p) for p in self._spaced.lacking(new)}
+        self._encode_parts(heads.union(*inner.values()))
+        parts = self._parts.now
+        for p, own in inner.items():
+            known[p] = b"".join([parts[q] for q in own]) if len(own) > 1 else parts[own[0]]
+        for head, own, ids in cut:
+            if None in ids:
+                ids = [known[p] if found is None else found for p, found in zip(own, ids)]
+            yield parts[head] + b"".join(ids)
 
 
 def _encoder(vocabulary: str) -> Encoder:
