@@ -130,7 +130,8 @@ def _gradient(m: dict, x: np.ndarray, starts: np.ndarray, y: np.ndarray) -> dict
     }
 
 
-def train(bags: list[np.ndarray], labels: np.ndarray, rounds: int = 14, batch: int = 32, seed: int = 7) -> dict[str, np.ndarray]:
+def train(bags: list[np.ndarray], labels: np.ndarray, steps: int = 1_400, batch: int = 32, seed: int = 7) -> dict[str, np.ndarray]:
+    """Whole rounds over the bags, ``steps`` of them at least."""
     m, rng = _start(seed), np.random.default_rng(seed)
     labels = labels.astype(np.float32)
     if not len(labels) or labels.min() == labels.max():
@@ -140,7 +141,9 @@ def train(bags: list[np.ndarray], labels: np.ndarray, rounds: int = 14, batch: i
         return m
     mean = {k: np.zeros_like(v) for k, v in m.items()}
     square = {k: np.zeros_like(v) for k, v in m.items()}
-    step, steps = 0, rounds * (-(-len(bags) // batch))
+    per_round = -(-len(bags) // batch)
+    rounds = -(-steps // per_round)
+    step, steps = 0, rounds * per_round
     for _ in range(rounds):
         order = rng.permutation(len(bags))
         for i in range(0, len(order), batch):

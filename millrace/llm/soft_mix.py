@@ -88,6 +88,8 @@ def _add_weight(names: Column, weights: Column, total: Column, term: Column) ->
 
 def _scores(present: Column, model: Classifier) -> list[Column]:
     """Log scores of the domains; ``present`` holds the vocabulary's terms of a document."""
+    if not model.terms:
+        return [F.lit(bias) for bias in model.bias]
     names = F.array(*[F.lit(t) for t in model.terms])
     out = []
     for k, bias in enumerate(model.bias):
