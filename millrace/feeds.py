@@ -1,7 +1,6 @@
 """The delivery catalogue: which files exist, how they parse, where they land.
 
-The catalogue is data.  Routing, layout and key facts are the fixed values
-below; the typed column maps are a parameter (see
+The catalogue is data.  The typed column maps are a parameter (see
 :func:`millrace.config.column_maps_from_text` for a readable notation), and so
 is the client name that the custodian puts into file names.
 """
@@ -13,74 +12,143 @@ from collections.abc import Mapping
 
 from millrace.config import ColumnMap, FeedSpec, SilverSpec
 
-# Fixed values, one feed per line, first match wins:
-# file name pattern | parser | bronze table | load, rename | silver keys | silver table | dedup timestamp
-# {c} is the client name, {t} the same in lower case. A feed without keys has no
-# silver table; the silver table is named like the bronze one ("=" or left out)
-# and versions are ranked by ingested_at, unless the line says otherwise.
-DELIVERIES = r"""
-{c}_INAVBSKT_ALL\.\d{8}\.csv | pcf | pcf_inav_baskets | append | trade_date, fund_ticker, description, ticker
-{c}_BSKT_ALL\.\d{8}\.csv | pcf | pcf_creation_baskets | append | trade_date, fund_ticker, description, ticker
-All_Positions\d{8}\.csv | csv | all_positions | append | source_file, ss_id_cust, ticker
-PLF_Positions\d{8}\.csv | csv | plf_positions | append | source_file, ss_id_cust, ticker
-{c}_CIL_ALL\.\d{8}\.(csv|txt) | cil | cash_in_lieu_records | append | record_date, fund_ticker, description
-{c}_INKIND\.\d{8}\.txt | csv skip 1 | inkind_orders | append | trade_date, ss_id, description, ticker
-{c}_NAV_ALL\.\d{8}\.csv | cil | pcf_nav_records | append | record_date, fund_ticker
-{c}_Preburst_INKIND_ALL\.\d{8}\.txt | csv skip 1 | preburst_inkind_orders | append | trade_date, ss_id, description, ticker
-{c} Price File -\d{8}\.(xls|xlsx) | accounting_nav | accounting_nav_records | append | record_date, ss_id, fund_name
-Accounting_Cash_Statement\.csv | csv | accounting_cash_statements | overwrite, rename | record_date, ss_id, cash_post_description, cusip_id | = | record_date
-All_Corporate_Actions\.csv | csv | all_corporate_actions | overwrite, rename | notification_date, ss_id, event_id | = | notification_date
-Cash_Forecast_Transactions\.csv | csv | cash_forecast_transactions | overwrite, rename | record_datetime, ss_id, isin_id | = | trade_date
-Custody_Positions\.csv | csv | custody_positions | append, rename | ingested_at, ss_id, security_name
-Custody_Transactions\.csv | csv | custody_transactions | overwrite, rename | record_datetime, ss_id, ss_trade_id | = | trade_date
-Daily_Model_Holdings\.csv | csv | daily_model_holdings | append, rename | record_date, ss_id, security_name
-Daily_Net_Asset_Values\.csv | csv | daily_net_asset_values | append, rename | record_date, ss_id, fund_class
-Distribution_Liability\.CSV | csv | distribution_liabilities | append, rename | record_date, ss_id, gl_account_number
-Loan_Balances\.csv | csv | loan_balances | append, rename | record_date, ss_id, gl_account_number
-Opening_Cash_Balances\.csv | csv | opening_cash_balances | append, rename | record_date, ss_id
-Pending_FX_Accounting\.csv | csv | pending_fx_accounting_records | append, rename | record_date, ss_id, trade_id
-Top10_FX_Pending\.csv | csv | top10_fx_pending_records | append, rename | record_date, ss_id, trade_id
-Top10_Net_Asset_Value\.csv | csv | top10_net_asset_values | append, rename | record_date, ss_id, dual_pricing_basis
-{c}_UCF | ucf | ucf_records | append | trade_date, fund_ticker, description, ticker
-FPTRAD_report\.csv | csv shifted | daily_net_sales | append, rename | order_id, trade_date, ticker
-^securities\.csv$ | csv | all_securities | append, rename | figi_id | ref_all_securities
-^exchanges\.csv$ | csv | all_exchanges_codes | append, rename | iso_country, equity_exch_code | ref_exchanges
-{c} Canadian ETF\.xlsx | sheet | cds_monthly_participant_reports | append | report_date, isin_id, cuid_id
-{t}_fund_identifiers\.csv | csv | {t}_fund_identifiers | append, rename | fund_ticker | ref_{t}_fund_identifiers
-history_all_distributions\.csv | csv | bbg_history_all_distributions | append, rename | ex_date, ticker
-bbg_history_all_funds_monthly_navs\.csv | csv | bbg_history_all_funds_monthly_navs | append, rename
-{c}_\d{4}[-_]\d{2}[-_]\d{2}\.xlsx | nbf | nbf_wealth_changes_qq | append
-BMO_Q\d{1}_\d{4}\.xlsx | bmo | bmo_wealth_changes_qq | append | branch
-Branch_Mapping\.csv | csv | branch_mappings | append | broker, branch_name | ref_branch_mappings
-"""
-
 
 def catalogue(client: str, columns: Mapping[str, Mapping[str, ColumnMap]] | None = None) -> list[FeedSpec]:
     """All feeds of a client, in match order; ``columns`` maps bronze table to column map."""
     columns = columns or {}
-    feeds = []
-    for line in DELIVERIES.strip().splitlines():
-        filled = line.replace("{c}", re.escape(client)).replace("{t}", client.lower())
-        pattern, parser, bronze, load, *rest = filled.split(" | ")
-        keys, silver, stamp = (rest + ["", "=", "ingested_at"][len(rest) :])[:3]
-        silver = bronze if silver == "=" else silver
-        spec = None
-        if keys:
-            spec = SilverSpec(
-                table=silver,
-                primary_keys=tuple(k.strip() for k in keys.split(",")),
-                columns=columns.get(bronze, {}),
-                dedup_timestamp=stamp,
-                table_type="reference" if silver.startswith("ref_") else "fact",
-            )
-        feeds.append(
-            FeedSpec(
-                pattern=pattern,
-                parser=parser,
-                bronze_table=bronze,
-                rename="rename" in load,
-                load_type=load.split(",")[0],
-                silver=spec,
-            )
-        )
-    return feeds
+    c, lower = re.escape(client), client.lower()
+    # File name pattern, parser, bronze table, then what differs from a FeedSpec's
+    # and a SilverSpec's defaults.  The first match wins.
+    feeds = [
+        FeedSpec(
+            rf"{c}_INAVBSKT_ALL\.\d{{8}}\.csv", "pcf", "pcf_inav_baskets",
+            silver=SilverSpec("pcf_inav_baskets", ("trade_date", "fund_ticker", "description", "ticker")),
+        ),
+        FeedSpec(
+            rf"{c}_BSKT_ALL\.\d{{8}}\.csv", "pcf", "pcf_creation_baskets",
+            silver=SilverSpec("pcf_creation_baskets", ("trade_date", "fund_ticker", "description", "ticker")),
+        ),
+        FeedSpec(
+            r"All_Positions\d{8}\.csv", "csv", "all_positions",
+            silver=SilverSpec("all_positions", ("source_file", "ss_id_cust", "ticker")),
+        ),
+        FeedSpec(
+            r"PLF_Positions\d{8}\.csv", "csv", "plf_positions",
+            silver=SilverSpec("plf_positions", ("source_file", "ss_id_cust", "ticker")),
+        ),
+        FeedSpec(
+            rf"{c}_CIL_ALL\.\d{{8}}\.(csv|txt)", "cil", "cash_in_lieu_records",
+            silver=SilverSpec("cash_in_lieu_records", ("record_date", "fund_ticker", "description")),
+        ),
+        FeedSpec(
+            rf"{c}_INKIND\.\d{{8}}\.txt", "csv skip 1", "inkind_orders",
+            silver=SilverSpec("inkind_orders", ("trade_date", "ss_id", "description", "ticker")),
+        ),
+        FeedSpec(
+            rf"{c}_NAV_ALL\.\d{{8}}\.csv", "cil", "pcf_nav_records",
+            silver=SilverSpec("pcf_nav_records", ("record_date", "fund_ticker")),
+        ),
+        FeedSpec(
+            rf"{c}_Preburst_INKIND_ALL\.\d{{8}}\.txt", "csv skip 1", "preburst_inkind_orders",
+            silver=SilverSpec("preburst_inkind_orders", ("trade_date", "ss_id", "description", "ticker")),
+        ),
+        FeedSpec(
+            rf"{c} Price File -\d{{8}}\.(xls|xlsx)", "accounting_nav", "accounting_nav_records",
+            silver=SilverSpec("accounting_nav_records", ("record_date", "ss_id", "fund_name")),
+        ),
+        FeedSpec(
+            r"Accounting_Cash_Statement\.csv", "csv", "accounting_cash_statements", rename=True, load_type="overwrite",
+            silver=SilverSpec("accounting_cash_statements", ("record_date", "ss_id", "cash_post_description", "cusip_id"), dedup_timestamp="record_date"),
+        ),
+        FeedSpec(
+            r"All_Corporate_Actions\.csv", "csv", "all_corporate_actions", rename=True, load_type="overwrite",
+            silver=SilverSpec("all_corporate_actions", ("notification_date", "ss_id", "event_id"), dedup_timestamp="notification_date"),
+        ),
+        FeedSpec(
+            r"Cash_Forecast_Transactions\.csv", "csv", "cash_forecast_transactions", rename=True, load_type="overwrite",
+            silver=SilverSpec("cash_forecast_transactions", ("record_datetime", "ss_id", "isin_id"), dedup_timestamp="trade_date"),
+        ),
+        FeedSpec(
+            r"Custody_Positions\.csv", "csv", "custody_positions", rename=True,
+            silver=SilverSpec("custody_positions", ("ingested_at", "ss_id", "security_name")),
+        ),
+        FeedSpec(
+            r"Custody_Transactions\.csv", "csv", "custody_transactions", rename=True, load_type="overwrite",
+            silver=SilverSpec("custody_transactions", ("record_datetime", "ss_id", "ss_trade_id"), dedup_timestamp="trade_date"),
+        ),
+        FeedSpec(
+            r"Daily_Model_Holdings\.csv", "csv", "daily_model_holdings", rename=True,
+            silver=SilverSpec("daily_model_holdings", ("record_date", "ss_id", "security_name")),
+        ),
+        FeedSpec(
+            r"Daily_Net_Asset_Values\.csv", "csv", "daily_net_asset_values", rename=True,
+            silver=SilverSpec("daily_net_asset_values", ("record_date", "ss_id", "fund_class")),
+        ),
+        FeedSpec(
+            r"Distribution_Liability\.CSV", "csv", "distribution_liabilities", rename=True,
+            silver=SilverSpec("distribution_liabilities", ("record_date", "ss_id", "gl_account_number")),
+        ),
+        FeedSpec(
+            r"Loan_Balances\.csv", "csv", "loan_balances", rename=True,
+            silver=SilverSpec("loan_balances", ("record_date", "ss_id", "gl_account_number")),
+        ),
+        FeedSpec(
+            r"Opening_Cash_Balances\.csv", "csv", "opening_cash_balances", rename=True,
+            silver=SilverSpec("opening_cash_balances", ("record_date", "ss_id")),
+        ),
+        FeedSpec(
+            r"Pending_FX_Accounting\.csv", "csv", "pending_fx_accounting_records", rename=True,
+            silver=SilverSpec("pending_fx_accounting_records", ("record_date", "ss_id", "trade_id")),
+        ),
+        FeedSpec(
+            r"Top10_FX_Pending\.csv", "csv", "top10_fx_pending_records", rename=True,
+            silver=SilverSpec("top10_fx_pending_records", ("record_date", "ss_id", "trade_id")),
+        ),
+        FeedSpec(
+            r"Top10_Net_Asset_Value\.csv", "csv", "top10_net_asset_values", rename=True,
+            silver=SilverSpec("top10_net_asset_values", ("record_date", "ss_id", "dual_pricing_basis")),
+        ),
+        FeedSpec(
+            rf"{c}_UCF", "ucf", "ucf_records",
+            silver=SilverSpec("ucf_records", ("trade_date", "fund_ticker", "description", "ticker")),
+        ),
+        FeedSpec(
+            r"FPTRAD_report\.csv", "csv shifted", "daily_net_sales", rename=True,
+            silver=SilverSpec("daily_net_sales", ("order_id", "trade_date", "ticker")),
+        ),
+        FeedSpec(
+            r"^securities\.csv$", "csv", "all_securities", rename=True,
+            silver=SilverSpec("ref_all_securities", ("figi_id",), table_type="reference"),
+        ),
+        FeedSpec(
+            r"^exchanges\.csv$", "csv", "all_exchanges_codes", rename=True,
+            silver=SilverSpec("ref_exchanges", ("iso_country", "equity_exch_code"), table_type="reference"),
+        ),
+        FeedSpec(
+            rf"{c} Canadian ETF\.xlsx", "sheet", "cds_monthly_participant_reports",
+            silver=SilverSpec("cds_monthly_participant_reports", ("report_date", "isin_id", "cuid_id")),
+        ),
+        FeedSpec(
+            rf"{lower}_fund_identifiers\.csv", "csv", f"{lower}_fund_identifiers", rename=True,
+            silver=SilverSpec(f"ref_{lower}_fund_identifiers", ("fund_ticker",), table_type="reference"),
+        ),
+        FeedSpec(
+            r"history_all_distributions\.csv", "csv", "bbg_history_all_distributions", rename=True,
+            silver=SilverSpec("bbg_history_all_distributions", ("ex_date", "ticker")),
+        ),
+        FeedSpec(
+            r"bbg_history_all_funds_monthly_navs\.csv", "csv", "bbg_history_all_funds_monthly_navs", rename=True,
+        ),
+        FeedSpec(
+            rf"{c}_\d{{4}}[-_]\d{{2}}[-_]\d{{2}}\.xlsx", "nbf", "nbf_wealth_changes_qq",
+        ),
+        FeedSpec(
+            r"BMO_Q\d{1}_\d{4}\.xlsx", "bmo", "bmo_wealth_changes_qq",
+            silver=SilverSpec("bmo_wealth_changes_qq", ("branch",)),
+        ),
+        FeedSpec(
+            r"Branch_Mapping\.csv", "csv", "branch_mappings",
+            silver=SilverSpec("ref_branch_mappings", ("broker", "branch_name"), table_type="reference"),
+        ),
+    ]
+    return [f.with_columns(columns.get(f.bronze_table, {})) if f.silver else f for f in feeds]

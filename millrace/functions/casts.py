@@ -139,11 +139,11 @@ def to_float(c: Column, source: T.DataType, _m: ColumnMap, tidied: bool = False)
 
 
 def to_int(c: Column, source: T.DataType, _m: ColumnMap, tidied: bool = False) -> Column:
-    """Round half to even; whole numbers keep all digits, infinities become NULL."""
+    """Round half to even; whole numbers keep all digits, what a long cannot hold becomes NULL."""
     if passes("int", source):
         return c.cast("long")
     text = F.replace(_text(c, tidied), F.lit(","), F.lit(""))
-    whole = text.rlike(r"^[+-]?\d{1,18}$")
+    whole = text.rlike(r"^[+-]?\d+$")
     return F.when(whole, text.try_cast("long")).otherwise(F.rint(number(text)).try_cast("long"))
 
 

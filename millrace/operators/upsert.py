@@ -43,9 +43,22 @@ def current_rows(table: DataFrame) -> DataFrame:
 
 
 def align_types(df: DataFrame, target: T.StructType) -> DataFrame:
-    """Cast columns that the target table already has to its types."""
+    """Cast columns that the target table already has to its types; a value that does not fit becomes NULL.
+
+    :func:`alignment_loss` counts such values.
+    """
     known = {f.name: f.dataType for f in target.fields}
-    return df.select(*[F.col(f"`{c}`").cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in df.columns])
+    return df.select(*[F.col(f"`{c}`").try_cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in df.columns])
+
+
+def alignment_loss(df: DataFrame, target: T.StructType) -> DataFrame:
+    """One row: per column that changes its type, the values that the target's type cannot hold."""
+    own = {f.name: f.dataType for f in df.schema.fields}
+    changed = [f for f in target.fields if f.name in own and own[f.name] != f.dataType]
+    lost = [
+        F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).alias(f.name) for f in changed
+    ]
+    return df.agg(*lost or [F.lit(0).alias("none")])
 
 
 def _union_schema(a: T.StructType, b: T.StructType) -> list[T.StructField]:

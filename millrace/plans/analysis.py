@@ -1,61 +1,45 @@
-"""The ad-hoc SQL of the fund desk, as Spark SQL over registered views."""
+"""Relations that an analyst draws from tables: filled keys, excluded values, code pieces, borrowed values."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping, Sequence
 
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-def bbg_tickers(spark: SparkSession, holdings: str) -> DataFrame:
-    """Ticker, or currency, of everything but cash; all other columns behind it."""
-    return spark.sql(f"""
-        SELECT CASE WHEN asset_class <> 'CASH EQUIVALENT' THEN COALESCE(bbg_ticker_raw, currency_code) END AS bbg_ticker, *
-        FROM {holdings}
-    """)
 
+def with_fallback(df: DataFrame, name: str, first: str, *others: str, unless: tuple[str, object] | None = None) -> DataFrame:
+    """``name`` in front: the first filled of several columns; NULL where a column is NULL or holds the value of ``unless``."""
+    value = F.coalesce(first, *others)
+    if unless:
+        column, excluded = unless
+        value = F.when(F.col(column) != F.lit(excluded), value)
+    return df.select(value.alias(name), "*")
 
-def foreign_options(spark: SparkSession, holdings: str) -> DataFrame:
-    """Distinct option contracts outside the home currencies."""
-    return spark.sql(f"""
-        SELECT DISTINCT security_name, local_strike_price, asset_class, currency_code
-        FROM {holdings}
-        WHERE asset_class = 'OPTIONS' AND currency_code NOT IN ('USD', 'CAD')
-    """)
 
+def distinct_where(df: DataFrame, columns: Sequence[str], equal: Mapping[str, object], excluded: Mapping[str, Sequence]) -> DataFrame:
+    """Distinct rows of ``columns`` with the values of ``equal`` and none of those of ``excluded`` (NULL is never taken)."""
+    kept = F.lit(True)
+    for name, value in equal.items():
+        kept = kept & (F.col(name) == F.lit(value))
+    for name, values in excluded.items():
+        kept = kept & ~F.col(name).isin(*values)
+    return df.where(kept).select(*columns).distinct()
 
-def fund_codes(spark: SparkSession, baskets: str) -> DataFrame:
-    """Distinct fund code, custodian code and share class."""
-    return spark.sql(f"""
-        SELECT DISTINCT
-            REPLACE(LTRIM('''', ticker_1), '.', '/') AS fund_code,
-            LEFT(ss_long_code, 4) AS ss_code,
-            CASE WHEN LENGTH(ss_long_code) > 6 THEN SUBSTRING(ss_long_code, 5, 1) END AS fund_class
-        FROM {baskets}
-    """)
 
+def distinct_pieces(df: DataFrame, **pieces: Column) -> DataFrame:
+    """Distinct rows of named expressions, such as the code pieces of :mod:`millrace.functions.text`."""
+    return df.select(*[c.alias(name) for name, c in pieces.items()]).distinct()
 
-def fund_accounts(spark: SparkSession, funds: str) -> DataFrame:
-    """Funds with their account number, borrowed from rows of the same id where missing.
 
-    Both sides are made distinct before they meet, and rows that have a number
+def borrow_missing(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Distinct rows, with a missing ``value`` taken from every row of the same key that has one.
+
+    Both sides are made distinct before they meet, and rows that have a value
     do not join at all, so no pairs are built that the result does not need.
     """
-    return spark.sql(f"""
-        WITH base AS (
-            SELECT DISTINCT COALESCE(custodian_code, ss_code) AS ss_id, fund_code, settlement_instruction, dda
-            FROM {funds}
-        ), known AS (
-            SELECT DISTINCT ss_id, dda AS known_dda FROM base WHERE dda IS NOT NULL
-        ), filled AS (
-            SELECT ss_id, fund_code, settlement_instruction, dda FROM base WHERE dda IS NOT NULL
-            UNION ALL
-            SELECT b.ss_id, b.fund_code, b.settlement_instruction, k.known_dda
-            FROM (SELECT * FROM base WHERE dda IS NULL) b LEFT JOIN known k ON b.ss_id = k.ss_id
-        )
-        SELECT DISTINCT
-            ss_id,
-            try_element_at(split(fund_code, '/'), 1) AS fund_code,
-            try_element_at(split(fund_code, '/'), 2) AS fund_class,
-            settlement_instruction AS account_type,
-            CAST(dda AS STRING) AS dda
-        FROM filled
-    """)
+    rows = df.distinct()
+    known = rows.where(F.col(value).isNotNull()).select(F.col(key).alias("_key"), F.col(value).alias("_value")).distinct()
+    lacking = rows.where(F.col(value).isNull()).join(known, F.col(key) == F.col("_key"), "left")
+    filled = lacking.select(*[F.col("_value").alias(value) if c == value else F.col(c) for c in df.columns])
+    return rows.where(F.col(value).isNotNull()).unionByName(filled).distinct()

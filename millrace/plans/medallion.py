@@ -89,11 +89,11 @@ class Lake:
         named = rows.withColumn("source_file", delivered_name(name, F.lit(feed.rename), F.lit(at)))
         landed = add_audit(named, batch_id, at)
         write_bronze(landed, self.bronze_path(feed), feed.load_type)
-        return read_table(self.spark, self.bronze_path(feed)).where(F.col("batch_id") == batch_id)
+        return read_table(self.spark, self.bronze_path(feed), schema=landed.schema, batch_id=batch_id)
 
     def refine(self, feed: FeedSpec, rows: DataFrame, batch_id: str) -> bool:
         """Clean rows and upsert them into the feed's silver table."""
-        return self.silver_table(feed).upsert(clean_and_cast(rows, feed.silver), batch_id, self.policy)
+        return self.silver_table(feed).upsert(clean_and_cast(rows, feed.silver, drop_exact=False), batch_id, self.policy)
 
     def ingest(self, inbox: str, at: datetime, batch_id: str | None = None) -> DataFrame:
         """One run over an inbox. Returns the manifest of file outcomes.

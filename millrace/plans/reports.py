@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.casts import number
 from millrace.operators.blocks import (
     BLOCK,
     TOTAL_LABELS,
@@ -134,7 +135,7 @@ def nbf_report(grid: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     table = drop_empty_rows(blank_to_null(table, body), body)
     table = drop_total_columns(table.where(~is_total(F.col("Region"), TOTAL_LABELS[:2])), TOTAL_LABELS[:2])
     figures = [c for c in table.columns if c not in ("source_file", "Region", "Branch")]
-    return table.withColumns({c: F.col(f"`{c}`").try_cast("float") for c in figures})
+    return table.withColumns({c: number(F.col(f"`{c}`")).cast("float") for c in figures})
 
 
 def bmo_report(grid: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

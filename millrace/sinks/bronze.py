@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.sources.tables import read_table, table_exists
+from millrace.sources.tables import PARTITION, read_table, table_exists
 
 MODES = ("append", "overwrite")
 
@@ -20,8 +20,8 @@ def write_bronze(
 ) -> None:
     """Write rows that carry the audit columns.
 
-    ``append`` partitions by ``batch_id`` and replaces only the partitions it
-    writes: a retried batch takes its own place instead of doubling.  New
+    ``append`` partitions by a copy of ``batch_id`` (the id itself stays in the
+    files, as the text it is) and replaces only the partitions it writes: a retried batch takes its own place instead of doubling.  New
     columns need no rewrite, since reads merge the files' schemas.
 
     ``overwrite`` replaces the rows; columns of the old table that the new rows
@@ -40,7 +40,8 @@ def write_bronze(
         rows = df.withColumns(gone).select(
             *[f"`{f.name}`" for f in old.fields], *[f"`{c}`" for c in df.columns if c not in old.names]
         )
-    writer = rows.write.format(table_format).partitionBy("batch_id").mode("overwrite")
+    rows = rows.withColumn("batch_id", F.col("batch_id").cast("string")).withColumn(PARTITION, F.col("batch_id"))
+    writer = rows.write.format(table_format).partitionBy(PARTITION).mode("overwrite")
     if mode == "append":
         writer = writer.option("partitionOverwriteMode", "dynamic")
     else:

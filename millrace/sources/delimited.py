@@ -13,9 +13,6 @@ from millrace.sources.grid import GRID, file_label, fixed_grid
 
 ROW_LABEL = "__index_level_0__"
 
-# Cells per row that a header-named scan looks for; a wider file raises.
-DEFAULT_WIDTH = 64
-
 
 def scan_delimited(
     spark: SparkSession,
@@ -54,13 +51,26 @@ def scan_by_name(
     paths: str | Sequence[str],
     columns: Sequence[str] | None = None,
     *,
-    width: int = DEFAULT_WIDTH,
+    width: int | None = None,
     header_row: int = 0,
+    long_rows: str = "error",
     **grid_options,
 ) -> DataFrame:
-    """Files whose headers differ: each file's own header names its cells."""
-    grid = whole_file(fixed_grid(spark, paths, width, **grid_options))
-    return promote_header(grid, header_row, columns=columns)
+    """Files whose headers differ: each file's own header names its cells.
+
+    A row with more filled cells than its header fails the job; ``long_rows``
+    may say ``"drop"`` (the row) or ``"keep"`` (the named cells) instead.
+    """
+    if long_rows not in ("error", "drop", "keep"):
+        raise ValueError("long_rows must be 'error', 'drop' or 'keep'")
+    grid = fixed_grid(spark, paths, width, long_rows="keep", header_row=header_row, **grid_options)
+    fits = F.col("_fields") <= F.col("header_size")
+    if long_rows == "error":
+        message = F.concat(F.lit("row longer than its header in "), F.col("source_file"))
+        fits = F.when(fits, True).otherwise(F.raise_error(message).cast("boolean"))
+    return promote_header(
+        whole_file(_with_field_count(grid)), header_row, columns=columns, row_filter=None if long_rows == "keep" else fits
+    )
 
 
 def scan_skip_rows(
@@ -83,7 +93,7 @@ def scan_skip_bad_rows(
     paths: str | Sequence[str],
     columns: Sequence[str] | None = None,
     *,
-    width: int = DEFAULT_WIDTH,
+    width: int | None = None,
     **options,
 ) -> DataFrame:
     """Rows with more fields than the header are dropped; short rows are padded."""
@@ -97,7 +107,7 @@ def scan_header_shift(
     columns: Sequence[str] | None = None,
     *,
     label: str = ROW_LABEL,
-    width: int = DEFAULT_WIDTH,
+    width: int | None = None,
     **options,
 ) -> DataFrame:
     """Data one field longer than the header: field 0 is a row label.

@@ -59,6 +59,19 @@ def _scan(
     )
 
 
+def data_width(spark: SparkSession, paths: str | Sequence[str], delimiter: str = ",") -> int:
+    """Cells that a row of the files can have, from one aggregate over their lines.
+
+    A record that goes on over several lines has the delimiters of them all;
+    where quotes are left open at a line's end, twice the cells are allowed for.
+    A longer row still shows in the spare column.
+    """
+    lines = spark.read.option("recursiveFileLookup", True).text(paths)
+    found = lambda mark: F.length("value") - F.length(F.replace("value", F.lit(mark), F.lit("")))
+    row = lines.agg(F.max(found(delimiter)).alias("most"), F.max(found('"') % 2).alias("open")).first()
+    return (row.most or 0) * (2 if row.open else 1) + 1
+
+
 def _number_rows(raw: DataFrame, multiline: bool) -> DataFrame:
     """Dense row numbers without ever ordering a whole file in one task.
 
@@ -82,30 +95,34 @@ def _number_rows(raw: DataFrame, multiline: bool) -> DataFrame:
 def fixed_grid(
     spark: SparkSession,
     paths: str | Sequence[str],
-    width: int,
+    width: int | None = None,
     *,
     delimiter: str = ",",
     multiline: bool = True,
     lineage: str = "name",
     long_rows: str = "error",
+    header_row: int = 0,
 ) -> DataFrame:
-    """Grid of known width. Blank lines vanish, short rows are padded.
+    """Grid of a stated width, or of what the files need. Blank lines vanish, short rows are padded.
 
     ``multiline`` (the default) honours line breaks inside quotes and reads one
     file per task, which suits many small reports; ``multiline=False`` splits
-    large files.  ``long_rows`` is ``"error"``, ``"drop"`` or ``"keep"`` (cut to
-    the width).
+    large files.  ``long_rows`` is ``"error"``, ``"drop"`` or ``"keep"``: what
+    lies past the width is then one more cell, which the header row must not
+    have.
     """
     if long_rows not in ("error", "drop", "keep"):
         raise ValueError("long_rows must be 'error', 'drop' or 'keep'")
+    width = data_width(spark, paths, delimiter) if width is None else width
     grid = _number_rows(_scan(spark, paths, width, delimiter, multiline, lineage), multiline)
     if long_rows == "drop":
         grid = grid.where(F.col("_spare").isNull())
-    elif long_rows == "error":
+    else:
         message = F.concat(F.lit(f"row wider than {width} cells in "), F.col("source_file"))
-        grid = grid.withColumn(
-            "cells", F.when(F.col("_spare").isNull(), F.col("cells")).otherwise(F.raise_error(message))
-        )
+        cells = F.when(F.col("_spare").isNull(), F.col("cells"))
+        if long_rows == "keep":
+            cells = cells.when(F.col("row_no") != header_row, F.array_append("cells", F.col("_spare")))
+        grid = grid.withColumn("cells", cells.otherwise(F.raise_error(message)))
     return grid.select(*GRID)
 
 
@@ -113,12 +130,12 @@ def ragged_grid(
     spark: SparkSession,
     paths: str | Sequence[str],
     *,
-    max_width: int = 64,
+    max_width: int | None = None,
     delimiter: str = ",",
     multiline: bool = True,
     lineage: str = "name",
 ) -> DataFrame:
-    """Grid of rows of any length up to ``max_width`` (wider raises, nothing is cut).
+    """Grid of rows of any length, or up to ``max_width`` (wider raises, nothing is cut).
 
     An empty cell followed by a filled one stays ``""``; past the last filled
     cell everything is NULL.

@@ -30,6 +30,7 @@ def stream_csv(
     reader = (
         spark.readStream.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
         .option("header", header)
+        .option("enforceSchema", False)  # a file with other or reordered columns fails instead of swapping values
         .option("escape", '"')
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("recursiveFileLookup", True)

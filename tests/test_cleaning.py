@@ -13,49 +13,47 @@ from millrace.config import ColumnMap, SilverSpec, column_map, column_maps_from_
 from millrace.functions import casts, names, text
 from millrace.operators import cleaning
 
-ITEM = {
-    "id_raw": ColumnMap("int", "id"),
-    "price_raw": ColumnMap("float", "price"),
-    "quantity_raw": ColumnMap("int", "quantity"),
-    "is_active_raw": ColumnMap("bool", "is_active"),
-    "fee_pct_raw": ColumnMap("pct", "fee_percentage"),
-    "date_raw": ColumnMap("datetime", "transaction_date", "%m/%d/%Y"),
-    "description": ColumnMap("str", "description"),
+METER = {
+    "No": ColumnMap("int", "meter"),
+    "Reading": ColumnMap("float", "kwh"),
+    "Pulses": ColumnMap("int", "pulses"),
+    "Sealed": ColumnMap("bool", "sealed"),
+    "Loss": ColumnMap("pct", "loss"),
+    "Read on": ColumnMap("datetime", "read_on", "%d.%m.%Y"),
+    "Place": ColumnMap("str", "place"),
 }
 
 
 @pytest.fixture
-def items(spark):
+def meters(spark):
     rows = [
-        ("1", "19.99", "100", "true", "5%", "01/15/2024", "Nice Item", "a"),
-        ("2", "1,234.50", "5,000", "False", "10.50%", "12/25/2023", "Another Thing", "b"),
-        ("3", "bad_value", "not_int", "1", "", "invalid_date", "", "c"),
-        ("4", "", "", "0", "0%", "", "Product XYZ", "d"),
-        ("5", "99.99", "50", "yes", "2.5%", "06/30/2024", "Final Item", "e"),
+        ("11", "7.25", "1234567890123456789", "yes", "3.5%", "09.02.2023", " Cellar ", "p"),
+        ("12", "12,345.5", "6,001", "0", "125", "31.07.2022", "Roof", "q"),
+        ("13", "n/k", "many", "maybe", "%", "31.02.2023", None, "r"),
+        ("14", None, "99999999999999999999", "TRUE", "-1%", None, "", "s"),
     ]
-    return spark.createDataFrame(rows, [*ITEM, "unused_column"])
+    return spark.createDataFrame(rows, [*METER, "left_alone"])
 
 
-def test_all_types(items):
-    rows = cleaning.clean_and_cast(items, ITEM).orderBy("id").collect()
-    assert [r["price"] for r in rows] == [19.99, 1234.5, None, None, 99.99]
-    assert [r["quantity"] for r in rows] == [100, 5000, None, None, 50]
-    assert [r["is_active"] for r in rows] == [True, False, True, False, True]
-    assert [r["fee_percentage"] for r in rows] == [0.05, 0.105, None, 0.0, 0.025]
-    assert [r["description"] for r in rows] == ["Nice Item", "Another Thing", None, "Product XYZ", "Final Item"]
-    assert [r["unused_column"] for r in rows] == list("abcde")
+def test_all_types(meters):
+    rows = cleaning.clean_and_cast(meters, METER).orderBy("meter").collect()
+    assert [r["kwh"] for r in rows] == [7.25, 12345.5, None, None]
+    assert [r["pulses"] for r in rows] == [1234567890123456789, 6001, None, None]
+    assert [r["sealed"] for r in rows] == [True, False, None, True]
+    assert [r["loss"] for r in rows] == [0.035, 1.25, None, -0.01]
+    assert [r["place"] for r in rows] == ["Cellar", "Roof", None, None]
+    assert [r["left_alone"] for r in rows] == list("pqrs")
 
 
-def test_dates_are_midnight_of_the_zone(items):
-    rows = cleaning.clean_and_cast(items, ITEM).orderBy("id").select(F.unix_seconds("transaction_date").alias("s")).collect()
-    zone = dt.timezone(dt.timedelta(hours=-5))
-    summer = dt.timezone(dt.timedelta(hours=-4))
-    want = [dt.datetime(2024, 1, 15, tzinfo=zone), dt.datetime(2023, 12, 25, tzinfo=zone), None, None, dt.datetime(2024, 6, 30, tzinfo=summer)]
+def test_dates_are_midnight_of_the_zone(meters):
+    rows = cleaning.clean_and_cast(meters, METER).orderBy("meter").select(F.unix_seconds("read_on").alias("s")).collect()
+    winter, summer = (dt.timezone(dt.timedelta(hours=h)) for h in (-5, -4))
+    want = [dt.datetime(2023, 2, 9, tzinfo=winter), dt.datetime(2022, 7, 31, tzinfo=summer), None, None]
     assert [r["s"] for r in rows] == [int(w.timestamp()) if w else None for w in want]
 
 
-def test_dates_do_not_depend_on_the_session_zone(spark, items):
-    seconds = cleaning.clean_and_cast(items, ITEM).select(F.unix_seconds("transaction_date").alias("s"))
+def test_dates_do_not_depend_on_the_session_zone(spark, meters):
+    seconds = cleaning.clean_and_cast(meters, METER).select(F.unix_seconds("read_on").alias("s"))
     utc = sorted(r["s"] for r in seconds.collect() if r["s"])
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
     try:
@@ -64,10 +62,10 @@ def test_dates_do_not_depend_on_the_session_zone(spark, items):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_loss_audit(items):
-    loss = {r["column"]: (r["lost"], r["empty"]) for r in cleaning.cast_loss(items, ITEM).collect()}
+def test_loss_audit(meters):
+    loss = {r["column"]: (r["lost"], r["empty"]) for r in cleaning.cast_loss(meters, METER).collect()}
     assert loss == {
-        "price": (2, 1), "quantity": (2, 1), "fee_percentage": (1, 1), "transaction_date": (2, 1), "description": (1, 1),
+        "kwh": (1, 0), "pulses": (2, 0), "sealed": (1, 0), "loss": (1, 0), "read_on": (1, 0), "place": (1, 1),
     }
 
 
