@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 DEFAULT_REGION = "Ontario"
-BROADCAST_DAYS = 200_000
+# What a date can be: no calendar has more days, so one can always be broadcast (16 bytes a day).
+FIRST_DAY, LAST_DAY = date(1, 1, 1), date(9999, 12, 31)
 
 
 def holiday_dates(
@@ -69,7 +70,8 @@ def business_day_offset(
 
     From a non-business day a move of zero or backwards first rolls forward and
     a move forwards first rolls back.  One aggregate job finds the date range;
-    the calendar is broadcast only while it is small in days.
+    a day before year 1 or past 9999 is NULL, which bounds the calendar that is
+    broadcast, however far a row is to move.
     """
     spark = df.sparkSession
     span = df.agg(
@@ -77,23 +79,13 @@ def business_day_offset(
     ).first()
     if span["lo"] is None:
         return df.withColumn(output, F.col(anchor))
-    # The days off are few; read once, they need not be derived again by each join.
-    days_off = holidays.select("date").distinct().limit(BROADCAST_DAYS).collect()
-    n_holidays = len(days_off)
-    if n_holidays < BROADCAST_DAYS:
-        holidays = spark.createDataFrame(days_off, "date date")
-    else:
-        n_holidays = holidays.select("date").distinct().count()
     # n business days span at most 7/5 n calendar days plus the holidays among them.
-    slack = int(span["n"] or 0) * 7 // 5 + n_holidays + 14
-    bounds = spark.range(1).select(
-        F.date_sub(F.lit(span["lo"]), slack).alias("lo"), F.date_add(F.lit(span["hi"]), slack).alias("hi")
-    ).first()
-    calendar = business_calendar(spark, bounds["lo"], bounds["hi"], holidays)
-    small = (bounds["hi"] - bounds["lo"]).days <= BROADCAST_DAYS
-
-    def sized(side: DataFrame) -> DataFrame:
-        return F.broadcast(side) if small else side
+    reach = (LAST_DAY - FIRST_DAY).days
+    n_holidays = holidays.select("date").distinct().count()
+    slack = min(reach, int(span["n"] or 0) * 7 // 5 + n_holidays + 14)
+    first = span["lo"] - min(span["lo"] - FIRST_DAY, timedelta(slack))
+    last = span["hi"] + min(LAST_DAY - span["hi"], timedelta(slack))
+    calendar = business_calendar(spark, first, last, holidays)
 
     start = calendar.select(F.col("date").alias("_day"), "at_or_before", "at_or_after")
     goal = calendar.where("is_business").select(F.col("at_or_before").alias("_index"), F.col("date").alias("_goal"))
@@ -101,9 +93,9 @@ def business_day_offset(
     time_of_day = F.col(anchor) - F.date_trunc("day", F.col(anchor)).cast(df.schema[anchor].dataType)
     moved = (
         df.withColumn("_day", F.to_date(anchor))
-        .join(sized(start), "_day", "left")
+        .join(F.broadcast(start), "_day", "left")
         .withColumn("_index", index)
-        .join(sized(goal), "_index", "left")
+        .join(F.broadcast(goal), "_index", "left")
     )
     anchored = F.col("_goal").cast(df.schema[anchor].dataType)
     value = anchored if df.schema[anchor].dataType.typeName() == "date" else anchored + time_of_day

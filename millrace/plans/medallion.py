@@ -100,9 +100,16 @@ class Lake:
 
         Feeds are independent: an error stops its own feed only.  Silver sees
         the new batch, not the whole bronze table; :meth:`replay` does that.
+        Files that an earlier run has processed (same path and time) are left
+        out; failed ones are tried again.
         """
         batch_id = batch_id or new_batch_id()
-        listing = stage(route(list_files(self.spark, inbox, recursive=True), self.feeds), "listing")
+        taken = f"{self.root}/manifest"
+        listing = list_files(self.spark, inbox, recursive=True)
+        if table_exists(self.spark, taken):
+            seen = read_table(self.spark, taken).where("status = 'processed'").select("path", "modified_at").distinct()
+            listing = listing.join(seen, ["path", "modified_at"], "left_anti")
+        listing = stage(route(listing, self.feeds), "listing")
         bronze_errors: dict[int, str] = {}
         silver_errors: dict[int, str] = {}
         for row in listing.where("feed IS NOT NULL").select("feed").distinct().collect():
@@ -124,10 +131,13 @@ class Lake:
         states = listing.withColumns(
             {"bronze_error": _lookup(bronze_errors), "silver_error": _lookup(silver_errors)}
         )
+        failed = F.col("feed").isNull() | F.col("bronze_error").isNotNull()
+        status = F.when(failed, "failed").otherwise("processed").alias("status")
+        write_bronze(states.select("path", "modified_at", "file_name", status, F.lit(batch_id).alias("batch_id")), taken)
         return outcomes(states, batch_id, F.lit(at))
 
     def replay(self, batch_id: str | None = None) -> dict[str, str]:
-        """Rebuild silver from all bronze tables; a failing table does not stop the others."""
+        """Upsert the latest row per key of every bronze table into silver; a failing table does not stop the others."""
         batch_id = batch_id or new_batch_id()
         result = {}
         for feed in self.feeds:

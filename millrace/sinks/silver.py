@@ -21,7 +21,6 @@ from millrace.operators.dedup import latest_by_null_pattern
 from millrace.operators.upsert import CURRENT, compare_versions, initial_version, versions
 
 # A batch of at most this many bytes of row text is broadcast to the current rows.
-SMALL_BATCH_BYTES = 32 * 1024 * 1024
 
 _COMMIT = "version bigint, batch_id string, current string, closed array<string>"
 
@@ -74,11 +73,8 @@ class SilverTable:
         if self.has_batch(batch_id):
             return False
         keys = self.spec.primary_keys
-        # Cleaned and deduplicated once; its size is measured, not guessed.
-        fresh = self._read(self._write(latest_by_null_pattern(incoming, keys, self.spec.dedup_timestamp), "batch"))
-        text_size = F.sum(F.length(F.to_json(F.struct("*"))))
-        small = (fresh.select(text_size).first()[0] or 0) <= SMALL_BATCH_BYTES
-        compared = compare_versions(self._read(commit["current"]), fresh, keys, policy, small_batch=small)
+        fresh = latest_by_null_pattern(incoming, keys, self.spec.dedup_timestamp)
+        compared = compare_versions(self._read(commit["current"]), fresh, keys, policy)
         # The join runs once: both kinds of row go to one folder, split by partition.
         merged = self._write(versions(compared), "merge", CURRENT)
         closed = [*commit["closed"], f"{merged}/{CURRENT}=false"]

@@ -65,7 +65,7 @@ def stream_silver(
     """Clean and upsert each micro-batch. A replayed batch finds its commit and does nothing."""
 
     def each(rows: DataFrame, epoch: int) -> None:
-        table.upsert(clean_and_cast(_audited(rows, run, epoch), table.spec), f"{run}-{epoch}", policy)
+        table.upsert(clean_and_cast(_audited(rows, run, epoch), table.spec, drop_exact=False), f"{run}-{epoch}", policy)
 
     return _run(stream, checkpoint, each)
 

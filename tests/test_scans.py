@@ -78,3 +78,12 @@ def test_values_that_do_not_fit_the_target(spark):
     target = spark.createDataFrame([], "n int, s string").schema
     assert [r.n for r in align_types(df, target).collect()] == [1, None]
     assert alignment_loss(df, target).first().asDict() == {"n": 1}
+
+
+def test_offset_of_an_extreme_row(spark):
+    from millrace.operators.calendar import business_day_offset
+
+    df = spark.createDataFrame([(dt.date(2024, 1, 5), 1), (dt.date(2024, 1, 5), 2_000_000_000)], "d date, n int")
+    holidays = spark.createDataFrame([(dt.date(2024, 1, 8),)], "date date")
+    got = {r.n: r.offset_at for r in business_day_offset(df, "d", "n", holidays).collect()}
+    assert got == {1: dt.date(2024, 1, 9), 2_000_000_000: None}

@@ -37,10 +37,9 @@ def state(df):
 OLD = [("", 9, True), ("z", 0, False)]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_policies(spark, small, monkeypatch):
+def test_policies(spark, monkeypatch):
     real = upsert.compare_versions
-    monkeypatch.setattr(upsert, "compare_versions", lambda *a, **k: real(*a, **{**k, "ignore": ("at",)}, small_batch=small))
+    monkeypatch.setattr(upsert, "compare_versions", lambda *a, **k: real(*a, **{**k, "ignore": ("at",)}))
     incoming = frame(spark, [("a", 1, 2), ("b", 2, 2), (None, 3, 2)])
     assert state(upsert.upsert(existing(spark), incoming, SPEC, "always")) == sorted([*OLD, ("a", 1, False), ("a", 1, True), ("b", 2, True)])
     assert state(upsert.upsert(existing(spark), incoming, SPEC, "insert_new")) == sorted([*OLD, ("a", 1, True), ("b", 2, True)])
@@ -51,12 +50,11 @@ def test_policies(spark, small, monkeypatch):
         upsert.upsert(existing(spark), incoming, SPEC, "sometimes")
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_partial_keys_match_null_to_null(spark, small):
+def test_partial_keys_match_null_to_null(spark):
     current = spark.createDataFrame([("a", None, 1), (None, "y", 2)], "p string, q string, v long")
     incoming = spark.createDataFrame([("a", None, 1), (None, "y", 3), (None, None, 4)], "p string, q string, v long")
     fresh = dedup.latest_by_null_pattern(incoming, ["p", "q"], "v")
-    got = upsert.compare_versions(current, fresh, ["p", "q"], small_batch=small).collect()
+    got = upsert.compare_versions(current, fresh, ["p", "q"]).collect()
     assert sorted((r["action"], r["after"]["v"]) for r in got) == [("keep", 1), ("replace", 3)]
 
 
@@ -236,6 +234,8 @@ def test_lake_run_with_failures(spark, folder):
     silver = lake.silver_table(feeds[0]).current().orderBy("id").collect()
     assert [(r["id"], r["amount"], r["extra"], r["source_file"]) for r in silver] == [
         (1, 1000.0, None, "good_1_20240102_1430.csv"), (2, None, None, "good_1_20240102_1430.csv"), (3, 5.0, "e", "good_2_20240102_1430.csv")]
+    again = {r["file_name"]: r["status"] for r in lake.ingest(str(inbox), datetime(2024, 1, 3), "run-1b").collect()}
+    assert again == {"wide.csv": "failed", "unknown.bin": "failed"}  # files taken before are left out
     before = lake.silver_table(feeds[0]).read().count()
     assert lake.replay("run-2")["good"] == "done"
     assert lake.silver_table(feeds[0]).read().count() == before
