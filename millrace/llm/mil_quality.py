@@ -11,8 +11,10 @@ weighs the passages; the document's score is sigmoid(c . sum(a h) + d).  All
 parameters are learned together from document labels by Adam on the log loss.
 
 Training uses at most ``sample`` labelled documents (those with the smallest id
-hashes), encoded whole, in one task whose input that number bounds.  Scoring
-covers whole texts of all documents, one batch at a time.
+hashes), in one task.  Of a document with more than ``BAG`` passages that many,
+evenly spaced over the whole text, are learned from, so that the two numbers
+bound the task's input.  Scoring covers whole texts of all documents, one batch
+at a time.
 
 Defined cases: null and empty texts are one passage without trigrams; very long
 texts are encoded in pieces of ``CHUNK`` passages; labels that are null, or of
@@ -37,6 +39,8 @@ from millrace.session import stage
 PASSAGE, BUCKETS, SHAPES = 640, 512, 8
 HIDDEN, GATE = 32, 16
 CHUNK = 4096
+#: Passages of one document in training.
+BAG = 256
 
 _KINDS = np.zeros(256, np.uint8)  # 1 signs, 2 digits, 3 capitals, 4 small letters, 5 white space
 _KINDS[33:127] = 1
@@ -182,9 +186,14 @@ def _train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([_pack(model)], pa.binary())], ["model"])
 
 
+def _spaced(x: np.ndarray, most: int = BAG) -> np.ndarray:
+    """At most ``most`` rows, evenly spaced from first to last."""
+    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).astype(int)]
+
+
 def _encode_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x = [encode(t or b"").astype(np.float16).tobytes() for (t,) in rows_of([batch], "_text")]
+        x = [_spaced(encode(t or b"")).astype(np.float16).tobytes() for (t,) in rows_of([batch], "_text")]
         columns = [batch.column(c) for c in ("_o", "_d", "label")]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(x, pa.binary())], ["_o", "_d", "label", "x"])
 
