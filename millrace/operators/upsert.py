@@ -1,9 +1,7 @@
 """Versioned upsert (SCD type 2) on null-safe keys.
 
-Both sides hold each key at most once, so no join group can grow.  The general
-form is one full outer join that hashes both sides by key.  A batch whose row
-count has been checked to be small is broadcast instead: then the current rows
-are scanned (twice, once for the keys only) but neither shuffled nor sorted.
+Both sides hold each key at most once, so no join group can grow.  Every batch
+meets the current rows in one full outer join that hashes both sides by key.
 """
 
 from __future__ import annotations

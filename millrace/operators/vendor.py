@@ -52,13 +52,23 @@ def reference_rows(responses: DataFrame, fields: Mapping[str, str] | Sequence[st
     return flat.select(F.col("s.ticker").alias("Ticker"), *[value(f).alias(f) for f in types])
 
 
+def bulk_elements(responses: DataFrame) -> list[str]:
+    """Names of the elements that any entry carries (a vendor's field list, sorted)."""
+    entries = responses.select(F.explode("entries").alias("e"))
+    names = entries.select(F.explode(F.map_keys("e")).alias("name")).distinct()
+    return sorted(r["name"] for r in names.collect())
+
+
 def bulk_rows(
-    responses: DataFrame, elements: Sequence[str], cast_map: Mapping[str, str] | None = None
+    responses: DataFrame, elements: Sequence[str] | None = None, cast_map: Mapping[str, str] | None = None
 ) -> DataFrame:
     """``(ticker, entries array<map<string,string>>)``: one text row per entry, plus its ticker.
 
     All tickers in one table; casts apply to the elements that are present.
+    Without ``elements`` every element that occurs becomes a column, which
+    takes a pass over the entries.
     """
+    elements = bulk_elements(responses) if elements is None else elements
     flat = responses.select("ticker", F.explode("entries").alias("e")).select(
         *[F.col("e")[n].alias(n) for n in elements], "ticker"
     )

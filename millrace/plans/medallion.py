@@ -19,7 +19,7 @@ from millrace.sinks.bronze import write_bronze
 from millrace.sinks.silver import SilverTable
 from millrace.sources.delimited import scan_by_name, scan_header_shift, scan_skip_rows
 from millrace.sources.grid import fixed_grid, ragged_grid
-from millrace.sources.listing import list_files
+from millrace.sources.listing import deliveries, list_files
 from millrace.sources.tables import read_table, table_exists
 
 log = logging.getLogger(__name__)
@@ -105,7 +105,7 @@ class Lake:
         """
         batch_id = batch_id or new_batch_id()
         taken = f"{self.root}/manifest"
-        listing = list_files(self.spark, inbox, recursive=True)
+        listing = deliveries(list_files(self.spark, inbox, recursive=True))
         if table_exists(self.spark, taken):
             seen = read_table(self.spark, taken).where("status = 'processed'").select("path", "modified_at").distinct()
             listing = listing.join(seen, ["path", "modified_at"], "left_anti")

@@ -20,8 +20,7 @@ from millrace.config import SilverSpec
 from millrace.operators.dedup import latest_by_null_pattern
 from millrace.operators.upsert import CURRENT, compare_versions, initial_version, versions
 
-# A batch of at most this many bytes of row text is broadcast to the current rows.
-
+# ``closed`` of a stored commit names what that commit closed: one folder, or none.
 _COMMIT = "version bigint, batch_id string, current string, closed array<string>"
 
 
@@ -35,8 +34,11 @@ class SilverTable:
         return self.spark.read.schema(_COMMIT).json(f"{self.root}/commits")
 
     def last_commit(self):
+        """The newest commit, with the folders that it and all earlier ones closed."""
+        newest = F.max(F.struct("version", "batch_id", "current")).alias("newest")
+        closed = F.array_distinct(F.flatten(F.collect_list("closed"))).alias("closed")
         try:
-            return self.commits().orderBy(F.col("version").desc()).limit(1).first()
+            return self.commits().agg(newest, closed).where("newest IS NOT NULL").select("newest.*", "closed").first()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -77,11 +79,8 @@ class SilverTable:
         compared = compare_versions(self._read(commit["current"]), fresh, keys, policy)
         # The join runs once: both kinds of row go to one folder, split by partition.
         merged = self._write(versions(compared), "merge", CURRENT)
-        closed = [*commit["closed"], f"{merged}/{CURRENT}=false"]
-        if self.spark.read.option("basePath", f"{self.root}/{merged}").parquet(f"{self.root}/{merged}").where(
-            ~F.col(CURRENT)
-        ).isEmpty():
-            closed.pop()
+        nothing_closed = self._read(merged).where(~F.col(CURRENT)).isEmpty()
+        closed = [] if nothing_closed else [f"{merged}/{CURRENT}=false"]
         self._commit(commit["version"] + 1, batch_id, f"{merged}/{CURRENT}=true", closed)
         return True
 

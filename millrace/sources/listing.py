@@ -21,6 +21,19 @@ def list_files(spark: SparkSession, folder: str, recursive: bool = False) -> Dat
     )
 
 
+def deliveries(files: DataFrame, folder: str = r"(?i)\.xls[xmb]?$") -> DataFrame:
+    """Listed files, where those inside a folder named like a workbook (a decoded grid) become that one folder."""
+    parent = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    inside = parent.rlike(folder)
+    named = files.withColumns(
+        {
+            "file_name": F.when(inside, parent).otherwise(F.col("file_name")),
+            "path": F.when(inside, F.regexp_replace("path", r"/[^/]+$", "")).otherwise(F.col("path")),
+        }
+    )
+    return named.groupBy("path", "file_name").agg(F.sum("length").alias("length"), F.max("modified_at").alias("modified_at"))
+
+
 def unseen_files(listing: DataFrame, manifest: DataFrame, key: str = "file_name") -> DataFrame:
     """Entries of a remote listing that no earlier run has taken; folders are left out."""
     files = listing.where(~F.col("is_directory")) if "is_directory" in listing.columns else listing

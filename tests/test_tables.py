@@ -6,8 +6,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.__main__ import arguments, main
 from millrace.config import ColumnMap, FeedSpec, SilverSpec
-from millrace.operators import columns, dedup, upsert
+from millrace.operators import columns, dedup, upsert, vendor
 from millrace.operators.calendar import business_day_offset, holiday_dates
 from millrace.operators.logs import elapsed, parse_messages, type_messages
 from millrace.operators.rollup import position_rollup
@@ -241,6 +242,45 @@ def test_lake_run_with_failures(spark, folder):
     assert lake.silver_table(feeds[0]).read().count() == before
 
 
+def test_decoded_workbooks_go_through_the_lake(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    rows = [("Depot.xlsx", 0, ["Code", "Units"]), ("Depot.xlsx", 1, ["a", "3"]), ("Depot.xlsx", 2, ["b", "x"])]
+    sheet = spark.createDataFrame(rows, "source_file string, row_no long, cells array<string>")
+    sheet.repartition(2).write.parquet(str(inbox / "Depot.xlsx"))
+    spec = SilverSpec("depot", ("code",), {"Code": ColumnMap("str", "code"), "Units": ColumnMap("int", "units")})
+    lake = Lake(spark, str(tmp_path / "lake"), [FeedSpec(r"^Depot\.xlsx$", "sheet", "depot", silver=spec)])
+    got = lake.ingest(str(inbox), datetime(2024, 1, 2), "run-1").collect()
+    assert [(r["file_name"], r["status"], r["error"]) for r in got] == [("Depot.xlsx", "processed", None)]
+    assert sorted((r["code"], r["units"]) for r in lake.silver_table(lake.feeds[0]).current().collect()) == [("a", 3), ("b", None)]
+    assert lake.ingest(str(inbox), datetime(2024, 1, 3), "run-2").count() == 0
+
+
+def test_commits_name_only_what_they_closed(spark):
+    table = SilverTable(spark, workspace(spark, "silver"), SPEC)
+    for n, value in enumerate((1, 2, 2, 3)):
+        assert table.upsert(frame(spark, [("a", value, 1), ("b", 0, 1)]), f"batch-{n}")
+    assert state(table.read()) == [("a", 1, False), ("a", 2, False), ("a", 3, True), ("b", 0, True)]
+    assert [len(r["closed"]) for r in table.commits().orderBy("version").collect()] == [0, 1, 0, 1]
+
+
+def test_all_elements_of_bulk_entries(spark):
+    rows = [("t", [{"Paid": "1"}, {"Kind": "k", "Paid": "2"}]), ("u", [])]
+    got = vendor.bulk_rows(spark.createDataFrame(rows, "ticker string, entries array<map<string,string>>"))
+    assert got.columns == ["Kind", "Paid", "ticker"]
+    assert sorted((r["Paid"], r["Kind"]) for r in got.collect()) == [("1", None), ("2", "k")]
+
+
+def test_command_line(spark, tmp_path):
+    with pytest.raises(SystemExit):
+        arguments(["ingest", "--lake", "l", "--client", "c"])
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "nobody.bin").write_text("?")
+    lake = ["--lake", str(tmp_path / "lake"), "--client", "Acme"]
+    assert main(["ingest", *lake, "--inbox", str(inbox)]) == 1
+    assert main(["replay", *lake]) == 0
+
+
 def test_workspace_needs_a_shared_folder_on_a_cluster(monkeypatch):
     from millrace import session
 
