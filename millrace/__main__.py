@@ -1,4 +1,4 @@
-"""Command entry: ``spark-submit millrace/__main__.py ingest|replay ...`` (or ``python -m millrace``)."""
+"""Command entry: ``PYTHONPATH=. spark-submit millrace/__main__.py ingest|replay ...``, or ``python -m millrace``."""
 
 from __future__ import annotations
 
