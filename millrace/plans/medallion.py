@@ -17,7 +17,7 @@ from millrace.plans import reports
 from millrace.session import stage
 from millrace.sinks.bronze import write_bronze
 from millrace.sinks.silver import SilverTable
-from millrace.sources.delimited import scan_by_name, scan_header_shift, scan_skip_rows
+from millrace.sources.delimited import ERROR, scan_by_name, scan_header_shift, scan_skip_rows
 from millrace.sources.grid import fixed_grid, ragged_grid
 from millrace.sources.listing import deliveries, list_files
 from millrace.sources.tables import read_table, table_exists
@@ -56,12 +56,16 @@ GRID_PARSERS = {
 }
 
 
-def parse(spark: SparkSession, feed: FeedSpec, paths: Sequence[str]) -> DataFrame:
-    """Raw rows of all files of a feed."""
+# Parsers that can mark faulty rows instead of failing on them.
+MARKING = ("csv", "csv skip 1")
+
+
+def parse(spark: SparkSession, feed: FeedSpec, paths: Sequence[str], **options) -> DataFrame:
+    """Raw rows of all files of a feed; ``options`` of the scan go before the feed's own."""
     if callable(feed.parser):
         return feed.parser(spark, list(paths))
     if feed.parser in PARSERS:
-        return PARSERS[feed.parser](spark, list(paths), lineage="path", **feed.options)
+        return PARSERS[feed.parser](spark, list(paths), lineage="path", **{**feed.options, **options})
     if feed.parser in GRID_PARSERS:
         return GRID_PARSERS[feed.parser](spark.read.parquet(*paths))
     raise ValueError(f"no parser {feed.parser!r} for {feed.bronze_table}")
@@ -91,6 +95,28 @@ class Lake:
         write_bronze(landed, self.bronze_path(feed), feed.load_type)
         return read_table(self.spark, self.bronze_path(feed), schema=landed.schema, batch_id=batch_id)
 
+    def land_files(
+        self, feed: FeedSpec, paths: Sequence[str], batch_id: str, at: datetime
+    ) -> tuple[DataFrame, DataFrame | None]:
+        """Land the files of a feed; returns what was written, and (file, fault) of files left out.
+
+        All files go through one job.  Only if that fails are the rows staged
+        with their faults marked: files without a fault then land without the
+        others.  A failure that no row explains, or all files have, is raised.
+        """
+        try:
+            return self.land(feed, parse(self.spark, feed, paths), batch_id, at), None
+        except Exception:
+            if feed.parser not in MARKING or "long_rows" in feed.options:
+                raise
+            rows = stage(parse(self.spark, feed, paths, long_rows="mark"), "marked")
+            faults = rows.where(F.col(ERROR).isNotNull()).groupBy("source_file").agg(F.min(ERROR).alias("fault"))
+            faults = stage(faults, "faults")
+            good = rows.drop(ERROR).join(faults, "source_file", "left_anti").select(*[f"`{c}`" for c in rows.columns if c != ERROR])
+            if faults.isEmpty() or good.isEmpty():
+                raise
+            return self.land(feed, good, batch_id, at), faults
+
     def refine(self, feed: FeedSpec, rows: DataFrame, batch_id: str) -> bool:
         """Clean rows and upsert them into the feed's silver table."""
         return self.silver_table(feed).upsert(clean_and_cast(rows, feed.silver, drop_exact=False), batch_id, self.policy)
@@ -98,7 +124,8 @@ class Lake:
     def ingest(self, inbox: str, at: datetime, batch_id: str | None = None) -> DataFrame:
         """One run over an inbox. Returns the manifest of file outcomes.
 
-        Feeds are independent: an error stops its own feed only.  Silver sees
+        Feeds are independent: an error stops its own feed only, and a file with
+        rows longer than its header fails without its feed's others.  Silver sees
         the new batch, not the whole bronze table; :meth:`replay` does that.
         Files that an earlier run has processed (same path and time) are left
         out; failed ones are tried again.
@@ -112,11 +139,12 @@ class Lake:
         listing = stage(route(listing, self.feeds), "listing")
         bronze_errors: dict[int, str] = {}
         silver_errors: dict[int, str] = {}
+        faults = self.spark.createDataFrame([], "source_file string, fault string")
         for row in listing.where("feed IS NOT NULL").select("feed").distinct().collect():
             feed = self.feeds[row["feed"]]
             try:
-                rows = parse(self.spark, feed, self._paths(listing, row["feed"]))
-                landed = self.land(feed, rows, batch_id, at)
+                landed, left_out = self.land_files(feed, self._paths(listing, row["feed"]), batch_id, at)
+                faults = faults if left_out is None else faults.unionByName(left_out)
             except Exception as error:  # noqa: BLE001 - any failure is an outcome of the file
                 log.exception("bronze failed for %s", feed.bronze_table)
                 bronze_errors[row["feed"]] = str(error)
@@ -128,8 +156,9 @@ class Lake:
             except Exception as error:  # noqa: BLE001
                 log.exception("silver failed for %s", feed.silver.table)
                 silver_errors[row["feed"]] = str(error)
-        states = listing.withColumns(
-            {"bronze_error": _lookup(bronze_errors), "silver_error": _lookup(silver_errors)}
+        states = listing.join(faults.withColumnRenamed("source_file", "path"), "path", "left")
+        states = states.withColumns(
+            {"bronze_error": F.coalesce(_lookup(bronze_errors), F.col("fault")), "silver_error": _lookup(silver_errors)}
         )
         failed = F.col("feed").isNull() | F.col("bronze_error").isNotNull()
         status = F.when(failed, "failed").otherwise("processed").alias("status")

@@ -12,6 +12,8 @@ from millrace.operators.blocks import expand_header, promote_header, whole_file
 from millrace.sources.grid import GRID, file_label, fixed_grid
 
 ROW_LABEL = "__index_level_0__"
+#: Column that names the fault of a marked row.
+ERROR = "_error"
 
 
 def scan_delimited(
@@ -59,18 +61,20 @@ def scan_by_name(
     """Files whose headers differ: each file's own header names its cells.
 
     A row with more filled cells than its header fails the job; ``long_rows``
-    may say ``"drop"`` (the row) or ``"keep"`` (the named cells) instead.
+    may say ``"drop"`` (the row), ``"keep"`` (the named cells) or ``"mark"``
+    (all rows stay, with the fault of such a row in ``_error``) instead.
     """
-    if long_rows not in ("error", "drop", "keep"):
-        raise ValueError("long_rows must be 'error', 'drop' or 'keep'")
-    grid = fixed_grid(spark, paths, width, long_rows="keep", header_row=header_row, **grid_options)
+    if long_rows not in ("error", "drop", "keep", "mark"):
+        raise ValueError("long_rows must be 'error', 'drop', 'keep' or 'mark'")
+    grid = whole_file(_with_field_count(fixed_grid(spark, paths, width, long_rows="keep", header_row=header_row, **grid_options)))
     fits = F.col("_fields") <= F.col("header_size")
+    message = F.concat(F.lit("row longer than its header in "), F.col("source_file"))
+    if long_rows == "mark":
+        rows = promote_header(grid, header_row, columns=columns, keep=("source_file", "_fields", "header_size"))
+        return rows.withColumn(ERROR, F.when(~fits, message)).drop("_fields", "header_size")
     if long_rows == "error":
-        message = F.concat(F.lit("row longer than its header in "), F.col("source_file"))
         fits = F.when(fits, True).otherwise(F.raise_error(message).cast("boolean"))
-    return promote_header(
-        whole_file(_with_field_count(grid)), header_row, columns=columns, row_filter=None if long_rows == "keep" else fits
-    )
+    return promote_header(grid, header_row, columns=columns, row_filter=None if long_rows == "keep" else fits)
 
 
 def scan_skip_rows(

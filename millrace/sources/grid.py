@@ -19,11 +19,16 @@ GRID = ["source_file", "row_no", "cells"]
 CHUNK_ROWS = 50_000
 
 
+def _plain(path: Column) -> Column:
+    """A path as listings have it: Spark's file metadata are url-encoded (``+`` is not)."""
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
+
+
 def file_label(lineage: str = "name") -> Column:
     if lineage == "name":
-        return F.col("_metadata.file_name")
+        return _plain(F.col("_metadata.file_name"))
     if lineage == "path":
-        return F.col("_metadata.file_path")
+        return _plain(F.col("_metadata.file_path"))
     raise ValueError("lineage must be 'name' or 'path'")
 
 

@@ -242,6 +242,31 @@ def test_lake_run_with_failures(spark, folder):
     assert lake.silver_table(feeds[0]).read().count() == before
 
 
+def test_a_faulty_file_fails_alone(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "part 1.csv").write_text("id,v\n1,a\n")
+    (inbox / "part 2.csv").write_text("id,v\n2,b,too,long\n7,c\n")
+    (inbox / "part3.csv").write_text("v,id,more\nc,3,m\n")
+    (inbox / "loose.csv").write_text("id\n4,5\n")
+    feeds = [
+        FeedSpec("^part", "csv", "parts", silver=SilverSpec("parts", ("id",))),
+        FeedSpec("^loose", "csv", "loose", options={"long_rows": "keep"}),
+    ]
+    lake = Lake(spark, str(tmp_path / "lake"), feeds)
+    got = {r["file_name"]: r for r in lake.ingest(str(inbox), datetime(2024, 1, 2), "run-1").collect()}
+    assert {k: r["status"] for k, r in got.items()} == {
+        "part 1.csv": "processed", "part 2.csv": "failed", "part3.csv": "processed", "loose.csv": "processed"}
+    assert "longer than its header" in got["part 2.csv"]["error"] and got["part3.csv"]["error"] is None
+    assert sorted((r["id"], r["v"], r["more"]) for r in lake.silver_table(feeds[0]).current().collect()) == [("1", "a", None), ("3", "c", "m")]
+    sources = lake.silver_table(feeds[0]).current().select("source_file").distinct().collect()
+    assert {r["source_file"] for r in sources} == {"part 1.csv", "part3.csv"}
+    (inbox / "part 2.csv").write_text("id,v\n2,b\n")
+    again = lake.ingest(str(inbox), datetime(2024, 1, 3), "run-2").collect()
+    assert [(r["file_name"], r["status"]) for r in again] == [("part 2.csv", "processed")]
+    assert sorted(r["id"] for r in lake.silver_table(feeds[0]).current().collect()) == ["1", "2", "3"]
+
+
 def test_decoded_workbooks_go_through_the_lake(spark, tmp_path):
     inbox = tmp_path / "inbox"
     rows = [("Depot.xlsx", 0, ["Code", "Units"]), ("Depot.xlsx", 1, ["a", "3"]), ("Depot.xlsx", 2, ["b", "x"])]
