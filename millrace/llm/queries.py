@@ -77,8 +77,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token ids written to record files and read back."""
-    return record_files.round_trip(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), END_ID)
+    """Token ids by the tokenizer file as it is, written to record files and read back."""
+    docs = table(spark, sf_dir, "documents")
+    return record_files.round_trip(spark, docs, vocabulary("byte_bpe_50k.json"), END_ID, special_as_text=False)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,10 @@ pre-token: at every space with no white space beside it, and new pieces again
 after ASCII letters and lone line breaks.  Pieces met before are taken from a
 bounded memory; only new ones are encoded.
 
+Names of special tokens inside texts (as ``<|endoftext|>``) are either plain
+text (``special_as_text``) or found as the vocabulary file says.  Texts that
+hold the name of an added token that is to be found are encoded whole.
+
 Defined cases: null texts are empty and give a record with the end id alone;
 null ids come first; repeated ids are kept, in order of their text hashes; an
 empty table gives no file and no row; other columns are ignored.
@@ -60,7 +64,7 @@ _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: Inside a piece, where the pattern starts a pre-token too: after ASCII letters, and after a lone line break.
 _INNER = re.compile(r"(?<=[A-Za-z])(?=[!-/:-@\[-`{-~\n])|(?<=\S\n)(?=\S)")
 
-_encoders: dict[str, "Encoder"] = {}
+_encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
 def masked(data: bytes) -> int:
@@ -97,22 +101,27 @@ class _Memory:
 class Encoder:
     """Ids of texts by a vocabulary file, as bytes."""
 
-    def __init__(self, vocabulary: str):
+    def __init__(self, vocabulary: str, special_as_text: bool = True):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = special_as_text
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        self._added = [t.content for t in added if not (special_as_text and t.special)]
         self.kind = np.dtype("<u2" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self._code = "H" if self.kind.itemsize == 2 else "I"
         self._spaced, self._parts = _Memory(), _Memory()
 
-    def _encode_parts(self, wanted: set[str]) -> None:
-        new = self._parts.lacking(wanted)
-        for p, found in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
+        for found in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
             ids = array(self._code, found.ids)
             if sys.byteorder == "big":
                 ids.byteswap()
-            self._parts.now[p] = ids.tobytes()
+            yield ids.tobytes()
+
+    def _encode_parts(self, wanted: set[str]) -> None:
+        new = self._parts.lacking(wanted)
+        self._parts.now.update(zip(new, self._encoded(new)))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         self._spaced.turn()
@@ -120,6 +129,9 @@ class Encoder:
         known = self._spaced.now
         cut, new, heads = [], set(), set()
         for text in texts:
+            if any(name in text for name in self._added):
+                cut.append((text, None, ()))
+                continue
             own = pieces(text)
             head = own.pop(0)
             ids = list(map(known.get, own))
@@ -133,18 +145,22 @@ class Encoder:
         for p, own in inner.items():
             known[p] = b"".join([parts[q] for q in own]) if len(own) > 1 else parts[own[0]]
         for head, own, ids in cut:
+            if own is None:
+                yield next(self._encoded([head]))
+                continue
             if None in ids:
                 ids = [known[p] if found is None else found for p, found in zip(own, ids)]
             yield parts[head] + b"".join(ids)
 
 
-def _encoder(vocabulary: str) -> Encoder:
+def _encoder(vocabulary: str, special_as_text: bool) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    if vocabulary not in _encoders:
-        _encoders[vocabulary] = Encoder(vocabulary)
-    return _encoders[vocabulary]
+    key = (vocabulary, special_as_text)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
 
 
 def _open(folder: str):
@@ -158,8 +174,10 @@ def frame(record: bytes) -> bytes:
     return length + _CHECK.pack(masked(length)) + record + _CHECK.pack(masked(record))
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, vocabulary: str, end_id: int) -> Iterator[pa.RecordBatch]:
-    coder, shard = _encoder(vocabulary), TaskContext.get().partitionId()
+def _write(
+    batches: Iterator[pa.RecordBatch], folder: str, vocabulary: str, end_id: int, special_as_text: bool
+) -> Iterator[pa.RecordBatch]:
+    coder, shard = _encoder(vocabulary, special_as_text), TaskContext.get().partitionId()
     end = np.array([end_id], coder.kind).tobytes()
     out = index = None
     n_docs = n_ids = at = 0
@@ -188,14 +206,21 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, vocabulary: str, end_
 
 
 def write_records(
-    docs: DataFrame, folder: str, vocabulary: str, end_id: int, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    folder: str,
+    vocabulary: str,
+    end_id: int,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    special_as_text: bool = True,
 ) -> DataFrame:
     """Write every row's ids below ``folder``, in order of doc_id; returns the table of shards, in order."""
     small_batches(docs.sparkSession)
 
     narrow = docs.select(F.col(doc_id).cast("bigint").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     order = ("_id", F.xxhash64("_text"))
-    return stage(narrow.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(partial(_write, folder=folder, vocabulary=vocabulary, end_id=end_id), _SHARDS), "shards")
+    write = partial(_write, folder=folder, vocabulary=vocabulary, end_id=end_id, special_as_text=special_as_text)
+    return stage(narrow.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(write, _SHARDS), "shards")
 
 
 def read_frames(source) -> Iterator[tuple[int | None, bytes]]:
@@ -268,7 +293,9 @@ def read_shuffled(shards: DataFrame, folder: str, seed: int, doc_id: str = "doc_
     return _spread(shards).mapInArrow(partial(_read_shuffled, folder=folder, seed=seed), "_id bigint, ids array<bigint>").withColumnRenamed("_id", doc_id)
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, folder: str | None = None) -> DataFrame:
+def round_trip(
+    spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int, folder: str | None = None, special_as_text: bool = True
+) -> DataFrame:
     """Write ``docs`` to record files in the shared folder and return what they hold."""
     folder = folder or workspace(spark, "records")
-    return read_records(write_records(docs, folder, vocabulary, end_id), folder)
+    return read_records(write_records(docs, folder, vocabulary, end_id, special_as_text=special_as_text), folder)

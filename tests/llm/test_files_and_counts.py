@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from millrace.llm import edit_counts, record_files
-from millrace.llm.queries import REDACTIONS, pretoken_pattern, vocabulary
+from millrace.llm.queries import REDACTIONS, op5, pretoken_pattern, vocabulary
 from tests.llm.plain import DOCS, awkward
 
 
@@ -51,6 +51,23 @@ def test_round_trip(spark, folder, tokenizer):
     )
 
 
+def test_special_tokens_as_the_file_says():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    texts = ["a<|endoftext|>b", "one <|endoftext|> two words", "<|endoftext", *odd_texts()]
+    coder = record_files.Encoder(vocabulary("byte_bpe_50k.json"), special_as_text=False)
+    for text, ids in zip(texts, coder.encode(texts), strict=True):
+        assert np.frombuffer(ids, coder.kind).tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_query_finds_special_tokens(spark, folder):
+    docs = spark.createDataFrame([(1, "a<|endoftext|>b"), (2, "a")], "doc_id bigint, text string")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    got = [(r.doc_id, r.start, r.n_tokens) for r in op5(spark, str(folder)).collect()]
+    assert sorted(got) == [(1, 0, 4), (2, 4, 2)]
+
+
 def test_damage_is_found(tmp_path):
     data = bytearray(record_files.frame(b"\x00" * 9 + b"abcd"))
     for at in (0, 9, 20, len(data) - 1):
