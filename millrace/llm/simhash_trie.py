@@ -36,7 +36,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from millrace.llm.common import is_empty, rows_of, small_batches
 from millrace.session import stage
@@ -70,14 +69,18 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         prints = [fingerprint(t or b"") for (t,) in rows_of([batch], "_text")]
         signed = pa.array(np.array(prints, np.uint64).view(np.int64))
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), signed], ["_id", "fp"])
+        names = [name for name in batch.schema.names if name != "_text"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, names), signed], [*names, "fp"])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """_id and fp (64 bits as bigint) of every row."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """_id and fp (64 bits as bigint) of every row; with a column ``row`` that numbers rows also _row and _hash (of the text)."""
     small_batches(docs.sparkSession)
-    narrow = docs.select(F.col(doc_id).cast("bigint").alias("_id"), F.col(text).cast("binary").alias("_text"))
-    return narrow.mapInArrow(_fingerprints, "_id bigint, fp bigint")
+    narrow = [F.col(doc_id).cast("bigint").alias("_id"), F.col(text).cast("binary").alias("_text")]
+    if row is None:
+        return docs.select(*narrow).mapInArrow(_fingerprints, "_id bigint, fp bigint")
+    key = [F.xxhash64(text).alias("_hash"), F.col(row).alias("_row")]
+    return docs.select(*narrow, *key).mapInArrow(_fingerprints, "_id bigint, _hash bigint, _row bigint, fp bigint")
 
 
 # The walk inside a task ---------------------------------------------------
@@ -237,12 +240,16 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
+def _members(prints: DataFrame, budget: int, cell: int) -> DataFrame:
+    """``prints`` (distinct fp) with the root of each one's component."""
+    roots = stage(components(near_links(prints.select("fp"), budget, cell)), "roots")
+    return prints.join(roots, prints.fp == roots.node, "left").select(*prints.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, budget: int = 2, doc_id: str = "doc_id", text: str = "text", cell: int = CELL) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id reachable over links) for every row."""
     rows = stage(fingerprints(docs, doc_id, text), "fingerprints")
-    prints = stage(rows.groupBy("fp").agg(F.min("_id").alias("least")), "prints")
-    roots = stage(components(near_links(prints.select("fp"), budget, cell)), "roots")
-    member = prints.join(roots, prints.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    member = _members(stage(rows.groupBy("fp").agg(F.min("_id").alias("least")), "prints"), budget, cell)
     first = member.groupBy("root").agg(F.min("least").alias("component_id"))
     known = member.join(first, "root").select(F.col("fp").alias("_fp"), "component_id")
     return rows.join(known, F.col("fp") == F.col("_fp"), "left").select(F.col("_id").alias(doc_id), "fp", "component_id")
@@ -252,14 +259,24 @@ def hex64(c: Column | str) -> Column:
     return F.lower(F.lpad(F.hex(c), 16, "0"))
 
 
-def keep_first(docs: DataFrame, budget: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest id, of repeated ids one.
+def keep_first(
+    docs: DataFrame, budget: int = 2, doc_id: str = "doc_id", text: str = "text", keep_null_ids: bool = True
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, of repeated ids the smallest text hash.
 
-    Rows with a null id cannot stand for a group and stay.
+    Rows are told apart by a number, so that an id repeated in several
+    components keeps a row in each.  With ``keep_null_ids`` rows with a null id
+    do not stand for a group and stay; without it they count as the largest ids.
     """
-    found = near_duplicates(docs, budget, doc_id, text)
-    first = found.where(F.col(doc_id) == F.col("component_id")).select(F.col(doc_id).alias("_first")).distinct()
-    known = docs.where(F.col(doc_id).isNotNull()).join(first, F.col(doc_id) == F.col("_first"))
-    nth = F.row_number().over(W.partitionBy(doc_id).orderBy(F.xxhash64(text)))
-    kept = known.withColumn("_nth", nth).where("_nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    number = "_dedup_row"
+    docs_ = stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    rows = stage(fingerprints(docs_, doc_id, text, number), "fingerprints")
+    order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash", "_row")
+    if keep_null_ids:
+        order = F.when(F.col("_id").isNotNull(), order)
+    prints = stage(rows.groupBy("fp").agg(F.min(order).alias("least")), "prints")
+    first = _members(prints, budget, CELL).groupBy("root").agg(F.min("least").alias("least"))
+    kept = first.where("least is not null").select(F.col("least._row").alias(number))
+    if keep_null_ids:
+        kept = kept.union(rows.where("_id is null").select("_row"))
+    return docs_.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

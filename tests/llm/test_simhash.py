@@ -78,6 +78,17 @@ def test_keep_first(spark):
     assert sum(r.doc_id is None for r in kept) == 2 and kept[0].__fields__ == docs.columns
 
 
+def test_one_row_of_each_component_whatever_its_ids(spark):
+    rng = random.Random(9)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(40)) for _ in range(5))
+    rows = [(5, a), (5, b), (3, b), (None, c), (None, c), (7, d), (7, d), (8, e), (None, e), (7, e)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    kept = [tuple(r) for r in keep_first(docs, keep_null_ids=False).collect()]
+    assert sorted(kept, key=str) == sorted([(5, a), (3, b), (None, c), (7, d), (7, e)], key=str)
+    kept = [tuple(r) for r in keep_first(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(5, a), (3, b), (None, c), (None, c), (7, d), (7, e), (None, e)], key=str)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], DOCS)
     assert near_duplicates(docs).count() == 0 and keep_first(docs).count() == 0
