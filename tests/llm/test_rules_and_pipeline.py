@@ -47,6 +47,24 @@ def test_lines_over_the_limit(spark):
     assert all(got[300 + k].base_failed and not got[300 + k].kept for k in range(3))
 
 
+def test_lines_are_removed(spark):
+    rng = random.Random(4)
+    fresh = lambda n: " ".join(f"w{rng.randrange(10**9)}x" for _ in range(n))
+    shared = "Subscribe to our 12 letters  today"
+    heads = [fresh(60) for _ in range(30)]
+    rows = [(7, f"{h}\n\n{shared.upper() if k % 2 else shared}\n end {k}x {h[:9]}", "en", "a", 1) for k, h in enumerate(heads)]
+    rows += [(100, f"{heads[0]} more\n{shared}", "en", "b", 1), (101, None, "en", "a", 1)]
+    rows += [(200 + k, f"{fresh(51)}\n" + f"{shared}\n" * 7, "en", "a", 1) for k in range(3)]  # loses less than half
+    docs = spark.createDataFrame(rows, DOCS).withColumnRenamed("lang", "kept").repartition(3)
+    got = line_frequency.remove_lines(docs, 20, 0.001, 0.5)
+    texts = collections.Counter((r.doc_id, r.text) for r in got.collect())
+    want = collections.Counter((7, f"{h}\n\n end {k}x {h[:9]}") for k, h in enumerate(heads))
+    want += collections.Counter({(100, rows[30][1]): 1})
+    want += collections.Counter((r[0], r[1].split("\n")[0] + "\n") for r in rows if 200 <= r[0] < 300)
+    assert texts == want and got.schema == docs.schema
+    assert line_frequency.remove_lines(docs.limit(0)).count() == 0
+
+
 def test_awkward_rows(spark):
     docs = spark.createDataFrame(awkward(), DOCS)
     got = line_frequency.judge_lines(docs)
