@@ -1,4 +1,4 @@
-"""The ten training-data operators over the given tables, next to the SQL that states their results.
+"""The training-data operators over the given tables, next to the SQL that states their results.
 
 Each query applies its operator, with production parameters, to its whole
 table.  Where there is no SQL (trained models, a hash or a vocabulary that SQL
@@ -12,7 +12,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bloom_cascade, decontaminate, edit_counts, extendible, line_frequency
+from millrace.llm import bloom_cascade, bond_negatives, decontaminate, edit_counts, extendible, filter_audit, line_frequency
 from millrace.llm import mil_quality, record_files, secret_tests, simhash_trie, soft_mix
 from millrace.llm.common import table
 from millrace.session import stage
@@ -128,6 +128,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "shard", F.length("shard").alias("depth"), "shard_bytes", "shard_docs")
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of all orders of five filters for each language."""
+    counts = filter_audit.failure_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts)
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector."""
+    vec_id, label = F.col("vec_id"), F.col("label").cast("bigint")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return bond_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -229,6 +242,63 @@ SELECT doc_id, n_bytes, left(lpad(bin(h), 52, '0'), l.depth) AS shard, l.depth::
 FROM leaves l JOIN buckets k ON l.depth = k.depth AND k.p = l.h >> (52 - l.depth)
 """
 
+_CUT = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+
+OP11_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {_CUT.format("coalesce(text, '')")} AS ws FROM documents),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         (len(ws) < 200)::INT + 2 * (100 * len(list_distinct(ws)) < 50 * len(ws))::INT
+         + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 3 * length(t))::INT
+         + 8 * regexp_matches(t, '[#$%&*|]')::INT
+         + 16 * (doc_id > min(doc_id) OVER (PARTITION BY t))::INT AS mask
+  FROM d LEFT JOIN marks USING (doc_id)),
+counts AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY ALL),
+grown AS (
+  SELECT '' AS filter_order
+  UNION ALL
+  SELECT filter_order || f FROM grown, (SELECT unnest(string_split('ABCDE', '')) AS f)
+  WHERE length(filter_order) < 5 AND NOT contains(filter_order, f)),
+steps AS (
+  SELECT filter_order, step, filter_order[step] AS f, 1 << (ascii(filter_order[step]) - 65) AS bit,
+         list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))) AS before
+  FROM (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM grown WHERE length(filter_order) = 5)),
+seen AS (
+  SELECT part, filter_order, step, f, n, good, toxic, mask & bit > 0 AS fails, mask & coalesce(before, 0)::INT = 0 AS reached, mask = bit AS alone
+  FROM steps, counts),
+summed AS (
+  SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (reached AND NOT fails), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (reached AND fails), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (NOT reached AND fails), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (alone), 0)::BIGINT AS unique_fails,
+         coalesce(sum(good) FILTER (reached AND fails), 0)::BIGINT AS good_lost,
+         coalesce(sum(toxic) FILTER (reached AND fails), 0)::BIGINT AS toxic_lost
+  FROM seen GROUP BY ALL)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM summed
+"""
+
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+best AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+       (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other))::INT AS rank
+FROM best p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT same
+     AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) <= 10
+"""
+
 QUERIES = {
     "op1_line_frequency": (op1, OP1_SQL),
     "op2_bloom_cascade": (op2, OP2_SQL),
@@ -240,4 +310,6 @@ QUERIES = {
     "op8_simhash_trie": (op8, None),
     "op9_secret_tests": (op9, None),
     "op10_extendible_shards": (op10, OP10_SQL),
+    "op11_filter_audit": (op11, OP11_SQL),
+    "op12_bond_negatives": (op12, OP12_SQL),
 }
