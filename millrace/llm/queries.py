@@ -12,7 +12,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bloom_cascade, bond_negatives, decontaminate, edit_counts, extendible, filter_audit, line_frequency
+from millrace.llm import bloom_cascade, bond_negatives, decontaminate, edit_counts, extendible, filter_audit, hidden_markov, line_frequency
 from millrace.llm import mil_quality, record_files, secret_tests, simhash_trie, soft_mix
 from millrace.llm.common import table
 from millrace.session import stage
@@ -141,6 +141,13 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bond_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Likelihoods of all documents under a hidden Markov model of nine tenths of them."""
+    tenth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10
+    scored = hidden_markov.score_texts(table(spark, sf_dir, "documents"), tenth != 0)
+    return scored.select("doc_id", (~F.col("trained")).alias("held_out"), *scored.columns[2:])
+
+
 _LOW = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1_SQL = rf"""
@@ -312,4 +319,5 @@ QUERIES = {
     "op10_extendible_shards": (op10, OP10_SQL),
     "op11_filter_audit": (op11, OP11_SQL),
     "op12_bond_negatives": (op12, OP12_SQL),
+    "op13_hidden_markov": (op13, None),
 }
