@@ -18,9 +18,10 @@ each attempt; the table of shards, which Spark commits as a whole, says which
 ones count.  A lost task thus leaves at most files that nothing names.
 
 Texts are cut, before encoding, where the byte-level pattern always starts a
-pre-token: at every space with no white space beside it, and new pieces again
-after ASCII letters and lone line breaks.  Pieces met before are taken from a
-bounded memory; only new ones are encoded.
+pre-token: at every space with no white space beside it, and at line breaks.  The
+distinct pieces of some megabytes of text are put together from words and signs;
+words are looked up in a bounded memory, and those not met lately go to the library,
+many in one call.  Texts with other runs of white space are cut at lone spaces alone.
 
 Names of special tokens inside texts (as ``<|endoftext|>``) are either plain
 text (``special_as_text``) or found as the vocabulary file says.  Texts that
@@ -35,15 +36,14 @@ from __future__ import annotations
 
 import re
 import struct
-import sys
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import partial
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,17 +52,21 @@ from pyspark.sql import Window as W
 from millrace.llm.common import rows_of, small_batches
 from millrace.session import stage, workspace
 
-#: Pieces that a worker remembers; as many again stay from before the last turn.
-REMEMBERED = 600_000
+#: Words that a worker remembers; as many again stay from before the last turn.
+REMEMBERED = 500_000
 #: Bytes that a writer gathers, and a reader fetches, at a time.
 BUFFER = 1 << 20
 
 _SHARDS = "shard int, path string, n_docs bigint, n_ids bigint, n_bytes bigint, width int"
 _HEAD, _CHECK, _ID = struct.Struct("<QI"), struct.Struct("<I"), struct.Struct("<Bq")
-_TOUCHING = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-#: Inside a piece, where the pattern starts a pre-token too: after ASCII letters, and after a lone line break.
-_INNER = re.compile(r"(?<=[A-Za-z])(?=[!-/:-@\[-`{-~\n])|(?<=\S\n)(?=\S)")
+#: Signs that form a pre-token of their own between an ASCII letter or digit and the end of a piece.
+_SIGNS = ".,;:!?)"
+_SIGNED = f"[A-Za-z0-9][{re.escape(_SIGNS)}]$"
+#: White space that is not cut at: a run of line breaks is not always one id for each.
+_RUNS = ("\n\n\n", "\n\n ")
+#: Words that the library gets as one text (longer texts take longer a word), and bytes of text that are cut at a time.
+JOINED, CUT = 100, 8 << 20
 
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -72,30 +76,16 @@ def masked(data: bytes) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
-def pieces(text: str) -> list[str]:
-    """The text cut at every space that has no white space beside it; all pieces but the first lack that space."""
-    if text[:1] == " " or text[-1:] == " " or _TOUCHING.search(text):
-        return _LONE_SPACE.split(text)
-    return text.split(" ")
+def _gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ranges of ``values`` one after another."""
+    ends = np.cumsum(lengths)
+    at = np.repeat(starts - (ends - lengths), lengths)
+    at += np.arange(len(at))
+    return values[at]
 
 
-class _Memory:
-    """What was met lately: a map that starts anew when full and still looks into its last filling."""
-
-    def __init__(self):
-        self.now: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
-
-    def turn(self) -> None:
-        if len(self.now) > REMEMBERED:
-            self.now, self.before = {}, self.now
-
-    def lacking(self, wanted: set[str]) -> list[str]:
-        """What of ``wanted`` has to be learned; the rest is in ``now`` afterwards."""
-        now, before = self.now, self.before
-        new = [p for p in wanted if p not in now]
-        now.update((p, before[p]) for p in new if p in before)
-        return [p for p in new if p not in before]
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
 
 
 class Encoder:
@@ -108,49 +98,129 @@ class Encoder:
         self._tokenizer.encode_special_tokens = special_as_text
         added = self._tokenizer.get_added_tokens_decoder().values()
         self._added = [t.content for t in added if not (special_as_text and t.special)]
-        self.kind = np.dtype("<u2" if self._tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
-        self._code = "H" if self.kind.itemsize == 2 else "I"
-        self._spaced, self._parts = _Memory(), _Memory()
-
-    def _encoded(self, texts: list[str]) -> Iterator[bytes]:
-        for found in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            ids = array(self._code, found.ids)
-            if sys.byteorder == "big":
-                ids.byteswap()
-            yield ids.tobytes()
-
-    def _encode_parts(self, wanted: set[str]) -> None:
-        new = self._parts.lacking(wanted)
-        self._parts.now.update(zip(new, self._encoded(new)))
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        self._spaced.turn()
-        self._parts.turn()
-        known = self._spaced.now
-        cut, new, heads = [], set(), set()
-        for text in texts:
-            if any(name in text for name in self._added):
-                cut.append((text, None, ()))
-                continue
-            own = pieces(text)
-            head = own.pop(0)
-            ids = list(map(known.get, own))
-            if None in ids:
-                new.update(p for p, found in zip(own, ids) if found is None)
-            heads.add(head)
-            cut.append((head, own, ids))
-        inner = {p: _INNER.split(" " + p) for p in self._spaced.lacking(new)}
-        self._encode_parts(heads.union(*inner.values()))
-        parts = self._parts.now
-        for p, own in inner.items():
-            known[p] = b"".join([parts[q] for q in own]) if len(own) > 1 else parts[own[0]]
-        for head, own, ids in cut:
-            if own is None:
-                yield next(self._encoded([head]))
-                continue
-            if None in ids:
-                ids = [known[p] if found is None else found for p, found in zip(own, ids)]
-            yield parts[head] + b"".join(ids)
+        size = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        space = self._tokenizer.encode(" ", add_special_tokens=False).tokens[0]
+        self._spaced = np.zeros(size, bool)  # ids of tokens that start with a space
+        for token, number in self._tokenizer.get_vocab(with_added_tokens=True).items():
+            self._spaced[number] = token.startswith(space)
+        self._line = self._ids("\n")
+        self._signs = np.concatenate([self._ids(c) for c in _SIGNS])
+        if len(self._line) != 1 or len(self._signs) != len(_SIGNS):
+            raise ValueError("the vocabulary has no single ids for a line break and signs")
+        self._now: dict[str, bytes] = {}  # ids of words met lately; a line break before a word says that no space is
+        self._before: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _learn(self, words: list[str], lines: bool) -> None:
+        """Encode words that begin and end without white space, many in one text.
+
+        Words after a space are told apart by the only id of each that starts with a
+        space; words after a line break by the line break's id.
+        """
+        width = self.kind.itemsize
+        groups = [words[at : at + JOINED] for at in range(0, len(words), JOINED)]
+        texts = ["".join(own) if lines else " " + " ".join(own) for own in groups]
+        for own, found in zip(groups, self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(found.ids, self.kind)
+            starts = np.flatnonzero(ids == self._line[0]) + 1 if lines else np.flatnonzero(self._spaced[ids])
+            if len(starts) != len(own):
+                raise ValueError("the vocabulary joins words across white space")
+            ends = np.append(starts[1:] - lines, len(ids))
+            raw = ids.tobytes()
+            self._now.update(zip(own, [raw[a:b] for a, b in zip((starts * width).tolist(), (ends * width).tolist())]))
+
+    def _word_ids(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of ``keys`` end to end, and how many each has."""
+        if len(self._now) > REMEMBERED:
+            self._now, self._before = {}, self._now
+        now, before = self._now, self._before
+        found = list(map(now.get, keys))
+        if None in found:
+            new = [k for k, ids in zip(keys, found) if ids is None]
+            now.update((k, before[k]) for k in new if k in before)
+            new = [k for k in new if k not in before]
+            self._learn([k for k in new if k[0] != "\n"], False)
+            self._learn([k for k in new if k[0] == "\n"], True)
+            found = list(map(now.__getitem__, keys))
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        return np.frombuffer(b"".join(found), self.kind), lengths
+
+    def _piece_ids(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of distinct pieces end to end, how many each has, and which have none of their own for touching white space.
+
+        A piece is a line break or none, a word, and a sign or none.
+        """
+        line = pc.starts_with(distinct, "\n")
+        word = pc.if_else(line, pc.utf8_slice_codeunits(distinct, 1), distinct)
+        bare = pc.and_(line, pc.equal(word, ""))
+        odd = pc.or_(pc.not_equal(pc.utf8_trim_whitespace(word), word), pc.and_not(pc.equal(word, ""), bare))
+        signed = pc.match_substring_regex(word, _SIGNED)
+        sign = pc.if_else(signed, pc.index_in(pc.utf8_slice_codeunits(word, -1), pa.array(list(_SIGNS))), -1)
+        word = pc.if_else(signed, pc.utf8_slice_codeunits(word, 0, -1), word)
+        key = pc.if_else(pc.or_(odd, bare), "a", pc.if_else(line, pc.binary_join_element_wise("\n", word, ""), word))
+        coded = key.dictionary_encode()
+        ids, lengths = self._word_ids(coded.dictionary.to_pylist())
+        which = coded.indices.to_numpy()
+        line, bare, odd, signed, sign = (c.to_numpy(zero_copy_only=False) for c in (line, bare, odd, signed, sign))
+        own = np.where(bare | odd, 0, lengths[which])
+        total = own + line + signed
+        out = np.empty(int(total.sum()), self.kind)
+        at = _starts(total)
+        out[at[line]] = self._line[0]
+        out[(at + total - 1)[signed]] = self._signs[sign[signed]]
+        inside = np.repeat(at + line - _starts(own), own)
+        inside += np.arange(len(inside))
+        out[inside] = _gather(ids, _starts(lengths)[which], own)
+        return out, total, odd
+
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        """The ids of every text, in order."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        at = 0
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        for end in [*np.flatnonzero(np.diff(np.cumsum(sizes) // CUT)) + 1, len(texts)]:
+            if end > at:
+                yield from self._encode(texts.slice(at, end - at))
+            at = end
+
+    def _encode(self, texts: pa.Array) -> Iterator[bytes]:
+        core = pc.utf8_rtrim(texts, "\n")
+        apart = np.zeros(len(texts), bool)
+        for run in _RUNS:
+            apart |= pc.match_substring(core, run).to_numpy(zero_copy_only=False)
+        whole = np.zeros(len(texts), bool)
+        for name in self._added:
+            whole |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        # The first word of a text is not after a space: a line break before it is taken off again.
+        cut = pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(core, "\n", " \n"), ""), " ")
+        coded = cut.flatten().dictionary_encode()
+        ids, lengths, odd = self._piece_ids(coded.dictionary)
+        which = coded.indices.to_numpy()
+        first = cut.offsets.to_numpy().astype(np.int64)
+        first -= first[0]
+        apart |= np.add.reduceat(odd[which], first[:-1]) > 0
+        found = _gather(ids, _starts(lengths)[which], lengths[which]).tobytes()
+        bounds = np.concatenate([[0], np.cumsum(lengths[which])])[first] * self.kind.itemsize
+        lines = pc.subtract(pc.binary_length(texts), pc.binary_length(core)).to_numpy(zero_copy_only=False).tolist()
+        tails = {n: self._ids("\n" * n).tobytes() for n in set(lines)}
+        for i, (start, end, n) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), lines)):
+            if whole[i]:
+                yield self._ids(texts[i].as_py()).tobytes()
+            elif apart[i]:
+                yield self._apart(texts[i].as_py())
+            else:
+                yield found[start + self.kind.itemsize : end] + tails[n]
+
+    def _apart(self, text: str) -> bytes:
+        """Ids of a text with runs of white space, cut at the spaces that stand alone."""
+        head, *own = _LONE_SPACE.split(text)
+        simple = [p for p in own if not (p[-1].isspace() or " " in p or "\n" in p)]
+        ids, lengths = self._word_ids(simple)
+        known = dict(zip(simple, np.split(ids, np.cumsum(lengths)[:-1]))) if simple else {}
+        return b"".join([self._ids(head).tobytes(), *((known[p] if p in known else self._ids(" " + p)).tobytes() for p in own)])
 
 
 def _encoder(vocabulary: str, special_as_text: bool) -> Encoder:
@@ -174,6 +244,19 @@ def frame(record: bytes) -> bytes:
     return length + _CHECK.pack(masked(length)) + record + _CHECK.pack(masked(record))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to some ``CUT`` bytes: the more at a time, the more words repeat."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= CUT:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _write(
     batches: Iterator[pa.RecordBatch], folder: str, vocabulary: str, end_id: int, special_as_text: bool
 ) -> Iterator[pa.RecordBatch]:
@@ -183,8 +266,8 @@ def _write(
     n_docs = n_ids = at = 0
     store, base = _open(folder)
     name = f"{base}/{shard:06d}-{uuid4().hex[:12]}"
-    for batch in batches:
-        ids, texts = batch.column("_id").to_pylist(), batch.column("_text").to_pylist()
+    for batch in _gathered(batches):
+        ids, texts = batch.column("_id").to_pylist(), batch.column("_text")
         if out is None and ids:
             store.create_dir(base, recursive=True)
             out = store.open_output_stream(f"{name}.rec", buffer_size=BUFFER)
