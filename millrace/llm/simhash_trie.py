@@ -41,6 +41,8 @@ from millrace.llm.common import is_empty, rows_of, small_batches
 from millrace.session import stage
 
 BITS, SHINGLE, SEED = 64, 3, 42
+#: Bits that may differ: a number, or (leading bits, number) pairs that all hold.
+Budget = int | tuple[tuple[int, int], ...]
 #: Fingerprints of a node at which Spark stops descending.
 CELL = 1 << 14
 #: Node pairs that a task walks at a time.
@@ -102,10 +104,20 @@ def _all_pairs(lo_a, hi_a, lo_b, hi_b) -> tuple[np.ndarray, np.ndarray]:
     return lo_a[which] + nth // wide[which], lo_b[which] + nth % wide[which]
 
 
-def trie_links(a: np.ndarray, b: np.ndarray | None, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _at_depth(budget: Budget, depth: int) -> int:
+    """How many of the first ``depth`` bits may differ."""
+    return min(most for bits, most in _steps(budget) if bits >= depth)
+
+
+def _steps(budget: Budget) -> tuple[tuple[int, int], ...]:
+    return ((BITS, budget),) if isinstance(budget, int) else budget
+
+
+def trie_links(a: np.ndarray, b: np.ndarray | None, budget: Budget, skip=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i in a, j in b) within ``budget`` bits, in pieces; ``b`` None joins ``a`` with itself.
 
-    Both arrays are sorted and distinct.
+    Both arrays are sorted and distinct.  ``skip`` gets node pairs (ranges of both
+    arrays) and says which need not be walked.
     """
     own = b is None
     b = a if own else b
@@ -120,23 +132,27 @@ def trie_links(a: np.ndarray, b: np.ndarray | None, budget: int) -> Iterator[tup
             todo.append((depth, *(x[:cut] for x in (lo_a, hi_a, lo_b, hi_b, off))))
             todo.append((depth, *(x[cut:] for x in (lo_a, hi_a, lo_b, hi_b, off))))
             continue
+        if skip is not None:
+            left = ~skip(lo_a, hi_a, lo_b, hi_b)
+            lo_a, hi_a, lo_b, hi_b, off = (x[left] for x in (lo_a, hi_a, lo_b, hi_b, off))
         small = ((hi_a - lo_a) * (hi_b - lo_b) <= 16) | (depth == BITS)
         if small.any():
             i, j = _all_pairs(lo_a[small], hi_a[small], lo_b[small], hi_b[small])
-            near = np.bitwise_count(a[i] ^ b[j]) <= budget
-            near &= (i < j) | (not own)
+            near = (i < j) | (not own)
+            for bits, most in _steps(budget):
+                near &= np.bitwise_count((a[i] ^ b[j]) >> np.uint64(BITS - bits)) <= most
             if near.any():
                 yield i[near], j[near]
             lo_a, hi_a, lo_b, hi_b, off = (x[~small] for x in (lo_a, hi_a, lo_b, hi_b, off))
         if not len(lo_a):
             continue
         mid_a, mid_b = _children(a, lo_a, hi_a, depth), _children(b, lo_b, hi_b, depth)
-        next_ = []
+        most, next_ = _at_depth(budget, depth + 1), []
         for x in (0, 1):
             for y in (0, 1):
                 la, ha = (lo_a, mid_a) if x == 0 else (mid_a, hi_a)
                 lb, hb = (lo_b, mid_b) if y == 0 else (mid_b, hi_b)
-                live = (la < ha) & (lb < hb) & (off + (x != y) <= budget)
+                live = (la < ha) & (lb < hb) & (off + (x != y) <= most)
                 if own and (x, y) == (1, 0):  # met as (0, 1)
                     live &= lo_a != lo_b
                 next_.append((la[live], ha[live], lb[live], hb[live], off[live] + (x != y)))
@@ -183,11 +199,63 @@ def _finish(budget: int):
     return cell
 
 
+def links_of_forest(values: np.ndarray, cut: int | None, budget: Budget) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links within ``budget`` that connect all that such links connect, in pieces; close ones come first in each.
+
+    With ``cut`` only links from before it to behind it count.  Nodes whose values
+    are all connected already are not walked, so a crowd of near copies costs
+    little more than its number.
+    """
+    shift = cut or 0
+    a, b = (values, None) if cut is None else (values[:cut], values[cut:])
+    parent, everyone = np.arange(len(values)), np.arange(len(values))
+
+    def connected(lo_a, hi_a, lo_b, hi_b):
+        root = _roots(parent, everyone)
+        turns = np.concatenate([[0], np.cumsum(root[1:] != root[:-1])])
+        alike = (turns[lo_a] == turns[hi_a - 1]) & (turns[lo_b + shift] == turns[hi_b - 1 + shift])
+        return alike & (root[lo_a] == root[lo_b + shift])
+
+    for i, j in trie_links(a, b, budget, connected):
+        j = j + shift
+        order = np.argsort(np.bitwise_count(values[i] ^ values[j]), kind="stable")
+        i, j = i[order], j[order]
+        while True:
+            ends = _roots(parent, i), _roots(parent, j)
+            apart = ends[0] != ends[1]
+            if not apart.any():
+                break
+            i, j, (x, y) = i[apart], j[apart], (e[apart] for e in ends)
+            # The closest link of each component.
+            first = np.full(len(values), len(i))
+            np.minimum.at(first, np.concatenate([x, y]), np.tile(np.arange(len(i)), 2))
+            chosen = np.unique(first[np.concatenate([x, y])])
+            yield i[chosen], j[chosen]
+            x, y = x[chosen], y[chosen]
+            while len(x):
+                np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+                x, y = _roots(parent, x), _roots(parent, y)
+                x, y = x[x != y], y[x != y]
+
+
+def _finish_links(budget: Budget):
+    def cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        word, depth, first, second = key
+        values = np.sort(rows["fp"].to_numpy().view(np.uint64))
+        cut = None if first == second else int(np.searchsorted(values, np.uint64(second << (BITS - depth))))
+        found = list(links_of_forest(values, cut, budget))
+        u, v = (np.concatenate([np.empty(0, np.int64), *(p[k] for p in found)]).astype(np.int64) for k in (0, 1))
+        return pd.DataFrame({"word": np.full(len(u), word, np.int32), "u": values[u].view(np.int64), "v": values[v].view(np.int64)})
+
+    return cell
+
+
 # The walk above the tasks -------------------------------------------------
 
 
 def _descend(rows: DataFrame, levels: int, budget: int) -> DataFrame:
-    """Rows one node pair each, ``levels`` deeper, to every partner within the budget."""
+    """Rows one node pair each, ``levels`` deeper, to every partner within the budget; other columns go along."""
+    others = [c for c in rows.columns if c not in ("fp", "depth", "a", "b")]
     flips = [m for m in range(1 << levels) if m.bit_count() <= budget]
     flip = F.explode(F.split(F.lit(",".join(map(str, flips))), ",").cast("array<bigint>"))
     out = rows.withColumn("flip", flip).where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) + F.bit_count("flip") <= budget)
@@ -196,25 +264,37 @@ def _descend(rows: DataFrame, levels: int, budget: int) -> DataFrame:
     above = F.expr(f"if(shiftrightunsigned(mine, {levels}) = a, b, a)")
     other = F.shiftleft(above, levels).bitwiseOR(F.col("mine").bitwiseAND(F.lit(low)).bitwiseXOR(F.col("flip")))
     out = out.withColumn("other", other)
-    return out.select("fp", (F.col("depth") + levels).alias("depth"), F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
+    deeper = (F.col("depth") + levels).alias("depth")
+    return out.select(*others, "fp", deeper, F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
 
 
-def near_links(prints: DataFrame, budget: int = 2, cell: int = CELL) -> DataFrame:
-    """Edges (u, v) that connect what links within ``budget`` bits connect; ``prints`` has distinct fp."""
-    count = prints.count()
-    rows = prints.select("fp", F.lit(0).alias("depth"), F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"))
-    left = math.ceil(math.log2(max(1, count / cell)))
+def _cells(prints: DataFrame, budget: Budget, cell: int) -> tuple[DataFrame, list[str]]:
+    """Rows (fp, node pair) of pairs small enough for a task, and the columns that name a pair.
+
+    ``prints`` has distinct fp; with a column ``word`` every word is a trie of its own.
+    """
+    words = ["word"] if "word" in prints.columns else []
+    count = prints.groupBy(*words).count().agg(F.max("count")).first()[0] or 0
+    rows = prints.select(*words, "fp", F.lit(0).alias("depth"), F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"))
+    left, depth = math.ceil(math.log2(max(1, count / cell))), 0
     while left > 0:
-        rows, left = _descend(rows, min(left, 6), budget), left - 6
-    key = ["depth", "a", "b"]
+        rows, depth, left = _descend(rows, min(left, 6), _at_depth(budget, depth + min(left, 6))), depth + min(left, 6), left - 6
+    key = [*words, "depth", "a", "b"]
     while True:
         large = rows.groupBy(*key).agg(F.count("*").alias("n")).where(f"n > {4 * cell} and depth < 62")
         large = stage(large.select(*[F.col(k).alias(f"_{k}") for k in key]), "large-cells")
         if is_empty(large):
-            break
-        marked = rows.join(large, F.expr("depth = _depth and a = _a and b = _b"), "left")
+            return rows, key
+        same = F.expr(" and ".join(f"{k} = _{k}" for k in key))
+        marked = rows.join(large, same, "left")
         marked = stage(marked.select("fp", *key, F.col("_a").isNotNull().alias("large")), "cells")
-        rows = marked.where("not large").drop("large").union(_descend(marked.where("large").drop("large"), 2, budget))
+        below, depth = _descend(marked.where("large").drop("large"), 2, _at_depth(budget, depth + 2)), depth + 2
+        rows = marked.where("not large").drop("large").unionByName(below)
+
+
+def near_links(prints: DataFrame, budget: int = 2, cell: int = CELL) -> DataFrame:
+    """Edges (u, v) that connect what links within ``budget`` bits connect; ``prints`` has distinct fp."""
+    rows, key = _cells(prints, budget, cell)
     return rows.groupBy(*key).applyInPandas(_finish(budget), "u bigint, v bigint")
 
 
@@ -280,3 +360,122 @@ def keep_first(
     if keep_null_ids:
         kept = kept.union(rows.where("_id is null").select("_row"))
     return docs_.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+# Near copies by similarity ------------------------------------------------
+
+#: Fingerprints of a text, each with a trie of its own.
+WORDS = 8
+#: Differing bits of two texts of similarity 0.8 are some 10 of 64: one of eight fingerprints in four has 3 or
+#: fewer in its first half and 12 or fewer in all.
+COPY_BUDGET: Budget = ((32, 3), (BITS, 12))
+COPY_CELL = 1 << 16
+_LANES = np.uint64(0x0101010101010101)
+
+
+def shingle_hashes(text: bytes, size: int) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles of an encoded text; none without a word."""
+    words = text.lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    grams = [b" ".join(words)] if len(words) <= size else set(map(b" ".join, zip(*(words[k:] for k in range(size)))))
+    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, grams, repeat(SEED)), np.uint64, len(grams)))
+
+
+def several_fingerprints(hashes: np.ndarray) -> np.ndarray:
+    """``WORDS`` SimHashes of a set of hashes, from as many mixtures of each."""
+    if not len(hashes):
+        return np.zeros(WORDS, np.uint64)
+    mixed = hashes[None, :] + (np.arange(WORDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    mixed ^= mixed >> np.uint64(31)
+    blocks = np.arange(0, len(hashes), 255)  # so many bits add up in a byte
+    ones = np.empty((WORDS, 8, 8), np.int64)
+    for bit in range(8):
+        lanes = np.add.reduceat((mixed >> np.uint64(bit)) & _LANES, blocks, axis=1)
+        ones[:, :, bit] = lanes.astype("<u8").view(np.uint8).reshape(WORDS, -1, 8).sum(axis=1, dtype=np.int64)
+    bits = (ones.reshape(WORDS, BITS) * 2 > len(hashes)).astype(np.uint8)
+    return np.packbits(bits, axis=1, bitorder="little").view("<u8").ravel().astype(np.uint64)
+
+
+def _prints_task(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or b"" for (t,) in rows_of([batch], "text")]
+            prints = [several_fingerprints(shingle_hashes(t, size)).view(np.int64) for t in texts]
+            keys = pa.array([xxhash.xxh3_128_digest(t) for t in texts], pa.binary())
+            columns = [batch.column("n"), batch.column("id"), keys, pa.array(prints, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["n", "id", "text_key", "prints"])
+
+    return run
+
+
+def _sets_task(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(t or b"", size).astype("<u8").tobytes() for (t,) in rows_of([batch], "text")]
+            yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(sets, pa.binary())], ["n", "hashes"])
+
+    return run
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted sets; two empty ones are alike."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+
+
+def _alike_task(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = ((np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) for x, y in rows_of([batch], "hashes", "hashes_v"))
+            alike = pa.array([jaccard(x, y) >= least for x, y in sets], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(alike)
+
+    return run
+
+
+def similar_links(texts: DataFrame, prints: DataFrame, least: float = 0.8, size: int = 5, cell: int = COPY_CELL) -> DataFrame:
+    """Edges (u, v) between numbers of texts whose word shingles have a Jaccard similarity of ``least`` or more.
+
+    ``texts`` has n and text (encoded), ``prints`` n and prints of texts that differ.
+    Candidates come from the walks of all tries; each is confirmed by the sets.
+    """
+    nodes = prints.select("n", F.posexplode("prints").alias("word", "fp"))
+    nodes = stage(nodes, "nodes")
+    distinct = stage(nodes.groupBy("word", "fp").agg(F.min("n").alias("first")), "distinct-prints")
+    rows, key = _cells(distinct.select("word", "fp"), COPY_BUDGET, cell)
+    found = rows.groupBy(*key).applyInPandas(_finish_links(COPY_BUDGET), "word int, u bigint, v bigint")
+    named = lambda end: distinct.select(F.col("word"), F.col("fp").alias(end), F.col("first").alias(f"n_{end}"))
+    found = found.join(named("u"), ["word", "u"]).join(named("v"), ["word", "v"]).select("n_u", "n_v")
+    same = nodes.join(distinct, ["word", "fp"]).where("n <> first").select(F.col("first").alias("n_u"), F.col("n").alias("n_v"))
+    pairs = found.union(same).select(F.least("n_u", "n_v").alias("u"), F.greatest("n_u", "n_v").alias("v")).distinct()
+    pairs = stage(pairs, "candidates")
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("n")).distinct()
+    sets = stage(texts.join(ends, "n", "left_semi").mapInArrow(_sets_task(size), "n bigint, hashes binary"), "shingles")
+    u = sets.withColumnRenamed("n", "u")
+    v = sets.select(F.col("n").alias("v"), F.col("hashes").alias("hashes_v"))
+    return stage(pairs.join(u, "u").join(v, "v").mapInArrow(_alike_task(least), "u bigint, v bigint"), "alike")
+
+
+def keep_first_similar(docs: DataFrame, least: float = 0.8, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest id, null ids last.
+
+    Rows are near copies whose sets of ``size``-word shingles have a Jaccard similarity
+    of ``least`` or more, and groups are what such links connect.  Of rows that share an
+    id in a group the one with the smallest text hash stays.  Texts without a word are
+    copies of each other.  The columns' names may be any.
+    """
+    small_batches(docs.sparkSession)
+    held = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("n")), "numbered")
+    texts = held.select("n", F.col(f"row.`{doc_id}`").cast("bigint").alias("id"), F.col(f"row.`{text}`").cast("binary").alias("text"))
+    rows = stage(texts.mapInArrow(_prints_task(size), "n bigint, id bigint, text_key binary, prints array<bigint>"), "fingerprints")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "n")
+    each = rows.groupBy("text_key").agg(F.min(order).alias("least"), F.first("prints").alias("prints"))
+    each = stage(each.select(F.col("least.n").alias("n"), "least", "prints"), "texts")
+    roots = stage(components(similar_links(texts.select("n", "text"), each.select("n", "prints"), least, size)), "roots")
+    member = each.join(roots, F.col("n") == F.col("node"), "left")
+    first = member.groupBy(F.coalesce("root", "n").alias("group")).agg(F.min("least").alias("least"))
+    kept = first.select(F.col("least.n").alias("n"))
+    return held.join(kept, "n", "left_semi").select("row.*")

@@ -48,6 +48,37 @@ def linked(prints: dict[int, int], budget: int = 2) -> dict[int, int]:
     return {k: find(k) for k in keys}
 
 
+def shingles(text: str | None, size: int) -> frozenset:
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")) if w]
+    return frozenset(tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def similar_groups(rows: list[tuple], size: int, least: float) -> dict:
+    """Smallest key reachable over links of Jaccard similarity ``least`` or more, for each key of (key, text) rows."""
+    sets: dict = {}
+    for key, text in rows:
+        sets.setdefault(shingles(text, size), []).append(key)
+    root = {k: k for k, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    def join(x, y):
+        x, y = sorted((find(x), find(y)))
+        root[y] = x
+
+    distinct = list(sets)
+    for i, a in enumerate(distinct):
+        for key in sets[a][1:]:
+            join(sets[a][0], key)
+        for b in distinct[i + 1 :]:
+            if min(len(a), len(b)) >= least * max(len(a), len(b)) and len(a & b) >= least * len(a | b):
+                join(sets[a][0], sets[b][0])
+    return {k: find(k) for k in root}
+
+
 def hits(text: str | None, items: dict, window: int) -> tuple[int, set, set]:
     """Words, hit positions and ids of items with occurring windows."""
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import line_frequency, mil_quality
-from tests.llm.plain import DOCS, awkward, held_out, hits, linked, simhash
+from tests.llm.plain import DOCS, awkward, held_out, hits, similar_groups
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -124,7 +124,7 @@ def test_pipeline_against_its_plain_version(spark):
     passed = {r.doc_id for r in mil_quality.scores(docs, model).where("score >= 0.7").collect()}
     rows = {r.doc_id: r.text for r in good.collect()}
     assert set(rows) == passed
-    first = set(linked({i: simhash(t) for i, t in rows.items()}).values())
+    first = set(similar_groups(list(rows.items()), 5, 0.8).values())
     unique = names["near_dedup"](spark, good, FOLDER)
     assert {r.doc_id for r in unique.collect()} == first
     items = {r.item_id: r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()}

@@ -2,8 +2,9 @@ import random
 
 import numpy as np
 
-from millrace.llm.simhash_trie import fingerprint, forest, hex64, keep_first, near_duplicates, trie_links
-from tests.llm.plain import DOCS, awkward, linked, simhash
+from millrace.llm import simhash_trie
+from millrace.llm.simhash_trie import fingerprint, forest, hex64, keep_first, keep_first_similar, near_duplicates, trie_links
+from tests.llm.plain import DOCS, awkward, linked, similar_groups, simhash
 
 
 def ball(n, seed, centres=3):
@@ -92,3 +93,101 @@ def test_one_row_of_each_component_whatever_its_ids(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], DOCS)
     assert near_duplicates(docs).count() == 0 and keep_first(docs).count() == 0
+
+
+# Near copies ----------------------------------------------------------------
+
+
+def test_several_fingerprints_by_single_bits():
+    for text in ("", "one", "a b c d e f g", " ".join(f"w{i % 700}" for i in range(1500))):
+        hashes = simhash_trie.shingle_hashes(text.encode(), 5)
+        for k, value in enumerate(simhash_trie.several_fingerprints(hashes).tolist()):
+            mixed = []
+            for h in hashes.tolist():
+                h = (h + k * 0x9E3779B97F4A7C15) % 2**64
+                h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) % 2**64
+                h = ((h ^ h >> 27) * 0x94D049BB133111EB) % 2**64
+                mixed.append(h ^ h >> 31)
+            assert value == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in mixed) > len(mixed))
+
+
+def test_forest_connects_what_links_connect():
+    budget = ((32, 2), (64, 5))
+    values = np.array(sorted(set(ball(300, 5) + ball(100, 6))), np.uint64)
+    near = lambda x: (int(x) >> 32).bit_count() <= 2 and int(x).bit_count() <= 5
+    for cut in (None, 150):
+        inside = lambda i, j: cut is None or i < cut <= j
+        links = [(i, j) for i in range(len(values)) for j in range(i + 1, len(values)) if inside(i, j) and near(values[i] ^ values[j])]
+        found = [(int(i), int(j)) for a, b in simhash_trie.links_of_forest(values, cut, budget) for i, j in zip(a, b)]
+        assert set(found) <= set(links) and len(found) < len(values)
+        root = lambda e: forest(iter([tuple(np.array(x) for x in zip(*e))]), len(values)).tolist()
+        assert root(found) == root(links)
+
+
+def edited(words, changes, rng):
+    out = list(words)
+    for at in rng.sample(range(len(out)), changes):
+        out[at] = f"x{rng.randrange(10**9)}"
+    return out
+
+
+def test_planted_near_copies_by_similarity(spark):
+    """Copies with 1 to 7 of 200 words changed (Jaccard 0.95 to 0.7) and a crowd of copies of one text."""
+    rng = random.Random(12)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    texts = []
+    for _ in range(150):
+        base = fresh(200)
+        texts += [base, edited(base, rng.randrange(1, 8), rng)]
+    crowd = fresh(120)
+    texts += [edited(crowd, rng.randrange(1, 3), rng) for _ in range(400)] + [fresh(150) for _ in range(100)]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    rows = [(i, " ".join(t)) for i, t in zip(order, texts)]
+    want = similar_groups(rows, 5, 0.8)
+    docs = spark.createDataFrame(rows, "n bigint, row string").repartition(3)
+    kept = {r.n for r in keep_first_similar(docs, doc_id="n", text="row").collect()}
+    leave = {i for i, first in want.items() if i != first}
+    assert len(leave) > 400 and len(kept & leave) <= 0.05 * len(leave)
+    assert set(want.values()) <= kept
+
+
+def test_similar_awkward_rows(spark):
+    rows = awkward()
+    names = ["row", "n", "id", "text_key", "prints"]
+    docs = spark.createDataFrame(rows, DOCS)
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, docs.n_chars + k)
+    kept = keep_first_similar(docs.repartition(3)).collect()
+    numbered = [(k if r[0] is None else r[0], r[1]) for k, r in enumerate(rows, 10_000)]  # null ids come last
+    groups = similar_groups(numbered, 5, 0.8)
+    assert sorted(10_000 if r.doc_id is None else r.doc_id for r in kept) == sorted(min(v, 10_000) for v in set(groups.values()))
+    assert kept[0].__fields__ == docs.columns and all(r[n] == r.n_chars + k for r in kept for k, n in enumerate(names))
+    assert keep_first_similar(docs.limit(0)).count() == 0
+
+
+def test_similar_in_small_cells(spark):
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+    rows = [(i, " ".join(edited(base, 1, rng))) for i in range(60)] + [(100 + i, f"alone {i} " * 4) for i in range(40)]
+    texts = spark.createDataFrame(rows, "n bigint, text string")
+    texts = texts.select("n", texts.text.cast("binary").alias("text"))
+    prints = [(i, [int(v) for v in simhash_trie.several_fingerprints(simhash_trie.shingle_hashes(t.encode(), 5)).view(np.int64)]) for i, t in rows]
+    links = simhash_trie.similar_links(texts, spark.createDataFrame(prints, "n bigint, prints array<bigint>"), cell=4)
+    want = similar_groups(rows, 5, 0.8)
+    got = linked_groups([(r.u, r.v) for r in links.collect()], [i for i, _ in rows])
+    assert got == want
+
+
+def linked_groups(links, keys):
+    root = {k: k for k in keys}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for u, v in links:
+        x, y = sorted((find(u), find(v)))
+        root[y] = x
+    return {k: find(k) for k in keys}
