@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Documents of one Arrow batch.  Texts differ in length by five orders of
-#: magnitude, so batches are cut by a low count; a worker holds one batch.
+#: magnitude, so batches are cut by a low count; a worker holds one batch.  Spark
+#: also cuts them by bytes (spark.sql.execution.arrow.maxBytesPerBatch, 64 MB).
 BATCH_ROWS = 200
 
 
@@ -34,6 +35,21 @@ def rows_of(batches: Iterator, *columns: str) -> Iterator[tuple]:
         yield from zip(*(batch.column(c).to_pylist() for c in columns))
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def pack(docs: DataFrame, **own: Column) -> DataFrame:
+    """``docs`` as one struct column ``doc`` beside an operator's own columns, so that no names can clash."""
+    return docs.select(F.struct(*map(named, docs.columns)).alias("doc"), *[c.alias(name) for name, c in own.items()])
+
+
+def unpack(packed: DataFrame, *more: Column) -> DataFrame:
+    """The columns that ``pack`` put away, and ``more``."""
+    return packed.select("doc.*", *more)
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from millrace.llm.common import ascii_lower
+from millrace.llm.common import ascii_lower, pack, unpack
 from millrace.session import stage
 
 #: Between words: ASCII without letters and digits.  (Before lower-casing.)
@@ -190,15 +190,17 @@ def remove_contaminated(
     marks = hit_rows.select("_i", "_r", drop)
     if drop_share > 0:
         marks = marks.join(spans, F.expr("_i <=> _si and _r = _sr")).drop("_si", "_sr")
-    joined = docs.join(marks, F.col(doc_id).eqNullSafe(F.col("_i")) & (F.xxhash64(text) == F.col("_r")), "left")
-    kept = joined.where("_drop is null or not _drop")
-    if drop_share > 0:
-        gaps, words = F.split(text, WORD), F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
-        inside = F.filter(
-            F.sequence(F.lit(0), F.size(words) - 1),
-            lambda i: ~F.exists("_spans", lambda s: (i >= s["start"]) & (i < s["start"] + s["m"])),
-        )
-        left = F.transform(inside, lambda i: F.concat(F.get(words, i), F.get(gaps, i + 1)))
-        cut = F.concat(F.get(gaps, F.lit(0)), F.array_join(left, ""))
-        kept = kept.withColumn(text, F.when(F.col("_spans").isNull(), F.col(text)).otherwise(cut))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    held = pack(docs, _own=F.col(doc_id), _text=F.col(text), _key=F.xxhash64(text))
+    kept = held.join(marks, F.expr("_own <=> _i and _key = _r"), "left").where("_drop is null or not _drop")
+    if not drop_share:
+        return unpack(kept)
+    own = F.col("_text")
+    gaps, words = F.split(own, WORD), F.regexp_extract_all(own, F.lit(f"({WORD})"), F.lit(1))
+    inside = F.filter(
+        F.sequence(F.lit(0), F.size(words) - 1),
+        lambda i: ~F.exists("_spans", lambda s: (i >= s["start"]) & (i < s["start"] + s["m"])),
+    )
+    left = F.transform(inside, lambda i: F.concat(F.get(words, i), F.get(gaps, i + 1)))
+    cut = F.concat(F.get(gaps, F.lit(0)), F.array_join(left, ""))
+    cut = F.when(F.col("_spans").isNull(), own).otherwise(cut).alias(text)
+    return kept.select(*[cut if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -17,11 +17,13 @@ result; repeated rows are rows like any other; other columns are untouched.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import pack, unpack
 from millrace.session import stage
 
 BITS = 52
@@ -89,15 +91,21 @@ def _attach(rows: DataFrame, depth: int, entries: DataFrame, n: int, out: str) -
 
 
 def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``shard``, the bucket's bits as text (empty for the one bucket that needs none)."""
+    """``docs`` with ``shard``, the bucket's bits as text (empty for the one bucket that needs none).
+
+    Where ``docs`` has a column of that name, the new one is ``shard_2``, or the next number that is free.
+    """
     if limit < 1:
         raise ValueError("the byte limit must be positive")
+    taken = {c.lower() for c in docs.columns}
+    name = next(n for n in itertools.chain(["shard"], map("shard_{}".format, itertools.count(2))) if n not in taken)
+    docs = pack(docs, _key=F.col(key), _text=F.col(text))
 
     def hashed(df: DataFrame) -> DataFrame:
         if _U not in df.columns:
             df = df.withColumn(_U, F.lit(0).cast("bigint"))
-        return df.withColumn(_H, _hash(F.col(key), F.col(text))).withColumn(
-            _B, F.coalesce(F.octet_length(text), F.lit(0)).cast("bigint")
+        return df.withColumn(_H, _hash(F.col("_key"), F.col("_text"))).withColumn(
+            _B, F.coalesce(F.octet_length("_text"), F.lit(0)).cast("bigint")
         )
 
     def sizes(df: DataFrame) -> DataFrame:
@@ -133,7 +141,7 @@ def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str =
     # At full depth an entry without a leaf holds rows that nothing tells apart.
     leaf = F.coalesce(*names, F.lit(depth))
     bits = F.concat(F.lpad(F.bin(_H), BITS, "0"), F.lpad(F.bin(_U), BITS, "0"))
-    return rows.withColumn("shard", F.left(bits, leaf)).drop(_H, _U, _B, *names)
+    return unpack(rows, F.left(bits, leaf).alias(name))
 
 
 def shard_sizes(sharded: DataFrame, text: str = "text") -> DataFrame:

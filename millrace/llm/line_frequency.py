@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import rows_of, small_batches
+from millrace.llm.common import pack, rows_of, small_batches
 from millrace.session import stage
 
 SYMBOLS = b"#*$%&|<>"
@@ -159,14 +159,14 @@ def remove_lines(
     host: str = "source",
 ) -> DataFrame:
     """The kept rows of ``docs``, by the verdict of ``judge_lines``, with the lines over the limit cut from their texts."""
-    number, new = "_line_row", "_line_text"
-    docs_ = stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    rows = stage(_measure_rows(docs_, doc_id, text, host, F.col(number)), "measured")
+    held = pack(docs, _n=F.monotonically_increasing_id(), _t=F.col(text), _i=F.col(doc_id), _h=F.col(host))
+    held = stage(held, "numbered")
+    rows = stage(_measure_rows(held, "_i", "_t", "_h", F.col("_n")), "measured")
     verdicts = _verdicts(rows, min_docs, share, depleted).where("kept").select("_row", "_cut")
     verdicts = stage(verdicts, "kept")
-    some = docs_.join(verdicts.where("_cut is not null"), F.col(number) == F.col("_row"))
-    cut = some.select("_row", F.col(text).cast("binary").alias("_text"), "_cut").mapInArrow(_cut_lines, "_row bigint, _text binary")
-    cut = cut.select(F.col("_row").alias(number), F.col("_text").cast(docs.schema[text].dataType).alias(new))
-    kept = docs_.join(verdicts.select(F.col("_row").alias(number)), number, "left_semi")
-    own = F.coalesce(new, text).alias(text)
-    return kept.join(cut, number, "left").select(*[own if c == text else F.col(f"`{c}`") for c in docs.columns])
+    some = held.join(verdicts.where("_cut is not null"), F.col("_n") == F.col("_row"))
+    cut = some.select("_row", F.col("_t").cast("binary").alias("_text"), "_cut").mapInArrow(_cut_lines, "_row bigint, _text binary")
+    cut = cut.select(F.col("_row").alias("_n"), F.col("_text").cast(docs.schema[text].dataType).alias("_new"))
+    kept = held.join(verdicts.select(F.col("_row").alias("_n")), "_n", "left_semi").join(cut, "_n", "left")
+    own = F.coalesce("_new", "_t").alias(text)
+    return kept.select(*[own if c == text else F.col("doc").getField(c).alias(c) for c in docs.columns])

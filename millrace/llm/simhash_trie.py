@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import is_empty, rows_of, small_batches
+from millrace.llm.common import is_empty, named, pack, rows_of, small_batches, unpack
 from millrace.session import stage
 
 BITS, SHINGLE, SEED = 64, 3, 42
@@ -348,18 +348,18 @@ def keep_first(
     components keeps a row in each.  With ``keep_null_ids`` rows with a null id
     do not stand for a group and stay; without it they count as the largest ids.
     """
-    number = "_dedup_row"
-    docs_ = stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    rows = stage(fingerprints(docs_, doc_id, text, number), "fingerprints")
+    held = pack(docs, _row=F.monotonically_increasing_id(), _own_id=F.col(doc_id), _own_text=F.col(text))
+    held = stage(held, "numbered")
+    rows = stage(fingerprints(held, "_own_id", "_own_text", "_row"), "fingerprints")
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash", "_row")
     if keep_null_ids:
         order = F.when(F.col("_id").isNotNull(), order)
     prints = stage(rows.groupBy("fp").agg(F.min(order).alias("least")), "prints")
     first = _members(prints, budget, CELL).groupBy("root").agg(F.min("least").alias("least"))
-    kept = first.where("least is not null").select(F.col("least._row").alias(number))
+    kept = first.where("least is not null").select(F.col("least._row").alias("_row"))
     if keep_null_ids:
         kept = kept.union(rows.where("_id is null").select("_row"))
-    return docs_.join(kept, number, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unpack(held.join(kept, "_row", "left_semi"))
 
 
 # Near copies by similarity ------------------------------------------------
@@ -447,8 +447,8 @@ def similar_links(texts: DataFrame, prints: DataFrame, least: float = 0.8, size:
     distinct = stage(nodes.groupBy("word", "fp").agg(F.min("n").alias("first")), "distinct-prints")
     rows, key = _cells(distinct.select("word", "fp"), COPY_BUDGET, cell)
     found = rows.groupBy(*key).applyInPandas(_finish_links(COPY_BUDGET), "word int, u bigint, v bigint")
-    named = lambda end: distinct.select(F.col("word"), F.col("fp").alias(end), F.col("first").alias(f"n_{end}"))
-    found = found.join(named("u"), ["word", "u"]).join(named("v"), ["word", "v"]).select("n_u", "n_v")
+    numbered = lambda end: distinct.select(F.col("word"), F.col("fp").alias(end), F.col("first").alias(f"n_{end}"))
+    found = found.join(numbered("u"), ["word", "u"]).join(numbered("v"), ["word", "v"]).select("n_u", "n_v")
     same = nodes.join(distinct, ["word", "fp"]).where("n <> first").select(F.col("first").alias("n_u"), F.col("n").alias("n_v"))
     pairs = found.union(same).select(F.least("n_u", "n_v").alias("u"), F.greatest("n_u", "n_v").alias("v")).distinct()
     pairs = stage(pairs, "candidates")
@@ -468,8 +468,8 @@ def keep_first_similar(docs: DataFrame, least: float = 0.8, size: int = 5, doc_i
     copies of each other.  The columns' names may be any.
     """
     small_batches(docs.sparkSession)
-    held = stage(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.monotonically_increasing_id().alias("n")), "numbered")
-    texts = held.select("n", F.col(f"row.`{doc_id}`").cast("bigint").alias("id"), F.col(f"row.`{text}`").cast("binary").alias("text"))
+    held = stage(pack(docs, n=F.monotonically_increasing_id()), "numbered")
+    texts = held.select("n", named("doc").getField(doc_id).cast("bigint").alias("id"), named("doc").getField(text).cast("binary").alias("text"))
     rows = stage(texts.mapInArrow(_prints_task(size), "n bigint, id bigint, text_key binary, prints array<bigint>"), "fingerprints")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "n")
     each = rows.groupBy("text_key").agg(F.min(order).alias("least"), F.first("prints").alias("prints"))
@@ -478,4 +478,4 @@ def keep_first_similar(docs: DataFrame, least: float = 0.8, size: int = 5, doc_i
     member = each.join(roots, F.col("n") == F.col("node"), "left")
     first = member.groupBy(F.coalesce("root", "n").alias("group")).agg(F.min("least").alias("least"))
     kept = first.select(F.col("least.n").alias("n"))
-    return held.join(kept, "n", "left_semi").select("row.*")
+    return unpack(held.join(kept, "n", "left_semi"))

@@ -36,6 +36,7 @@ from functools import partial
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import pack, unpack
 from millrace.session import stage
 
 #: Rates of the temperatures tried; the one with the best likelihood on held-out labels stays.
@@ -243,9 +244,10 @@ def copies(rate: Column, doc_id: Column) -> Column:
 def mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs``, each as often as its rate says; the text is scored in place, nothing is joined or shuffled."""
     _, model, history, eta = mix(docs, labels, targets, doc_id, text)
-    rated = posteriors(docs, model, text).withColumn("_rate", _rate(history, eta, len(targets)))
-    often = F.array_repeat(F.lit(1), copies(F.col("_rate"), F.col(doc_id)))
-    return rated.withColumn("_copy", F.explode(often)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rated = posteriors(pack(docs, _i=F.col(doc_id), _t=F.col(text)), model, "_t")
+    rated = rated.withColumn("_rate", _rate(history, eta, len(targets)))
+    often = F.array_repeat(F.lit(1), copies(F.col("_rate"), F.col("_i")))
+    return unpack(rated.withColumn("_copy", F.explode(often)))
 
 
 def domains_of_labels(labels: DataFrame) -> DataFrame:
