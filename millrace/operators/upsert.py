@@ -49,14 +49,18 @@ def align_types(df: DataFrame, target: T.StructType) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").try_cast(known[c]).alias(c) if c in known else F.col(f"`{c}`") for c in df.columns])
 
 
-def alignment_loss(df: DataFrame, target: T.StructType) -> DataFrame:
-    """One row: per column that changes its type, the values that the target's type cannot hold."""
+def misfits(df: DataFrame, target: T.StructType) -> dict[str, Column]:
+    """For every column that changes its type, how many values the target's type cannot hold."""
     own = {f.name: f.dataType for f in df.schema.fields}
     changed = [f for f in target.fields if f.name in own and own[f.name] != f.dataType]
-    lost = [
-        F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).alias(f.name) for f in changed
-    ]
-    return df.agg(*lost or [F.lit(0).alias("none")])
+    return {
+        f.name: F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()) for f in changed
+    }
+
+
+def alignment_loss(df: DataFrame, target: T.StructType) -> DataFrame:
+    """One row: per column that changes its type, the values that the target's type cannot hold."""
+    return df.agg(*[c.alias(name) for name, c in misfits(df, target).items()] or [F.lit(0).alias("none")])
 
 
 def _union_schema(a: T.StructType, b: T.StructType) -> list[T.StructField]:
@@ -142,13 +146,18 @@ def versions(compared: DataFrame) -> DataFrame:
     return compared.select(F.inline(rows))
 
 
-def upsert_stats(compared: DataFrame) -> DataFrame:
-    """One row: incoming keys that were inserted, that replaced a row, that were skipped."""
-    return compared.agg(
+def outcome_counts() -> list[Column]:
+    """Of compared pairs: incoming keys that were inserted, that replaced a row, that were skipped."""
+    return [
         F.count_if(F.col("action") == "insert").alias("inserted"),
         F.count_if(F.col("action") == "replace").alias("replaced"),
         F.count_if((F.col("action") == "keep") & F.col("after").isNotNull()).alias("skipped"),
-    )
+    ]
+
+
+def upsert_stats(compared: DataFrame) -> DataFrame:
+    """One row of :func:`outcome_counts`."""
+    return compared.agg(*outcome_counts())
 
 
 def upsert(

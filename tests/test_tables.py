@@ -1,7 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from datetime import datetime
+from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -288,6 +289,56 @@ def test_commits_name_only_what_they_closed(spark):
     assert [len(r["closed"]) for r in table.commits().orderBy("version").collect()] == [0, 1, 0, 1]
 
 
+def files_of(root):
+    return {str(p.relative_to(root)): p.stat().st_mtime_ns for p in Path(root).rglob("*.parquet")}
+
+
+def test_an_upsert_touches_only_the_buckets_of_its_keys(spark, folder):
+    table = SilverTable(spark, str(folder), SPEC, bucket_rows=20)
+    keys = [f"k{i}" for i in range(200)]
+    assert table.upsert(frame(spark, [(k, 0, 0) for k in keys]), "0") == {"inserted": 200, "replaced": 0, "skipped": 0, "misfits": {}}
+    first, held = files_of(folder), table.directory()
+    assert len(held) > 5 and table.last_commit()["buckets"] == 10
+    assert table.upsert(frame(spark, [("k7", 5, 1), (None, 1, 1)]), "1") == {"inserted": 0, "replaced": 1, "skipped": 0, "misfits": {}}
+    second = files_of(folder)
+    assert all(second[f] == t for f, t in first.items()) and len(second) == len(first) + 2
+    assert sum(held[b] != f for b, f in table.directory().items()) == 1
+    assert state(table.read()) == sorted([("k7", 0, False), ("k7", 5, True), *((k, 0, True) for k in keys if k != "k7")])
+    # The replaced bucket goes after the delay, and nothing else.
+    assert table.remove_unreferenced() == []
+    gone = table.remove_unreferenced(timedelta(seconds=-5))
+    assert len(gone) == 1 and set(files_of(folder)) == {f for f in second if not f.startswith(gone[0].removeprefix(f"{folder}/"))}
+    assert len(table.read().collect()) == 201
+
+
+def test_buckets_grow_with_the_table(spark, folder):
+    table = SilverTable(spark, str(folder), SPEC, bucket_rows=5)
+    for n in range(4):
+        table.upsert(frame(spark, [(f"{n}-{i}", n, n) for i in range(25)]), str(n))
+    assert [r["buckets"] for r in table.commits().orderBy("version").collect()] == [5, 5, 5, 5]
+    for n in range(4, 7):
+        table.upsert(frame(spark, [(f"{n}-{i}", n, n) for i in range(25)] + [("0-0", n, n)]), str(n))
+    assert table.last_commit()["buckets"] > 5 and table.last_commit()["n_rows"] == 175
+    assert sorted(r["k"] for r in table.current().collect()) == sorted(f"{n}-{i}" for n in range(7) for i in range(25))
+    assert [r[1] for r in state(table.read()) if r[0] == "0-0"] == [0, 4, 5, 6]
+
+
+def test_upserts_report_misfits_and_new_columns(spark, folder):
+    table = SilverTable(spark, str(folder), SPEC)
+    table.upsert(frame(spark, [("a", 1, 1), ("b", 2, 1)]), "0")
+    texts = spark.createDataFrame([("a", "x", "n"), ("c", "3", None)], "k string, v string, extra string").withColumn("at", F.lit(2))
+    assert table.upsert(texts, "1") == {"inserted": 1, "replaced": 1, "skipped": 0, "misfits": {"v": 1}}
+    rows = {(r["k"], r["v"], r["extra"], r["is_current"]) for r in table.read().collect()}
+    assert rows == {("a", 1, None, False), ("a", None, "n", True), ("b", 2, None, True), ("c", 3, None, True)}
+
+
+def test_an_empty_table_takes_rows_later(spark, folder):
+    table = SilverTable(spark, str(folder), SPEC)
+    assert table.upsert(frame(spark, []), "0") == {"inserted": 0, "replaced": 0, "skipped": 0, "misfits": {}}
+    assert table.read().count() == 0 and table.upsert(frame(spark, [("a", 1, 1)]), "1")["inserted"] == 1
+    assert state(table.read()) == [("a", 1, True)]
+
+
 def test_all_elements_of_bulk_entries(spark):
     rows = [("t", [{"Paid": "1"}, {"Kind": "k", "Paid": "2"}]), ("u", [])]
     got = vendor.bulk_rows(spark.createDataFrame(rows, "ticker string, entries array<map<string,string>>"))
