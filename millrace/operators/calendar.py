@@ -1,17 +1,17 @@
-"""Business-day offsets as two joins against a calendar table."""
+"""Business-day offsets by arithmetic on weeks and a rank among holidays."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, timedelta
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 DEFAULT_REGION = "Ontario"
-# What a date can be: no calendar has more days, so one can always be broadcast (16 bytes a day).
-FIRST_DAY, LAST_DAY = date(1, 1, 1), date(9999, 12, 31)
+# What a date can be, in days since 1970; no array of holidays is longer than that range.
+FIRST, LAST = (d.toordinal() - date(1970, 1, 1).toordinal() for d in (date.min, date.max))
+FULL_RANGE = LAST - FIRST + 1
 
 
 def holiday_dates(
@@ -37,26 +37,23 @@ def holiday_dates(
     return days.distinct()
 
 
-def business_calendar(spark: SparkSession, first: date, last: date, holidays: DataFrame) -> DataFrame:
-    """Every day of a range with its business-day index.
+def _weekdays_upto(day: Column) -> Column:
+    """How many Mondays to Fridays there are up to a day (a number of days since 1970), itself included."""
+    since_monday = day + 3  # 1970 began on a Thursday
+    week = F.floor(since_monday / 7)
+    return week * 5 + F.least(since_monday - week * 7 + 1, F.lit(5))
 
-    ``at_or_after`` is the index of the day itself or the next business day;
-    ``at_or_before`` looks back.  The size is the number of days, whatever the
-    size of the data.
-    """
-    days = spark.sql(
-        "SELECT explode(sequence(DATE '" + first.isoformat() + "', DATE '" + last.isoformat() + "')) AS date"
-    )
-    off = holidays.select("date").distinct().withColumn("_off", F.lit(True))
-    working = (F.weekday("date") < 5) & F.col("_off").isNull()
-    marked = days.join(off, "date", "left").withColumn("is_business", working)
-    upto = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
-    count = F.sum(F.col("is_business").cast("long")).over(upto)
-    return (
-        marked.withColumn("at_or_before", count)
-        .withColumn("at_or_after", count + F.when(F.col("is_business"), 0).otherwise(1))
-        .select("date", "is_business", "at_or_before", "at_or_after")
-    )
+
+def _day_of_weekday(number: Column) -> Column:
+    """The day whose count by :func:`_weekdays_upto` is ``number``."""
+    week = F.floor((number - 1) / 5)
+    return week * 7 + (number - week * 5) - 4
+
+
+def _rank(values: Column, steps: int, x: Column) -> Column:
+    """How many of the sorted ``values`` are at most ``x``, by halving; fewer than 2^steps values."""
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(steps))])
+    return F.aggregate(halves, F.lit(0), lambda at, step: F.when(F.get(values, at + step - 1) <= x, at + step).otherwise(at))
 
 
 def business_day_offset(
@@ -69,34 +66,33 @@ def business_day_offset(
     """Move ``anchor`` by ``days`` business days, keeping its time of day.
 
     From a non-business day a move of zero or backwards first rolls forward and
-    a move forwards first rolls back.  One aggregate job finds the date range;
-    a day before year 1 or past 9999 is NULL, which bounds the calendar that is
-    broadcast, however far a row is to move.
+    a move forwards first rolls back.  Weeks are counted by arithmetic, and the
+    holidays passed by their rank in one sorted array, which the date type bounds
+    (a scalar subquery; rows are neither joined nor shuffled).  A day before year 1
+    or past 9999 is NULL, however far a row is to move.
     """
-    spark = df.sparkSession
-    span = df.agg(
-        F.min(F.to_date(anchor)).alias("lo"), F.max(F.to_date(anchor)).alias("hi"), F.max(F.abs(days)).alias("n")
-    ).first()
-    if span["lo"] is None:
-        return df.withColumn(output, F.col(anchor))
-    # n business days span at most 7/5 n calendar days plus the holidays among them.
-    reach = (LAST_DAY - FIRST_DAY).days
-    n_holidays = holidays.select("date").distinct().count()
-    slack = min(reach, int(span["n"] or 0) * 7 // 5 + n_holidays + 14)
-    first = span["lo"] - min(span["lo"] - FIRST_DAY, timedelta(slack))
-    last = span["hi"] + min(LAST_DAY - span["hi"], timedelta(slack))
-    calendar = business_calendar(spark, first, last, holidays)
-
-    start = calendar.select(F.col("date").alias("_day"), "at_or_before", "at_or_after")
-    goal = calendar.where("is_business").select(F.col("at_or_before").alias("_index"), F.col("date").alias("_goal"))
-    index = F.when(F.col(days) > 0, F.col("at_or_before")).otherwise(F.col("at_or_after")) + F.col(days)
-    time_of_day = F.col(anchor) - F.date_trunc("day", F.col(anchor)).cast(df.schema[anchor].dataType)
-    moved = (
-        df.withColumn("_day", F.to_date(anchor))
-        .join(F.broadcast(start), "_day", "left")
-        .withColumn("_index", index)
-        .join(F.broadcast(goal), "_index", "left")
-    )
-    anchored = F.col("_goal").cast(df.schema[anchor].dataType)
-    value = anchored if df.schema[anchor].dataType.typeName() == "date" else anchored + time_of_day
+    off = holidays.select(F.unix_date(F.col("date").cast("date")).cast("bigint").alias("day"))
+    off = F.array_sort(F.collect_set(F.when(F.pmod(F.col("day") + 3, F.lit(7)) < 5, F.col("day")))).alias("days")
+    # The k-th holiday is passed on the way to business day n if its own number among weekdays, less k, is at most n.
+    found = holidays.select(F.unix_date(F.col("date").cast("date")).cast("bigint").alias("day")).agg(off)
+    found = found.select("days", F.transform("days", lambda day, k: _weekdays_upto(day) - k).alias("passed"))
+    table = found.select(F.struct("days", "passed")).scalar()
+    steps = FULL_RANGE.bit_length()
+
+    day = F.unix_date(F.to_date(anchor)).cast("bigint")
+    moved = df.withColumn("_off", table).withColumn("_day", day)
+    rank = _rank(F.col("_off.days"), steps, F.col("_day"))
+    moved = moved.withColumn("_rank", rank)
+    closed = (F.pmod(F.col("_day") + 3, F.lit(7)) >= 5) | (F.coalesce(F.get(F.col("_off.days"), F.col("_rank") - 1), F.lit(FIRST - 1)) == F.col("_day"))
+    start = _weekdays_upto(F.col("_day")) - F.col("_rank") + F.when((F.col(days) <= 0) & closed, 1).otherwise(0)
+    moved = moved.withColumn("_goal", F.try_add(start, F.col(days).cast("bigint")))
+    # Farther than any date can be, so that nothing overflows below.
+    near = F.col("_goal").between(-2 * FULL_RANGE, 2 * FULL_RANGE)
+    goal = _day_of_weekday(F.col("_goal") + _rank(F.col("_off.passed"), steps, F.col("_goal")))
+    moved = moved.withColumn("_goal", F.when(near, goal))
+    inside = F.when(F.col("_goal").between(FIRST, LAST), F.col("_goal")).cast("int")
+    kind = df.schema[anchor].dataType
+    value = F.date_from_unix_date(inside).cast(kind)
+    if kind.typeName() != "date":
+        value = value + (F.col(anchor) - F.date_trunc("day", F.col(anchor)).cast(kind))
     return moved.select(*df.columns, value.alias(output))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,9 @@ from millrace.sources.grid import GRID, file_label, fixed_grid
 ROW_LABEL = "__index_level_0__"
 #: Column that names the fault of a marked row.
 ERROR = "_error"
+#: Where Spark puts the text of a record that has another number of cells than the header.
+CORRUPT = "_corrupt_record"
+LONG_ROWS = ("error", "drop", "keep", "mark")
 
 
 def scan_delimited(
@@ -24,12 +28,14 @@ def scan_delimited(
     delimiter: str = ",",
     multiline: bool = False,
     lineage: str = "name",
+    long_rows: str = "error",
 ) -> DataFrame:
     """Files that share one header. Only empty cells are NULL: ``N/A`` stays text.
 
     Every file's header is checked against the expected one, so a file with
     other or reordered columns fails the job; such sets go through
-    :func:`scan_by_name`.
+    :func:`scan_by_name`.  ``long_rows`` is as there.  All columns are parsed,
+    whichever are asked for: a row that is too long could not be told otherwise.
     """
     reader = (
         spark.read.option("header", True)
@@ -40,12 +46,31 @@ def scan_delimited(
         .option("recursiveFileLookup", True)
     )
     names = list(columns) if columns else reader.csv(paths).columns
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    raw = reader.option("enforceSchema", False).schema(schema).csv(paths)
-    return raw.select(
-        *[F.col(f"`{n}`") for n in names],
-        file_label(lineage).alias("source_file"),
-    )
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    whole = reader.option("enforceSchema", False).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    raw = whole.schema(schema).csv(paths).withColumn("source_file", file_label(lineage))
+    return judge_long_rows(raw, len(names), long_rows, delimiter).drop(CORRUPT)
+
+
+def judge_long_rows(rows: DataFrame, width: int, long_rows: str, delimiter: str = ",") -> DataFrame:
+    """Treat records with more than ``width`` filled cells, by their text in ``_corrupt_record``, as ``long_rows`` says.
+
+    ``rows`` has ``source_file``; ``"mark"`` adds ``_error``.
+    """
+    if long_rows not in LONG_ROWS:
+        raise ValueError(f"long_rows must be one of {LONG_ROWS}")
+    if long_rows == "keep":
+        return rows
+    cut = re.escape(delimiter)
+    # Spark keeps the text of records that are too short, too; quoted cells count as one sign each.
+    cells = F.regexp_replace(F.regexp_replace(CORRUPT, '"([^"]|"")*"', '"'), f"({cut}|\\s)+$", "")
+    # Spark reads no plan that uses this column alone, hence the last term, which is never true.
+    other = F.coalesce(F.length(F.col(f"`{rows.columns[0]}`")), F.lit(0)) < 0
+    fits = F.col(CORRUPT).isNull() | (F.size(F.split(cells, cut)) <= width) | other
+    message = F.concat(F.lit("row longer than its header in "), F.col("source_file"))
+    if long_rows == "mark":
+        return rows.withColumn(ERROR, F.when(~fits, message))
+    return rows.where(fits if long_rows == "drop" else F.when(fits, True).otherwise(F.raise_error(message).cast("boolean")))
 
 
 def scan_by_name(
@@ -64,8 +89,8 @@ def scan_by_name(
     may say ``"drop"`` (the row), ``"keep"`` (the named cells) or ``"mark"``
     (all rows stay, with the fault of such a row in ``_error``) instead.
     """
-    if long_rows not in ("error", "drop", "keep", "mark"):
-        raise ValueError("long_rows must be 'error', 'drop', 'keep' or 'mark'")
+    if long_rows not in LONG_ROWS:
+        raise ValueError(f"long_rows must be one of {LONG_ROWS}")
     grid = whole_file(_with_field_count(fixed_grid(spark, paths, width, long_rows="keep", header_row=header_row, **grid_options)))
     fits = F.col("_fields") <= F.col("header_size")
     message = F.concat(F.lit("row longer than its header in "), F.col("source_file"))

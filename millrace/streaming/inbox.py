@@ -12,8 +12,8 @@ from pyspark.sql.streaming.query import StreamingQuery
 from millrace.operators.cleaning import clean_and_cast
 from millrace.sinks.bronze import write_bronze
 from millrace.sinks.silver import SilverTable
+from millrace.sources.delimited import CORRUPT, judge_long_rows
 
-CORRUPT = "_corrupt_record"
 
 
 def stream_csv(
@@ -24,20 +24,27 @@ def stream_csv(
     header: bool = True,
     files_per_batch: int | None = None,
     keep_corrupt: bool = False,
+    long_rows: str = "error",
 ) -> DataFrame:
-    """Delimited files of an inbox as a stream of text rows with ``source_file``."""
-    names = [*columns, CORRUPT] if keep_corrupt else list(columns)
+    """Delimited files of an inbox as a stream of text rows with ``source_file``.
+
+    A row with more filled cells than the header fails the micro-batch, unless
+    ``long_rows`` is ``"drop"``, ``"keep"`` (the named cells) or ``"mark"`` (in ``_error``).
+    With ``keep_corrupt`` all rows come, and such rows' texts, for :func:`stream_outcomes`.
+    """
     reader = (
-        spark.readStream.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+        spark.readStream.schema(T.StructType([T.StructField(n, T.StringType()) for n in [*columns, CORRUPT]]))
         .option("header", header)
         .option("enforceSchema", False)  # a file with other or reordered columns fails instead of swapping values
         .option("escape", '"')
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", False)  # else rows that are too long are not noticed
         .option("recursiveFileLookup", True)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(inbox).select("*", F.col("_metadata.file_name").alias("source_file"))
+    rows = reader.csv(inbox).select("*", F.col("_metadata.file_name").alias("source_file"))
+    return rows if keep_corrupt else judge_long_rows(rows, len(columns), long_rows).drop(CORRUPT)
 
 
 def _run(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int], None]) -> StreamingQuery:

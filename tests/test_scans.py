@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.upsert import align_types, alignment_loss
 from millrace.sinks.bronze import write_bronze
-from millrace.sources.delimited import scan_by_name, scan_header_shift, scan_skip_bad_rows
+from millrace.sources.delimited import scan_by_name, scan_delimited, scan_header_shift, scan_skip_bad_rows
 from millrace.sources.grid import ragged_grid
 from millrace.sources.tables import read_table
 from millrace.streaming.inbox import stream_bronze, stream_csv
@@ -87,3 +87,56 @@ def test_offset_of_an_extreme_row(spark):
     holidays = spark.createDataFrame([(dt.date(2024, 1, 8),)], "date date")
     got = {r.n: r.offset_at for r in business_day_offset(df, "d", "n", holidays).collect()}
     assert got == {1: dt.date(2024, 1, 9), 2_000_000_000: None}
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_delimited_scans_lose_no_cell(spark, folder, multiline):
+    (folder / "a.csv").write_text('A,B\n1,2\n"x, ""y""",4\n3,4,LOST\n5\n6,7,,\n8,9,,more\n')
+    scan = lambda **o: scan_delimited(spark, str(folder), multiline=multiline, **o)
+    with pytest.raises(Exception, match="longer than its header in a.csv"):
+        scan().select("A").collect()
+    fitting = [("1", "2"), ('x, "y"', "4"), ("5", None), ("6", "7")]
+    assert [tuple(r)[:2] for r in scan(long_rows="drop").collect()] == fitting
+    assert scan(long_rows="drop").count() == 4 and scan(long_rows="drop").select("source_file").count() == 4
+    assert len(scan(long_rows="keep").collect()) == 6
+    marked = scan(long_rows="mark").select("A", "_error").collect()
+    assert [r.A for r in marked if r._error] == ["3", "8"] and len(marked) == 6
+    with pytest.raises(ValueError):
+        scan(long_rows="cut")
+
+
+def test_streams_lose_no_cell(spark, folder):
+    from millrace.streaming import stream_bronze, stream_csv
+
+    inbox = folder / "inbox"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text("A,B\n1,2\n3,4,LOST\n5\n")
+    run = lambda name, **o: stream_bronze(
+        stream_csv(spark, str(inbox), ["A", "B"], **o), f"{folder}/{name}", f"{folder}/{name}-check", name
+    ).awaitTermination()
+    with pytest.raises(Exception, match="longer than its header"):
+        run("error")
+    run("drop", long_rows="drop")
+    assert sorted((r.A, r.B) for r in spark.read.parquet(f"{folder}/drop").collect()) == [("1", "2"), ("5", None)]
+    run("mark", long_rows="mark")
+    assert sorted((r.A, r._error is None) for r in spark.read.parquet(f"{folder}/mark").collect()) == [("1", True), ("3", False), ("5", True)]
+
+
+def test_business_days_against_numpy(spark):
+    import random
+    from datetime import date, timedelta
+
+    import numpy as np
+
+    from millrace.operators.calendar import business_day_offset
+
+    rng = random.Random(5)
+    off = sorted({date(2019, 1, 1) + timedelta(rng.randrange(1500)) for _ in range(90)})
+    rows = [(date(2020, 1, 1) + timedelta(rng.randrange(900)), rng.choice([0, 1, -1, rng.randrange(-300, 300)])) for _ in range(400)]
+    holidays = spark.createDataFrame([(d,) for d in off], "date date")
+    want = [np.busday_offset(d, n, roll="backward" if n > 0 else "forward", holidays=off).astype(object) for d, n in rows]
+    for some in (rows, [(None, 1), (date(2020, 1, 1), None), (date(9999, 12, 30), 9), (date(1, 1, 3), -9), (date(2020, 1, 1), 2**62)]):
+        got = business_day_offset(spark.createDataFrame(some, "d date, n bigint"), "d", "n", holidays).collect()
+        assert [r.offset_at for r in got] == (want if some is rows else [None] * 5)
+    none = business_day_offset(spark.createDataFrame(rows, "d date, n bigint"), "d", "n", holidays.limit(0)).collect()
+    assert [r.offset_at for r in none] == [np.busday_offset(d, n, roll="backward" if n > 0 else "forward").astype(object) for d, n in rows]
