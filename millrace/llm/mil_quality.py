@@ -10,10 +10,9 @@ hidden vector h = tanh(W x + b).  Gated attention
 weighs the passages; the document's score is sigmoid(c . sum(a h) + d).  All
 parameters are learned together from document labels by Adam on the log loss.
 
-Training uses at most ``sample`` labelled documents (those with the smallest id
-hashes), in one task.  Of a document with more than ``BAG`` passages that many,
-evenly spaced over the whole text, are learned from, so that the two numbers
-bound the task's input.  Scoring covers whole texts of all documents, one batch
+Training takes all passages of a bounded sample of labelled documents, in one task:
+those with the smallest id hashes, at most ``sample`` of them and as many as have at
+most ``sample_bytes`` of text together.  Scoring covers whole texts of all documents, one batch
 at a time.
 
 Defined cases: null and empty texts are one passage without trigrams; very long
@@ -31,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.llm.common import rows_of, small_batches
@@ -39,8 +39,6 @@ from millrace.session import stage
 PASSAGE, BUCKETS, SHAPES = 640, 512, 8
 HIDDEN, GATE = 32, 16
 CHUNK = 4096
-#: Passages of one document in training.
-BAG = 256
 
 _KINDS = np.zeros(256, np.uint8)  # 1 signs, 2 digits, 3 capitals, 4 small letters, 5 white space
 _KINDS[33:127] = 1
@@ -186,33 +184,42 @@ def _train_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([_pack(model)], pa.binary())], ["model"])
 
 
-def _spaced(x: np.ndarray, most: int = BAG) -> np.ndarray:
-    """At most ``most`` rows, evenly spaced from first to last."""
-    return x if len(x) <= most else x[np.linspace(0, len(x) - 1, most).astype(int)]
-
-
 def _encode_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        x = [_spaced(encode(t or b"")).astype(np.float16).tobytes() for (t,) in rows_of([batch], "_text")]
+        x = [encode(t or b"").astype(np.float16).tobytes() for (t,) in rows_of([batch], "_text")]
         columns = [batch.column(c) for c in ("_o", "_d", "label")]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(x, pa.binary())], ["_o", "_d", "label", "x"])
 
 
 def fit(
-    docs: DataFrame, labels: DataFrame, sample: int = 3_000, doc_id: str = "doc_id", text: str = "text", label: str = "quality"
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: int = 3_000,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    label: str = "quality",
+    sample_bytes: int = 128 << 20,
 ) -> bytes:
-    """A model from at most ``sample`` labelled documents, as bytes (some 70 KB).
+    """A model from a bounded sample of labelled documents, as bytes (some 70 KB).
 
     ``docs`` gives the texts of ``labels`` (doc_id, label); the chosen ids are
-    broadcast to its scan, bounded by ``sample``.
+    broadcast to its scan, bounded by ``sample``.  An id that comes with several
+    texts gives the one with the smallest hash.  A passage takes 1,040 bytes of the
+    training task, so ``sample_bytes`` of text take less than twice as many.
     """
     small_batches(docs.sparkSession)
     known = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1))
     known = known.groupBy(F.col(doc_id).alias("_i")).agg(F.max(label).cast("int").alias("label"))
     chosen = known.orderBy(F.xxhash64("_i"), "_i").limit(sample).withColumn("_o", F.xxhash64("_i"))
-    narrow = docs.select(F.col(doc_id).alias("_d"), F.col(text).cast("binary").alias("_text"))
-    bags = narrow.join(F.broadcast(chosen), F.col("_d") == F.col("_i")).select("_o", F.col("_d").cast("bigint").alias("_d"), "label", "_text")
-    bags = stage(bags.mapInArrow(_encode_task, "_o bigint, _d bigint, label int, x binary"), "bags")
+    narrow = docs.select(F.col(doc_id).alias("_d"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_text"))
+    rows = narrow.join(F.broadcast(chosen), F.col("_d") == F.col("_i"))
+    rows = rows.groupBy("_o", F.col("_d").cast("bigint").alias("_d"), "label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
+    rows = stage(rows, "labelled")
+    # One row without text for each of at most ``sample`` documents meets in a task here.
+    upto = F.sum(F.octet_length("_text")).over(W.orderBy("_o", "_d").rowsBetween(W.unboundedPreceding, 0))
+    fit_in = rows.select("_o", "_d", upto.alias("_upto")).where(F.col("_upto") <= sample_bytes).select("_o", "_d")
+    rows = rows.join(F.broadcast(fit_in), ["_o", "_d"], "left_semi").select("_o", "_d", "label", "_text")
+    bags = stage(rows.mapInArrow(_encode_task, "_o bigint, _d bigint, label int, x binary"), "bags")
     row = bags.repartition(1).mapInArrow(_train_task, "model binary").first()
     return bytes(row.model) if row else _pack(train([], np.zeros(0)))
 

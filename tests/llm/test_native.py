@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +129,53 @@ def test_rates_meet_targets(spark):
     assert {r.doc_id: r.n for r in want if r.n} == often
 
 
+def rated(spark, posteriors, tokens, targets):
+    names = ", ".join(f"_p{k} double" for k in range(len(targets)))
+    table = spark.createDataFrame([(n, *p) for n, p in zip(tokens, posteriors)], f"_tokens bigint, {names}")
+    history, eta = soft_mix.fit_rates(table, dict(zip("abc", targets)))
+    return np.array([r[0] for r in table.select(soft_mix._rate(history, eta, len(targets))).collect()]), history
+
+
+def metric(p, n):
+    """The inverse of the posteriors' products, with the ridge."""
+    g = p.T @ (n[:, None] * p)
+    return np.linalg.inv(g + soft_mix.RIDGE * np.trace(g) / len(g) * np.eye(len(g)))
+
+
+def plain_rates(posteriors, tokens, targets, steps=20_000):
+    """Nonnegative least squares in that metric, by many small steps."""
+    p, n = np.array(posteriors), np.array(tokens) / sum(tokens)
+    inverse, rate = metric(p, n), np.ones(len(p))
+    for _ in range(steps):
+        rate = np.maximum(0, rate - 0.5 * p @ (inverse @ (p.T @ (n * rate) - targets)))
+    return rate
+
+
+def test_rates_against_nonnegative_least_squares(spark):
+    rng = np.random.default_rng(3)
+    loose = rng.dirichlet([0.4, 0.4, 0.4], 60)
+    mixed = [[0.5, 0.3, 0.2]] * 30 + [[0.6, 0.2, 0.2]] * 30  # no rates give a third domain of 0.9
+    for posteriors, targets, met in ((loose, [0.7, 0.2, 0.1], True), (loose, [0.05, 0.05, 0.9], True), (mixed, [0.05, 0.05, 0.9], False)):
+        tokens = rng.integers(1, 500, 60)
+        got, _ = rated(spark, [tuple(map(float, p)) for p in posteriors], [int(n) for n in tokens], targets)
+        want = plain_rates(posteriors, tokens, targets)
+        p, n = np.array(posteriors), tokens / tokens.sum()
+        inverse = metric(p, n)
+        height = lambda r: float((p.T @ (n * r) - targets) @ inverse @ (p.T @ (n * r) - targets))
+        assert height(got) <= height(want) * 1.02 + 1e-5 and (height(got) < 1e-4) == met and got.min() >= 0
+
+
+def test_a_rare_domain_reaches_its_target(spark):
+    """Two clean domains at 0.99 and 0.01, asked for in equal parts."""
+    got, history = rated(spark, [(1.0, 0.0)] * 99 + [(0.0, 1.0)], [100] * 100, [0.5, 0.5])
+    assert np.allclose(got, [0.5 / 0.99] * 99 + [50.0], rtol=2e-3) and len(history) < 5
+
+
+def test_a_domain_without_documents_is_missed_without_end_of_copies(spark):
+    got, _ = rated(spark, [(1.0 - 1e-9, 1e-9)] * 10, [5] * 10, [0.5, 0.5])
+    assert got.max() <= soft_mix.MOST_RATE
+
+
 def test_mixing_of_awkward_rows(spark):
     docs = spark.createDataFrame(awkward(), DOCS).withColumnRenamed("lang", "rate")
     labels = spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1), (999, 0, 0)], "doc_id bigint, quality int, toxic int")

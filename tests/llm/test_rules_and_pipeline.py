@@ -8,6 +8,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -104,6 +105,42 @@ def test_held_out_accuracy(spark):
     assert len(own) > 50 and sum((r.score >= 0.7) == (r.quality == 1) for r in own) >= 0.95 * len(own)
 
 
+def plain_forward(m, text):
+    """The score of one text, passage by passage, from the formulas of the model."""
+    x = mil_quality.encode(text).astype(np.float64)
+    sigmoid = lambda v: 1 / (1 + np.exp(-v))
+    hidden = [np.tanh(m["W"] @ p + m["b"]) if m["W"].shape[1] == len(p) else np.tanh(p @ m["W"] + m["b"]) for p in x]
+    gate = [m["w"] @ (np.tanh(m["V"] @ h) * sigmoid(m["U"] @ h)) if m["V"].shape[1] == len(h) else m["w"] @ (np.tanh(h @ m["V"]) * sigmoid(h @ m["U"])) for h in hidden]
+    weights = np.exp(gate - np.max(gate))
+    pooled = sum(a * h for a, h in zip(weights / weights.sum(), hidden))
+    return float(sigmoid(m["c"] @ pooled + m["d"][0]))
+
+
+def test_scores_by_the_formulas(spark):
+    rows = awkward()[:30] + [(500, "one two three " * 20_000, "en", "s", 1)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id bigint, quality int")
+    docs = spark.createDataFrame(rows, DOCS)
+    model = mil_quality.fit(docs, labels)
+    unpacked = {k: v.astype(np.float64) for k, v in mil_quality._unpack(model).items()}
+    got = {r.doc_id: r.score for r in mil_quality.scores(docs, model).collect()}
+    assert all(abs(got[i] - plain_forward(unpacked, (t or "").encode())) < 1e-4 for i, t, *_ in rows)
+
+
+def test_training_takes_one_text_an_id_and_keeps_to_its_bounds(spark):
+    rng = random.Random(5)
+    words = lambda n: " ".join(f"w{rng.randrange(99)}" for _ in range(n))
+    rows = [(i, words(50)) for i in range(20)]
+    more = rows + [(3, words(40_000)) for _ in range(5)] + [(3, rows[3][1])] * 5
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, quality int")
+    frame = lambda r: spark.createDataFrame(r, "doc_id bigint, text string").repartition(3)
+    own = next(t for t in sorted({t for i, t in more if i == 3}, key=lambda t: xxhash.xxh64_intdigest(t.encode(), 42) ^ 1 << 63))
+    single = [(i, own if i == 3 else t) for i, t in rows]
+    assert mil_quality.fit(frame(more), labels) == mil_quality.fit(frame(single), labels)
+    size = sum(len(t) for _, t in rows)
+    assert mil_quality.fit(frame(rows), labels, sample_bytes=size) == mil_quality.fit(frame(rows), labels)
+    assert mil_quality.fit(frame(rows), labels, sample_bytes=size - 1) != mil_quality.fit(frame(rows), labels)
+
+
 def test_scores_of_awkward_rows(spark):
     docs = spark.createDataFrame(awkward(), DOCS).withColumnRenamed("lang", "score")
     labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (None, 1), (3, None), (999, 0)], "doc_id bigint, quality int")
