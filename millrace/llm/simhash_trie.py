@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from itertools import repeat
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import is_empty, named, pack, rows_of, small_batches, unpack
-from millrace.session import stage
+from millrace.session import stage, workspace
 
 BITS, SHINGLE, SEED = 64, 3, 42
 #: Bits that may differ: a number, or (leading bits, number) pairs that all hold.
@@ -454,9 +455,39 @@ def similar_links(texts: DataFrame, prints: DataFrame, least: float = 0.8, size:
     pairs = stage(pairs, "candidates")
     ends = pairs.select(F.explode(F.array("u", "v")).alias("n")).distinct()
     sets = stage(texts.join(ends, "n", "left_semi").mapInArrow(_sets_task(size), "n bigint, hashes binary"), "shingles")
-    u = sets.withColumnRenamed("n", "u")
-    v = sets.select(F.col("n").alias("v"), F.col("hashes").alias("hashes_v"))
-    return stage(pairs.join(u, "u").join(v, "v").mapInArrow(_alike_task(least), "u bigint, v bigint"), "alike")
+
+    def alike(some: DataFrame) -> DataFrame:
+        u = sets.withColumnRenamed("n", "u")
+        v = sets.select(F.col("n").alias("v"), F.col("hashes").alias("hashes_v"))
+        return stage(some.join(u, "u").join(v, "v").mapInArrow(_alike_task(least), "u bigint, v bigint"), "alike")
+
+    # Each text's closest candidate first: it settles most groups, and sets travel only for what is still apart.
+    closest = _closest(pairs, prints)
+    linked = alike(closest)
+    root = stage(components(linked), "first-roots")
+    far = pairs.join(closest, ["u", "v"], "left_anti")
+    for end in ("u", "v"):
+        far = far.join(root.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
+    far = far.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
+    return linked.union(alike(far))
+
+
+def _closest(pairs: DataFrame, prints: DataFrame) -> DataFrame:
+    """For each text of ``pairs`` the pair with the fewest differing bits of all fingerprints."""
+    own = lambda end: prints.select(F.col("n").alias(end), F.col("prints").alias(f"prints_{end}"))
+    differ = F.zip_with("prints_u", "prints_v", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = pairs.join(own("u"), "u").join(own("v"), "v").select("u", "v", F.aggregate(differ, F.lit(0), lambda at, x: at + x).alias("d"))
+    each = apart.select("d", "u", "v", F.explode(F.array("u", "v")).alias("n"))
+    nearest = each.groupBy("n").agg(F.min(F.struct("d", "u", "v")).alias("best"))
+    return stage(nearest.select("best.u", "best.v").distinct(), "closest")
+
+
+def _bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written in buckets of ``key``, so that joins on it move the other side alone."""
+    spark, name = df.sparkSession, f"bucketed_{uuid4().hex[:12]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.bucketBy(n, key).option("path", workspace(spark, "bucketed")).saveAsTable(name)
+    return spark.table(name)
 
 
 def keep_first_similar(docs: DataFrame, least: float = 0.8, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -468,7 +499,7 @@ def keep_first_similar(docs: DataFrame, least: float = 0.8, size: int = 5, doc_i
     copies of each other.  The columns' names may be any.
     """
     small_batches(docs.sparkSession)
-    held = stage(pack(docs, n=F.monotonically_increasing_id()), "numbered")
+    held = _bucketed(pack(docs, n=F.monotonically_increasing_id()), "n")
     texts = held.select("n", named("doc").getField(doc_id).cast("bigint").alias("id"), named("doc").getField(text).cast("binary").alias("text"))
     rows = stage(texts.mapInArrow(_prints_task(size), "n bigint, id bigint, text_key binary, prints array<bigint>"), "fingerprints")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "n")
