@@ -50,9 +50,14 @@ def _day_of_weekday(number: Column) -> Column:
     return week * 7 + (number - week * 5) - 4
 
 
-def _rank(values: Column, steps: int, x: Column) -> Column:
-    """How many of the sorted ``values`` are at most ``x``, by halving; fewer than 2^steps values."""
-    halves = F.array(*[F.lit(1 << k) for k in reversed(range(steps))])
+def _halves(size: Column) -> Column:
+    """Powers of two up to ``size``, the greatest first."""
+    powers = F.sequence(F.lit(0), F.floor(F.log2(F.greatest(size, F.lit(1)))).cast("int"))
+    return F.reverse(F.transform(powers, lambda k: F.pow(F.lit(2), k).cast("int")))
+
+
+def _rank(values: Column, halves: Column, x: Column) -> Column:
+    """How many of the sorted ``values`` are at most ``x``, by halving."""
     return F.aggregate(halves, F.lit(0), lambda at, step: F.when(F.get(values, at + step - 1) <= x, at + step).otherwise(at))
 
 
@@ -76,19 +81,18 @@ def business_day_offset(
     # The k-th holiday is passed on the way to business day n if its own number among weekdays, less k, is at most n.
     found = holidays.select(F.unix_date(F.col("date").cast("date")).cast("bigint").alias("day")).agg(off)
     found = found.select("days", F.transform("days", lambda day, k: _weekdays_upto(day) - k).alias("passed"))
-    table = found.select(F.struct("days", "passed")).scalar()
-    steps = FULL_RANGE.bit_length()
+    table = found.select(F.struct("days", "passed", _halves(F.size("days")).alias("halves"))).scalar()
 
     day = F.unix_date(F.to_date(anchor)).cast("bigint")
     moved = df.withColumn("_off", table).withColumn("_day", day)
-    rank = _rank(F.col("_off.days"), steps, F.col("_day"))
+    rank = _rank(F.col("_off.days"), F.col("_off.halves"), F.col("_day"))
     moved = moved.withColumn("_rank", rank)
     closed = (F.pmod(F.col("_day") + 3, F.lit(7)) >= 5) | (F.coalesce(F.get(F.col("_off.days"), F.col("_rank") - 1), F.lit(FIRST - 1)) == F.col("_day"))
     start = _weekdays_upto(F.col("_day")) - F.col("_rank") + F.when((F.col(days) <= 0) & closed, 1).otherwise(0)
     moved = moved.withColumn("_goal", F.try_add(start, F.col(days).cast("bigint")))
     # Farther than any date can be, so that nothing overflows below.
     near = F.col("_goal").between(-2 * FULL_RANGE, 2 * FULL_RANGE)
-    goal = _day_of_weekday(F.col("_goal") + _rank(F.col("_off.passed"), steps, F.col("_goal")))
+    goal = _day_of_weekday(F.col("_goal") + _rank(F.col("_off.passed"), F.col("_off.halves"), F.col("_goal")))
     moved = moved.withColumn("_goal", F.when(near, goal))
     inside = F.when(F.col("_goal").between(FIRST, LAST), F.col("_goal")).cast("int")
     kind = df.schema[anchor].dataType
