@@ -10,18 +10,14 @@ from pyspark.sql.window import Window
 
 from millrace.functions.casts import number, parse_timestamp
 
-# The parts of the two message shapes, in the order of their groups.
-_STAMP = r"(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d+ [AP]M)"
-_HEAD = rf"^{_STAMP}: (\w+): ([\w.]+)"
-_CLOCK = r"(\d{2}:\d{2} [AP]M)"
-_AMOUNT = r"([\d,.-]+)"
+# The two message shapes, and their groups in order.
 MESSAGES = {
     "Update": (
-        rf"{_HEAD}: Update : {_CLOCK} : Port (\d+) : ([\w.]+) (\w+) {_AMOUNT} \((\w+)\)",
+        r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d+ [AP]M): (\w+): ([\w.]+): Update : (\d{2}:\d{2} [AP]M) : Port (\d+) : ([\w.]+) (\w+) ([\d,.-]+) \((\w+)\)",
         ("log_ts", "level", "source", "trade_time", "port", "security", "direction", "quantity", "user"),
     ),
     "Order": (
-        rf"{_HEAD}: Order : {_CLOCK} : (\w+) (\w+) {_AMOUNT} ([\w. ]+?) FILLED {_AMOUNT} @ ([\d.]+) \((\w+)\)",
+        r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\.\d+ [AP]M): (\w+): ([\w.]+): Order : (\d{2}:\d{2} [AP]M) : (\w+) (\w+) ([\d,.-]+) ([\w. ]+?) FILLED ([\d,.-]+) @ ([\d.]+) \((\w+)\)",
         ("log_ts", "level", "source", "trade_time", "action", "side", "quantity", "security", "filled_qty", "price", "user"),
     ),
 }
