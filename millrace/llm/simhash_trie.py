@@ -37,6 +37,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.llm.common import is_empty, named, pack, rows_of, small_batches, unpack
 from millrace.session import stage, workspace
@@ -437,12 +438,115 @@ def _alike_task(least: float):
     return run
 
 
+# What the tries leave out ---------------------------------------------------
+
+#: Texts whose shingles give the order of all: it says how much is compared, never what is found.
+ORDER_TEXTS, ORDER_SHINGLES, ORDER_LEAST = 20_000, 1 << 16, 4
+#: Bits of the parities of a set: sets differ in at least as many shingles as their parities in bits.
+PARITIES = 1024
+
+
+def needed(sizes, least: float):
+    """Shingles that a set shares, at least, with any of similarity ``least``; of two sets' sizes together those that both hold."""
+    return np.ceil(sizes * least - 1e-9).astype(np.int64)
+
+
+def first_shingles(hashes: np.ndarray, least: float, common: np.ndarray) -> np.ndarray:
+    """The first few shingles of a set in an order of all: sets of similarity ``least`` share one of them.
+
+    The order is that of the hashes, ``common`` ones (sorted) behind all others.
+    """
+    if not len(hashes):
+        return np.zeros(1, np.uint64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        hashes = hashes[np.argsort(common[at] == hashes, kind="stable")]
+    return hashes[: len(hashes) - int(needed(len(hashes), least)) + 1]
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    odd = np.bincount((hashes % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _shingles_task(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for (text,) in rows_of([batch], "text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(text or b"", size).view(np.int64))], ["shingle"])
+
+    return run
+
+
+def _first_task(size: int, least: float, common: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(t or b"", size) for (t,) in rows_of([batch], "text")]
+            first = [first_shingles(h, least, common).view(np.int64) for h in sets]
+            columns = [pa.array([len(h) for h in sets], pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array([parities(h) for h in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("n"), *columns], ["n", "size", "first", "parities"])
+
+    return run
+
+
+def _common_shingles(texts: DataFrame, size: int) -> np.ndarray:
+    """Sorted hashes of the commonest shingles of some texts."""
+    every = max(1, texts.count() // ORDER_TEXTS)
+    some = texts.where(F.pmod(F.xxhash64("n"), F.lit(every)) == 0).select("text")
+    counted = some.mapInArrow(_shingles_task(size), "shingle bigint").groupBy("shingle").agg(F.count("*").alias("c"))
+    top = counted.where(F.col("c") >= ORDER_LEAST).orderBy(F.desc("c"), "shingle").limit(ORDER_SHINGLES).toArrow()
+    return np.sort(top.column("shingle").to_numpy().view(np.uint64))
+
+
+def candidates_apart(texts: DataFrame, nodes: DataFrame, least: float, size: int) -> DataFrame:
+    """Pairs (u, v) of texts that may have similarity ``least``, complete for texts whose roots differ.
+
+    ``nodes`` has n and root of texts that differ.  Texts of that similarity share
+    one of their first shingles (prefix filter).  Pairs go only between groups, and
+    fall by their sizes, by the place of what they share, and by their parities.
+    """
+    texts = texts.join(nodes, "n", "left_semi")
+    first = texts.mapInArrow(_first_task(size, least, _common_shingles(texts, size)), "n bigint, size int, first array<bigint>, parities array<bigint>")
+    first = stage(first, "first-shingles")
+    rows = first.select(F.posexplode("first").alias("at", "shingle"), "n", "size")
+    rows = rows.withColumn("met", F.count("*").over(Window.partitionBy("shingle"))).where("met > 1").drop("met")
+    rows = stage(stage(rows, "met").join(nodes, "n"), "met-roots")
+    roots = rows.select("shingle", "root").distinct()
+    apart = roots.withColumnRenamed("root", "root_u").join(roots.withColumnRenamed("root", "root_v"), "shingle").where("root_u < root_v")
+    for end in ("u", "v"):
+        own = rows.select("shingle", *(F.col(c).alias(f"{c}_{end}") for c in ("root", "n", "size", "at")))
+        apart = apart.join(own, ["shingle", f"root_{end}"])
+    both = F.col("size_u") + F.col("size_v")
+    shared = F.ceil(both * (least / (1 + least)) - 1e-9)
+    likely = (F.least("size_u", "size_v") >= F.greatest("size_u", "size_v") * least - 1e-9) & (
+        F.least(F.col("size_u") - F.col("at_u"), F.col("size_v") - F.col("at_v")) >= shared
+    )
+    found = apart.where(likely).select(F.least("n_u", "n_v").alias("u"), F.greatest("n_u", "n_v").alias("v"), (both - 2 * shared).alias("most")).distinct()
+    found = stage(found, "apart")
+    for end in ("u", "v"):
+        found = found.join(first.select(F.col("n").alias(end), F.col("parities").alias(f"parities_{end}")), end)
+    differ = F.zip_with("parities_u", "parities_v", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    near = F.aggregate(differ, F.lit(0), lambda at, x: at + x) <= F.col("most")
+    return stage(found.where(near).select("u", "v"), "apart-candidates")
+
+
 def similar_links(texts: DataFrame, prints: DataFrame, least: float = 0.8, size: int = 5, cell: int = COPY_CELL) -> DataFrame:
-    """Edges (u, v) between numbers of texts whose word shingles have a Jaccard similarity of ``least`` or more.
+    """Edges (u, v) that connect what a Jaccard similarity of ``least`` or more between word shingles connects.
 
     ``texts`` has n and text (encoded), ``prints`` n and prints of texts that differ.
-    Candidates come from the walks of all tries; each is confirmed by the sets.
+    Candidates come from the walks of all tries; each is confirmed by the sets.  Texts
+    that these links leave apart are then compared wherever the similarity is possible
+    (:func:`candidates_apart`), so that no link between two groups is left out.
     """
+    found, alike = _trie_links(texts, prints, least, size, cell)
+    found = stage(found, "trie-links")
+    roots = stage(components(found), "trie-roots")
+    nodes = prints.select("n").join(roots, F.col("n") == F.col("node"), "left").select("n", F.coalesce("root", "n").alias("root"))
+    return found.union(alike(candidates_apart(texts, stage(nodes, "trie-nodes"), least, size)))
+
+
+def _trie_links(texts: DataFrame, prints: DataFrame, least: float, size: int, cell: int):
+    """Confirmed edges from the walks of all tries, and what confirms pairs."""
     nodes = prints.select("n", F.posexplode("prints").alias("word", "fp"))
     nodes = stage(nodes, "nodes")
     distinct = stage(nodes.groupBy("word", "fp").agg(F.min("n").alias("first")), "distinct-prints")
@@ -453,10 +557,10 @@ def similar_links(texts: DataFrame, prints: DataFrame, least: float = 0.8, size:
     same = nodes.join(distinct, ["word", "fp"]).where("n <> first").select(F.col("first").alias("n_u"), F.col("n").alias("n_v"))
     pairs = found.union(same).select(F.least("n_u", "n_v").alias("u"), F.greatest("n_u", "n_v").alias("v")).distinct()
     pairs = stage(pairs, "candidates")
-    ends = pairs.select(F.explode(F.array("u", "v")).alias("n")).distinct()
-    sets = stage(texts.join(ends, "n", "left_semi").mapInArrow(_sets_task(size), "n bigint, hashes binary"), "shingles")
 
     def alike(some: DataFrame) -> DataFrame:
+        ends = some.select(F.explode(F.array("u", "v")).alias("n")).distinct()
+        sets = stage(texts.join(ends, "n", "left_semi").mapInArrow(_sets_task(size), "n bigint, hashes binary"), "shingles")
         u = sets.withColumnRenamed("n", "u")
         v = sets.select(F.col("n").alias("v"), F.col("hashes").alias("hashes_v"))
         return stage(some.join(u, "u").join(v, "v").mapInArrow(_alike_task(least), "u bigint, v bigint"), "alike")
@@ -469,7 +573,7 @@ def similar_links(texts: DataFrame, prints: DataFrame, least: float = 0.8, size:
     for end in ("u", "v"):
         far = far.join(root.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}")), end, "left")
     far = far.where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).select("u", "v")
-    return linked.union(alike(far))
+    return linked.union(alike(stage(far, "far"))), alike
 
 
 def _closest(pairs: DataFrame, prints: DataFrame) -> DataFrame:

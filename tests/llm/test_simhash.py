@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from millrace.llm import simhash_trie
 from millrace.llm.simhash_trie import fingerprint, forest, hex64, keep_first, keep_first_similar, near_duplicates, trie_links
@@ -179,6 +180,35 @@ def test_similar_in_small_cells(spark):
     assert got == want
 
 
+def test_no_link_is_left_out(spark):
+    """Pairs just above the threshold: one walk or another misses some of them."""
+    rng = random.Random(31)
+    rows = []
+    for k in range(400):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(edited(base, 4, rng)))]
+    kept = keep_first_similar(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(similar_groups(rows, 5, 0.8).values())) == list(range(0, 800, 2))
+
+
+@pytest.mark.parametrize("texts", [2, 1000])
+def test_links_without_the_tries(spark, monkeypatch, texts):
+    """Where the walks find equal fingerprints only, the comparison of what they leave apart finds the rest."""
+    monkeypatch.setattr(simhash_trie, "COPY_BUDGET", 0)
+    monkeypatch.setattr(simhash_trie, "ORDER_TEXTS", texts)
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(0, ""), (1, " "), (2, "a"), (3, "a b c"), (4, "A b  c")]
+    for _ in range(25):
+        base = passage + [f"w{rng.randrange(10**6)}" for _ in range(rng.choice((15, 60, 120)))]
+        rows += [(len(rows) + x, " ".join(edited(base, rng.randrange(0, 4), rng) + ["z"] * x)) for x in range(3)]
+    frame = spark.createDataFrame(rows, "n bigint, text string")
+    frame = frame.select("n", frame.text.cast("binary").alias("text"))
+    prints = [(i, [int(v) for v in simhash_trie.several_fingerprints(simhash_trie.shingle_hashes(t.encode(), 5)).view(np.int64)]) for i, t in rows]
+    links = simhash_trie.similar_links(frame, spark.createDataFrame(prints, "n bigint, prints array<bigint>"))
+    assert linked_groups([(r.u, r.v) for r in links.collect()], [i for i, _ in rows]) == similar_groups(rows, 5, 0.8)
+
+
 def linked_groups(links, keys):
     root = {k: k for k in keys}
 
