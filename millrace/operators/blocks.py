@@ -20,6 +20,8 @@ from pyspark.sql.window import Window
 from millrace.functions.casts import strip
 
 CHUNK_ROWS = 50_000
+# Rows whose block starts are looked up together.
+START_ROWS = 1_000
 MAX_COLUMNS = 5_000
 BLOCK = ["source_file", "block_id"]
 
@@ -60,16 +62,18 @@ def number_blocks(
 
     Rows before a file's first marker belong to no block and are left out.
     Without ``sized`` the rows carry their file's end instead of their block's
-    size, which spares a sort.
+    size.  One window counts a part's starts up to each row; where its block
+    begins and ends is then looked up among the starts of the part, and those
+    before and after it, which come to the rows by one join.
     """
     starts = F.upper(cell(0)).startswith(marker.upper())
-    parted = grid.withColumn("_part", _part(chunk_rows)).withColumn("_start", F.when(starts, F.col("row_no")))
+    parted = grid.withColumn("_part", _part(min(chunk_rows, START_ROWS)))
 
-    summary = parted.groupBy("source_file", "_part").agg(
-        F.count("_start").alias("_n"),
-        F.min("_start").alias("_first"),
-        F.max("_start").alias("_last"),
-        F.max("row_no").alias("_end"),
+    # One record per marker row, and one for all other rows of a part.
+    found = parted.select("source_file", "_part", "row_no", F.when(starts, F.col("row_no")).alias("_start"))
+    found = found.groupBy("source_file", "_part", "_start").agg(F.max("row_no").alias("_end"))
+    summary = found.groupBy("source_file", "_part").agg(
+        F.sort_array(F.collect_list("_start")).alias("_starts"), F.max("_end").alias("_end")
     )
     # What follows is found by running backwards: a frame that reaches to the
     # end of its group would be evaluated anew for every row.
@@ -79,26 +83,26 @@ def number_blocks(
     carry = summary.select(
         "source_file",
         "_part",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_blocks_before"),
-        F.max("_last").over(earlier).alias("_start_before"),
-        F.min("_first").over(later).alias("_start_after"),
+        "_starts",
+        F.coalesce(F.sum(F.size("_starts")).over(earlier), F.lit(0)).alias("_blocks_before"),
+        F.max(F.array_max("_starts")).over(earlier).alias("_start_before"),
+        F.min(F.array_min("_starts")).over(later).alias("_start_after"),
         (F.max("_end").over(by_file) + 1).alias("file_end"),
     )
 
-    by_part = Window.partitionBy("source_file", "_part")
-    upto = by_part.orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
-    placed = parted.join(carry, ["source_file", "_part"]).withColumns(
+    upto = F.count(F.when(starts, F.col("row_no"))).over(
+        Window.partitionBy("source_file", "_part").orderBy("row_no").rowsBetween(Window.unboundedPreceding, 0)
+    )
+    placed = parted.join(carry, ["source_file", "_part"]).withColumn("_upto", upto.cast("int")).withColumns(
         {
-            "block_id": F.col("_blocks_before") + F.count("_start").over(upto),
-            "_from": F.coalesce(F.max("_start").over(upto), F.col("_start_before")),
+            "block_id": F.col("_blocks_before") + F.col("_upto"),
+            "_from": F.coalesce(F.get("_starts", F.col("_upto") - 1), F.col("_start_before")),
         }
     )
     place = ["block_id", (F.col("row_no") - F.col("_from")).alias("block_row")]
     if sized:
-        after = by_part.orderBy(F.desc("row_no")).rowsBetween(Window.unboundedPreceding, -1)
-        end = F.coalesce(F.min("_start").over(after), F.col("_start_after"), F.col("file_end"))
-        placed = placed.withColumn("_to", end)
-        place.append((F.col("_to") - F.col("_from")).alias("block_size"))
+        end = F.coalesce(F.get("_starts", F.col("_upto")), F.col("_start_after"), F.col("file_end"))
+        place.append((end - F.col("_from")).alias("block_size"))
     else:
         place.append("file_end")
     return placed.where(F.col("block_id") > 0).select(*grid.columns, *place)
@@ -175,11 +179,16 @@ def expand_header(
     def at(row: int, value: Column) -> Column:
         return F.max(F.when(F.col("block_row") == row, value))
 
-    header = grid.groupBy(*BLOCK).agg(
+    if "block_size" in grid.columns:  # the range follows from any row, so that only the special ones are gathered
+        first = F.col("row_no") - F.col("block_row")
+        rows = grid.where(F.col("block_row").isin(header_row, header_row + 1) if shift_label else F.col("block_row") == header_row)
+        span = [F.min(first).alias("_from"), F.max(first + F.col("block_size") - 1).alias("_to")]
+    else:
+        rows, span = grid, [F.min("row_no").alias("_from"), F.max("row_no").alias("_to")]
+    header = rows.groupBy(*BLOCK).agg(
         at(header_row, cells).alias("_header"),
         (at(header_row + 1, F.col("_fields")) if shift_label else F.lit(None)).alias("_first"),
-        F.min("row_no").alias("_from"),
-        F.max("row_no").alias("_to"),
+        *span,
     )
     header = header.where(F.col("_header").isNotNull()).select(
         *BLOCK, *_header_of(F.col("_header")), "_first", "_from", "_to"

@@ -21,6 +21,7 @@ from millrace.operators.blocks import (
     promote_header,
 )
 from millrace.plans import reports
+from millrace.session import stage
 from millrace.workload.tables import table, text
 
 PER_FILE = 16
@@ -228,7 +229,8 @@ KV_SQL = f"""
 
 
 def q_header(spark: SparkSession, folder: str) -> DataFrame:
-    blocks = number_blocks(pcf_grid(spark, folder), "TRADE_DATE")
+    # Written once, in columns: the names, the headers and the rows each read it.
+    blocks = stage(number_blocks(pcf_grid(spark, folder), "TRADE_DATE"), "blocks")
     return _numbers(promote_header(blocks, 8), ["ORDER", "PART", "LINE"], ["SHARES", "PRICE"])
 
 

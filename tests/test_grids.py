@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,3 +219,19 @@ def test_hot_block_is_joined_in_parts(spark):
     assert joined.count() == n + 1
     again = B.attach(numbered.where("block_row > 8"), lookup.drop("_from", "_to"), B.BLOCK, chunk_rows=40)
     assert again.count() == n + 1
+
+
+def test_rows_of_blocks_are_ordered_once(spark):
+    """Block sizes take no second order of the rows, and the blocks' ranges are right."""
+    from millrace.operators import blocks
+
+    rows = [("f", i, ["M", None] if i % 700 == 3 else [str(i), "x"]) for i in range(3000)]
+    grid = spark.createDataFrame(rows, "source_file string, row_no bigint, cells array<string>")
+    numbered = blocks.number_blocks(grid, "m")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"row_no#\d+L? DESC", plan(numbered))
+    starts = [i for i in range(3000) if i % 700 == 3]
+    want = [(i, k + 1, i - a, e - a) for k, (a, e) in enumerate(zip(starts, [*starts[1:], 3000])) for i in range(a, e)]
+    assert sorted((r.row_no, r.block_id, r.block_row, r.block_size) for r in numbered.collect()) == want
+    spans = {(r.block_id, r._from, r._to) for r in blocks.expand_header(numbered, 1).collect()}
+    assert spans == {(k + 1, a, e - 1) for k, (a, e) in enumerate(zip(starts, [*starts[1:], 3000]))}
