@@ -444,6 +444,10 @@ def _alike_task(least: float):
 ORDER_TEXTS, ORDER_SHINGLES, ORDER_LEAST = 20_000, 1 << 16, 4
 #: Bits of the parities of a set: sets differ in at least as many shingles as their parities in bits.
 PARITIES = 1024
+#: Texts that share a shingle and are compared by sizes and places alone; rows of a shingle compared at a time.
+MET_FEW, MET_BLOCK = 64, 1 << 12
+#: Shingles before one by which texts are known to have met already.
+MET_BEFORE = 4
 
 
 def needed(sizes, least: float):
@@ -484,7 +488,7 @@ def _first_task(size: int, least: float, common: np.ndarray):
             sets = [shingle_hashes(t or b"", size) for (t,) in rows_of([batch], "text")]
             first = [first_shingles(h, least, common).view(np.int64) for h in sets]
             columns = [pa.array([len(h) for h in sets], pa.int32()), pa.array(first, pa.list_(pa.int64())), pa.array([parities(h) for h in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column("n"), *columns], ["n", "size", "first", "parities"])
+            yield pa.RecordBatch.from_arrays([batch.column("n"), batch.column("root"), *columns], ["n", "root", "size", "first", "parities"])
 
     return run
 
@@ -502,32 +506,65 @@ def candidates_apart(texts: DataFrame, nodes: DataFrame, least: float, size: int
     """Pairs (u, v) of texts that may have similarity ``least``, complete for texts whose roots differ.
 
     ``nodes`` has n and root of texts that differ.  Texts of that similarity share
-    one of their first shingles (prefix filter).  Pairs go only between groups, and
-    fall by their sizes, by the place of what they share, and by their parities.
+    one of their first shingles (prefix filter).  Pairs go only between groups, are
+    met at the first shingle that they share, and fall there by their sizes, by its
+    place and, where many texts share it, by their parities.
     """
-    texts = texts.join(nodes, "n", "left_semi")
-    first = texts.mapInArrow(_first_task(size, least, _common_shingles(texts, size)), "n bigint, size int, first array<bigint>, parities array<bigint>")
+    schema = "n bigint, root bigint, size int, first array<bigint>, parities array<bigint>"
+    first = texts.join(nodes, "n").mapInArrow(_first_task(size, least, _common_shingles(texts.join(nodes, "n", "left_semi"), size)), schema)
     first = stage(first, "first-shingles")
-    rows = first.select(F.posexplode("first").alias("at", "shingle"), "n", "size")
-    rows = rows.withColumn("met", F.count("*").over(Window.partitionBy("shingle"))).where("met > 1").drop("met")
-    rows = stage(stage(rows, "met").join(nodes, "n"), "met-roots")
-    roots = rows.select("shingle", "root").distinct()
-    apart = roots.withColumnRenamed("root", "root_u").join(roots.withColumnRenamed("root", "root_v"), "shingle").where("root_u < root_v")
-    for end in ("u", "v"):
-        own = rows.select("shingle", *(F.col(c).alias(f"{c}_{end}") for c in ("root", "n", "size", "at")))
-        apart = apart.join(own, ["shingle", f"root_{end}"])
+    rows = _met_apart(first)
+    met = (F.col("shingle_u") == F.col("shingle_v")) & (F.col("to") == F.col("block_v")) & (F.col("root_u") < F.col("root_v"))
     both = F.col("size_u") + F.col("size_v")
     shared = F.ceil(both * (least / (1 + least)) - 1e-9)
     likely = (F.least("size_u", "size_v") >= F.greatest("size_u", "size_v") * least - 1e-9) & (
         F.least(F.col("size_u") - F.col("at_u"), F.col("size_v") - F.col("at_v")) >= shared
     )
-    found = apart.where(likely).select(F.least("n_u", "n_v").alias("u"), F.greatest("n_u", "n_v").alias("v"), (both - 2 * shared).alias("most")).distinct()
+    differ = sum((F.bit_count(F.col("parities_u")[k].bitwiseXOR(F.col("parities_v")[k])) for k in range(PARITIES // 64)), F.lit(0))
+    near = F.coalesce(differ <= both - 2 * shared, F.lit(True))
+    own = lambda df, end: df.select(*(F.col(c) if c == "to" else F.col(c).alias(f"{c}_{end}") for c in df.columns))
+    apart = own(_to_blocks(rows), "u").join(own(rows, "v"), met & likely & near & ~F.arrays_overlap("before_u", "before_v"))
+    found = apart.select(F.least("n_u", "n_v").alias("u"), F.greatest("n_u", "n_v").alias("v"), (both - 2 * shared).alias("most")).distinct()
     found = stage(found, "apart")
     for end in ("u", "v"):
         found = found.join(first.select(F.col("n").alias(end), F.col("parities").alias(f"parities_{end}")), end)
-    differ = F.zip_with("parities_u", "parities_v", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    near = F.aggregate(differ, F.lit(0), lambda at, x: at + x) <= F.col("most")
-    return stage(found.where(near).select("u", "v"), "apart-candidates")
+    return stage(found.where(differ <= F.col("most")).select("u", "v"), "apart-candidates")
+
+
+def _met_apart(first: DataFrame) -> DataFrame:
+    """A row for each of the first shingles that texts of several groups have.
+
+    ``block`` numbers stretches of a shingle's rows in the order of their roots, ``before``
+    has the last few such shingles of the text before this one: texts that share one of
+    those have met there.  Rows of shingles that many texts have bring the parities.
+    """
+    rows = first.select("n", "root", F.posexplode("first").alias("at", "shingle"), "size")
+    alike = Window.partitionBy("shingle")
+    nth = F.row_number().over(alike.orderBy("root", "n")) - 1
+    rows = rows.withColumns({"met": F.count("*").over(alike), "low": F.min("root").over(alike), "high": F.max("root").over(alike)})
+    rows = rows.where("low < high").drop("low", "high").withColumn("block", F.floor(nth / MET_BLOCK))
+    earlier = Window.partitionBy("n").orderBy("at").rowsBetween(-MET_BEFORE, -1)
+    rows = rows.withColumn("before", F.collect_list("shingle").over(earlier))
+    many = F.when(F.col("met") > MET_FEW, F.col("parities")).alias("parities")
+    parities = first.select(F.col("n").alias("_n"), "parities")
+    return stage(rows.join(parities, F.col("n") == F.col("_n")).select(*rows.columns, many), "met").drop("met")
+
+
+def _to_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` once for every block ``to`` of their shingle that has larger roots than their own block's smallest.
+
+    A large group's blocks are not compared with each other, and no task gets more than two blocks at a time.
+    """
+    ends = rows.groupBy("shingle", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    several = stage(ends.withColumn("blocks", F.count("*").over(Window.partitionBy("shingle"))).where("blocks > 1"), "blocks")
+    if is_empty(several):
+        return rows.withColumn("to", F.lit(0).cast("bigint"))
+    of = several.select(F.col("shingle").alias("_shingle"), F.col("block").alias("_block"), F.col("low").alias("_low"))
+    pairs = of.join(several, F.expr("_shingle = shingle and _block <= block and high > _low"))
+    pairs = pairs.select("_shingle", "_block", F.col("block").alias("_to"))
+    one = rows.join(several.select(F.col("shingle").alias("_shingle")).distinct(), F.col("shingle") == F.col("_shingle"), "left_anti")
+    more = rows.join(pairs, F.expr("shingle = _shingle and block = _block")).select(*rows.columns, F.col("_to").alias("to"))
+    return one.withColumn("to", F.lit(0).cast("bigint")).unionByName(more)
 
 
 def similar_links(texts: DataFrame, prints: DataFrame, least: float = 0.8, size: int = 5, cell: int = COPY_CELL) -> DataFrame:

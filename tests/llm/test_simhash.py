@@ -209,6 +209,33 @@ def test_links_without_the_tries(spark, monkeypatch, texts):
     assert linked_groups([(r.u, r.v) for r in links.collect()], [i for i, _ in rows]) == similar_groups(rows, 5, 0.8)
 
 
+@pytest.mark.parametrize("block", [1 << 12, 16])
+def test_texts_beside_a_large_group_are_few_rows(spark, monkeypatch, block):
+    """Texts that share most of a large group's shingles: pairs too far apart are no rows, and none that is near is lost."""
+    counts = {}
+
+    def counted(df, label="stage", run=simhash_trie.stage):
+        out = run(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(simhash_trie, "stage", counted)
+    monkeypatch.setattr(simhash_trie, "MET_BLOCK", block, raising=False)
+    monkeypatch.setattr(simhash_trie, "MET_FEW", 8, raising=False)
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    rows = [(i, " ".join(edited(base, rng.randrange(0, 3), rng))) for i in range(300)]
+    rows += [(300 + i, " ".join(edited(base, 3 if i < 5 else 6, rng))) for i in range(60)]
+    sets = {i: simhash_trie.shingle_hashes(text.encode(), 5) for i, text in rows}
+    want = {(i, j) for i in sets for j in range(max(i + 1, 300), 360) if simhash_trie.jaccard(sets[i], sets[j]) >= 0.8}
+    frame = spark.createDataFrame(rows, "n bigint, row string").selectExpr("n", "cast(row as binary) as text")
+    nodes = spark.createDataFrame([(i, 0 if i < 300 else i) for i, _ in rows], "n bigint, root bigint")
+    found = simhash_trie.candidates_apart(frame, nodes, 0.8, 5).collect()
+    pairs = [(r.u, r.v) for r in found]
+    assert len(want) > 500 and want <= set(pairs) and len(pairs) == len(set(pairs))
+    assert counts["apart"] <= 2 * len(want)
+
+
 def linked_groups(links, keys):
     root = {k: k for k in keys}
 
