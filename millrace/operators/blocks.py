@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.casts import strip
+from millrace.session import stage
 
 CHUNK_ROWS = 50_000
 # Rows whose block starts are looked up together.
@@ -179,17 +180,18 @@ def expand_header(
     def at(row: int, value: Column) -> Column:
         return F.max(F.when(F.col("block_row") == row, value))
 
-    if "block_size" in grid.columns:  # the range follows from any row, so that only the special ones are gathered
-        first = F.col("row_no") - F.col("block_row")
-        rows = grid.where(F.col("block_row").isin(header_row, header_row + 1) if shift_label else F.col("block_row") == header_row)
-        span = [F.min(first).alias("_from"), F.max(first + F.col("block_size") - 1).alias("_to")]
-    else:
-        rows, span = grid, [F.min("row_no").alias("_from"), F.max("row_no").alias("_to")]
+    # Only the special rows are gathered: arrays of cells make Spark order all rows that it aggregates.
+    rows = grid.where(F.col("block_row").isin(header_row, header_row + 1) if shift_label else F.col("block_row") == header_row)
+    sized = "block_size" in grid.columns
+    first = F.col("row_no") - F.col("block_row")
     header = rows.groupBy(*BLOCK).agg(
         at(header_row, cells).alias("_header"),
         (at(header_row + 1, F.col("_fields")) if shift_label else F.lit(None)).alias("_first"),
-        *span,
+        # With sizes the range follows from any row.
+        *([F.min(first).alias("_from"), F.max(first + F.col("block_size") - 1).alias("_to")] if sized else []),
     )
+    if not sized:
+        header = header.join(grid.groupBy(*BLOCK).agg(F.min("row_no").alias("_from"), F.max("row_no").alias("_to")), BLOCK)
     header = header.where(F.col("_header").isNotNull()).select(
         *BLOCK, *_header_of(F.col("_header")), "_first", "_from", "_to"
     )
@@ -302,6 +304,8 @@ def promote_header(
             "metrics", F.coalesce("metrics", F.create_map().cast("map<string,string>"))
         )
     with_metrics = "metrics" in lookup.columns
+    if columns is None:  # the headers are read for their names, and then meet the rows
+        lookup = stage(lookup, "headers")
     wanted = list(columns) if columns is not None else discover_columns(lookup, with_metrics)
 
     want = F.array(*[F.lit(n) for n in wanted]) if wanted else F.array().cast("array<string>")

@@ -133,7 +133,8 @@ class SilverTable:
             compared = compare_versions(before, fresh, keys, policy).observe(outcome, *outcome_counts())
             rows = versions(compared).withColumn(_BUCKET, _bucket(keys, buckets))
         folder = uuid4().hex[:12]
-        placed = rows.withColumn(_FOLDER, F.lit(folder)).repartition(_BUCKET)
+        # A task holds one bucket, whatever their number; by a hash of the bucket some would hold several.
+        placed = rows.withColumn(_FOLDER, F.lit(folder)).repartitionById(buckets, _BUCKET)
         placed.write.mode("append").partitionBy(CURRENT, _FOLDER, _BUCKET).parquet(f"{self.root}/rows")
         if commit is not None:
             counts = {c: outcome.get[c] for c in ("inserted", "replaced", "skipped")}

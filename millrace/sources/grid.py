@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from millrace.session import stage
+
 GRID = ["source_file", "row_no", "cells"]
 
 # Rows per part of a file in every two-level step; bounds one task's group.
@@ -77,24 +79,21 @@ def data_width(spark: SparkSession, paths: str | Sequence[str], delimiter: str =
     return (row.most or 0) * (2 if row.open else 1) + 1
 
 
-def _number_rows(raw: DataFrame, multiline: bool) -> DataFrame:
-    """Dense row numbers without ever ordering a whole file in one task.
+def _number_rows(raw: DataFrame) -> DataFrame:
+    """Dense row numbers without any order of the rows.
 
-    Rows of one input split keep their order through ``_order``.  A multi-line
-    file is a single split; otherwise the row counts of earlier splits are
-    summed (one record per split) and added.
+    The rows are written once, with the scan's running number: those of one
+    split (a multi-line file is a single one) follow each other in it.  A row's
+    place is that number, less its split's first, plus the row counts of the
+    file's earlier splits, which come from one record per split.  Written rows
+    keep their splits and numbers, which a second scan need not give again.
     """
-    within = F.row_number().over(Window.partitionBy("_path", "_split").orderBy("_order")) - 1
-    numbered = raw.withColumn("row_no", within.cast("long"))
-    if multiline:
-        return numbered
+    rows = stage(raw, "rows")
     before = Window.partitionBy("_path").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        raw.groupBy("_path", "_split")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_path", "_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    return numbered.join(offsets, ["_path", "_split"]).withColumn("row_no", F.col("row_no") + F.col("_offset"))
+    splits = rows.groupBy("_path", "_split").agg(F.min("_order").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    shift = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    shifts = stage(splits.select("_path", "_split", shift.alias("_shift")), "splits")
+    return rows.join(shifts, ["_path", "_split"]).withColumn("row_no", F.col("_order") + F.col("_shift"))
 
 
 def fixed_grid(
@@ -114,12 +113,12 @@ def fixed_grid(
     file per task, which suits many small reports; ``multiline=False`` splits
     large files.  ``long_rows`` is ``"error"``, ``"drop"`` or ``"keep"``: what
     lies past the width is then one more cell, which the header row must not
-    have.
+    have.  The files are parsed once, when the grid is made.
     """
     if long_rows not in ("error", "drop", "keep"):
         raise ValueError("long_rows must be 'error', 'drop' or 'keep'")
     width = data_width(spark, paths, delimiter) if width is None else width
-    grid = _number_rows(_scan(spark, paths, width, delimiter, multiline, lineage), multiline)
+    grid = _number_rows(_scan(spark, paths, width, delimiter, multiline, lineage))
     if long_rows == "drop":
         grid = grid.where(F.col("_spare").isNull())
     else:

@@ -12,6 +12,8 @@ from millrace.sources.grid import fixed_grid, ragged_grid
 from millrace.workload.tables import table, text
 
 ROWS_PER_FILE = 5_000
+# Files that a task writes one after another; bounds the rows that it orders.
+FILES_PER_TASK = 8
 
 
 def write_reports(df: DataFrame, key: str, line: Column, top: tuple[str, ...] = (), label: str = "inbox") -> str:
@@ -24,7 +26,7 @@ def write_reports(df: DataFrame, key: str, line: Column, top: tuple[str, ...] =
         head = heads.select("delivery", F.lit(n - len(top)).cast("long").alias("_at"), F.lit(content).alias("value"))
         lines = lines.unionByName(head)
     (
-        lines.repartition("delivery")
+        lines.repartition(max(1, -(-heads.count() // FILES_PER_TASK)), "delivery")
         .sortWithinPartitions("delivery", "_at")
         .select("delivery", "value")
         .write.partitionBy("delivery")

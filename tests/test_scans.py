@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from millrace.operators.blocks import expand_header, whole_file
 from millrace.operators.upsert import align_types, alignment_loss
 from millrace.sinks.bronze import write_bronze
 from millrace.sources.delimited import scan_by_name, scan_delimited, scan_header_shift, scan_skip_bad_rows
@@ -140,3 +142,26 @@ def test_business_days_against_numpy(spark):
         assert [r.offset_at for r in got] == (want if some is rows else [None] * 5)
     none = business_day_offset(spark.createDataFrame(rows, "d date, n bigint"), "d", "n", holidays.limit(0)).collect()
     assert [r.offset_at for r in none] == [np.busday_offset(d, n, roll="backward" if n > 0 else "forward").astype(object) for d, n in rows]
+
+
+def test_scanned_rows_are_never_ordered(spark, folder):
+    """Row numbers and headers of whole files come to the rows without an order of them, whatever files a task reads."""
+    for n in range(12):
+        names = ["a", "b"] if n % 2 else ["b", "a", "c"]
+        csv(folder, f"{n:02}.csv", names, *[[f"{x}{n}-{i}" for x in names] for i in range(n)])
+    out = scan_by_name(spark, str(folder))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+    want = [(f"{n:02}.csv", f"a{n}-{i}", f"b{n}-{i}", None if n % 2 else f"c{n}-{i}") for n in range(12) for i in range(n)]
+    assert sorted((r.source_file, r.a, r.b, r.c) for r in out.collect()) == sorted(want)
+
+
+def test_headers_are_taken_from_their_own_rows(spark):
+    grid = spark.createDataFrame(
+        [("f", 0, ["a", "b"], 2), ("f", 1, ["1", "2", "3"], 3), ("f", 2, ["4"], 1), ("g", 0, ["c"], 1)],
+        "source_file string, row_no long, cells array<string>, _fields int",
+    )
+    found = expand_header(whole_file(grid), 0, shift_label="l")
+    assert re.search(r"Filter .*row_no#\d+L (= 0|IN \(0,1\))", found._jdf.queryExecution().optimizedPlan().toString())
+    got = sorted((r.source_file, r.names, r.positions, r.header_size, r._from, r._to) for r in found.collect())
+    assert got == [("f", ["l", "a", "b"], [0, 1, 2], 3, 0, 2), ("g", ["c"], [0], 1, 0, 0)]

@@ -376,3 +376,12 @@ def test_workspace_needs_a_shared_folder_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.workspace(Fake())
+
+
+def test_a_task_writes_one_bucket(spark, folder):
+    """Else the rows of a task grow with the table: tasks of a hash of the bucket would hold several buckets."""
+    table = SilverTable(spark, str(folder), SPEC, bucket_rows=5)
+    table.upsert(frame(spark, [(str(i), i, 0) for i in range(100)]), "1")
+    written = [p for p in (folder / "rows").rglob("part-*.parquet")]
+    assert len({p.name.split("-")[1] for p in written}) == len({p.parent for p in written}) == len(table.directory())
+    assert state(table.read()) == sorted((str(i), i, True) for i in range(100))
