@@ -26,8 +26,10 @@ id and the text are ignored, and kept by ``keep_first``.
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 from uuid import uuid4
 
@@ -49,6 +51,8 @@ Budget = int | tuple[tuple[int, int], ...]
 CELL = 1 << 14
 #: Node pairs that a task walks at a time.
 FRONT = 1 << 16
+#: Levels that Spark descends before it turns to blocks of bits: below so many, a fingerprint goes to more pairs than there are blocks.
+MOST_LEVELS = 2
 
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
@@ -241,12 +245,15 @@ def links_of_forest(values: np.ndarray, cut: int | None, budget: Budget) -> Iter
 
 
 def _finish_links(budget: Budget):
+    bits, _, wide = _blocks(budget)
+
     def cell(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        word, depth, first, second = key
+        word, *turn, depth, first, second = key
         values = np.sort(rows["fp"].to_numpy().view(np.uint64))
         cut = None if first == second else int(np.searchsorted(values, np.uint64(second << (BITS - depth))))
         found = list(links_of_forest(values, cut, budget))
         u, v = (np.concatenate([np.empty(0, np.int64), *(p[k] for p in found)]).astype(np.int64) for k in (0, 1))
+        values = _turn(values, -sum(turn) * wide, bits)
         return pd.DataFrame({"word": np.full(len(u), word, np.int32), "u": values[u].view(np.int64), "v": values[v].view(np.int64)})
 
     return cell
@@ -270,28 +277,61 @@ def _descend(rows: DataFrame, levels: int, budget: int) -> DataFrame:
     return out.select(*others, "fp", deeper, F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
 
 
-def _cells(prints: DataFrame, budget: Budget, cell: int) -> tuple[DataFrame, list[str]]:
+def _blocks(budget: Budget) -> tuple[int, int, int]:
+    """Leading bits, into how many blocks they are cut, and a block's bits: what is within the budget agrees in one."""
+    bits, most = _steps(budget)[0]
+    return bits, most + 1, bits // (most + 1)
+
+
+def _turn(values: np.ndarray, by: int, bits: int) -> np.ndarray:
+    """Fingerprints with their leading ``bits`` turned left."""
+    if not by % bits:
+        return values
+    by, rest, ones = np.uint64(by % bits), np.uint64(BITS - bits), np.uint64((1 << bits) - 1)
+    head = values >> rest
+    head = ((head << by) | (head >> (np.uint64(bits) - by))) & ones
+    return (head << rest) | (values & ((np.uint64(1) << rest) - np.uint64(1)))
+
+
+def _turns(prints: DataFrame, budget: Budget) -> DataFrame:
+    """Every fingerprint once for each block of leading bits, turned so that the block comes first."""
+    bits, blocks, wide = _blocks(budget)
+
+    def turned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column("fp").to_numpy().view(np.uint64)
+            for turn in range(blocks):
+                columns = [pa.array(_turn(values, turn * wide, bits).view(np.int64)), pa.array(np.full(len(values), turn, np.int32))]
+                yield pa.RecordBatch.from_arrays([batch.column("word"), *columns], ["word", "fp", "turn"])
+
+    return prints.select("word", "fp").mapInArrow(turned, "word int, fp bigint, turn int")
+
+
+def _cells(prints: DataFrame, budget: Budget, cell: int, turned: bool = False) -> tuple[DataFrame, list[str]]:
     """Rows (fp, node pair) of pairs small enough for a task, and the columns that name a pair.
 
     ``prints`` has distinct fp; with a column ``word`` every word is a trie of its own.
+    ``turned`` allows for tries of turned fingerprints (:func:`_turns`; ``turn`` says by how much) instead of so many
+    levels that a fingerprint would go to more pairs than that.
     """
     words = ["word"] if "word" in prints.columns else []
     count = prints.groupBy(*words).count().agg(F.max("count")).first()[0] or 0
-    rows = prints.select(*words, "fp", F.lit(0).alias("depth"), F.lit(0).cast("bigint").alias("a"), F.lit(0).cast("bigint").alias("b"))
     left, depth = math.ceil(math.log2(max(1, count / cell))), 0
+    if turned and left > MOST_LEVELS:
+        left, depth, prints, words = 0, min(left, _blocks(budget)[2]), _turns(prints, budget), [*words, "turn"]
+    node = F.expr(f"shiftrightunsigned(shiftrightunsigned(fp, 1), 63 - {depth})")
+    rows = prints.select(*words, "fp", F.lit(depth).alias("depth"), node.alias("a"), node.alias("b"))
     while left > 0:
         rows, depth, left = _descend(rows, min(left, 6), _at_depth(budget, depth + min(left, 6))), depth + min(left, 6), left - 6
-    key = [*words, "depth", "a", "b"]
+    key, settled = [*words, "depth", "a", "b"], []
     while True:
         large = rows.groupBy(*key).agg(F.count("*").alias("n")).where(f"n > {4 * cell} and depth < 62")
         large = stage(large.select(*[F.col(k).alias(f"_{k}") for k in key]), "large-cells")
         if is_empty(large):
-            return rows, key
+            return reduce(DataFrame.unionByName, settled, rows), key
         same = F.expr(" and ".join(f"{k} = _{k}" for k in key))
-        marked = rows.join(large, same, "left")
-        marked = stage(marked.select("fp", *key, F.col("_a").isNotNull().alias("large")), "cells")
-        below, depth = _descend(marked.where("large").drop("large"), 2, _at_depth(budget, depth + 2)), depth + 2
-        rows = marked.where("not large").drop("large").unionByName(below)
+        settled.append(rows.join(large, same, "left_anti"))
+        rows, depth = _descend(stage(rows.join(large, same, "left_semi"), "cells"), 2, _at_depth(budget, depth + 2)), depth + 2
 
 
 def near_links(prints: DataFrame, budget: int = 2, cell: int = CELL) -> DataFrame:
@@ -441,8 +481,10 @@ def _alike_task(least: float):
 # What the tries leave out ---------------------------------------------------
 
 #: Texts whose shingles give the order of all: it says how much is compared, never what is found.
-ORDER_TEXTS, ORDER_SHINGLES, ORDER_LEAST = 20_000, 1 << 16, 4
-#: Bits of the parities of a set: sets differ in at least as many shingles as their parities in bits.
+#: One text in ``ORDER_SHARE``, but ``ORDER_TEXTS`` at least: a shingle counted fewer than ``ORDER_LEAST`` times is then in
+#: some tens of texts, however many there are.
+ORDER_TEXTS, ORDER_SHARE, ORDER_SHINGLES, ORDER_LEAST = 20_000, 10, 1 << 18, 4
+#: Bits, at least, of the parities of a set: sets differ in at least as many shingles as their parities in bits.
 PARITIES = 1024
 #: Texts that share a shingle and are compared by sizes and places alone; rows of a shingle compared at a time.
 MET_FEW, MET_BLOCK = 64, 1 << 12
@@ -469,10 +511,54 @@ def first_shingles(hashes: np.ndarray, least: float, common: np.ndarray) -> np.n
 
 
 def parities(hashes: np.ndarray) -> np.ndarray:
-    odd = np.bincount((hashes % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    """Of as many classes of hashes as the set is large (a power of two): fewer are odd by chance in any large set."""
+    bits = max(PARITIES, 1 << len(hashes).bit_length())
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def possible(sizes: tuple[int, int], odd: tuple[np.ndarray, np.ndarray], least: float) -> bool:
+    """Whether sets of these sizes and parities may have similarity ``least``; false only if they cannot."""
+    if min(sizes) < max(sizes) * least - 1e-9:
+        return False
+    wide = min(map(len, odd))
+    u, v = (np.bitwise_xor.reduce(x.reshape(-1, wide), axis=0) for x in odd)
+    both = sum(sizes)
+    return int(np.bitwise_count((u ^ v).view(np.uint64)).sum()) <= both - 2 * math.ceil(both * (least / (1 + least)) - 1e-9)
+
+
+def _parities_task(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_hashes(t or b"", size) for (t,) in rows_of([batch], "text")]
+            columns = [pa.array([len(h) for h in sets], pa.int32()), pa.array([parities(h) for h in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("n"), *columns], ["n", "size", "parities"])
+
+    return run
+
+
+def _possible_task(least: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            odd = []
+            for end in ("u", "v"):
+                lists = batch.column(f"parities_{end}")
+                odd.append(np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1]))
+            sizes = rows_of([batch], "size_u", "size_v")
+            keep = [possible(pair, both, least) for pair, both in zip(sizes, zip(*odd))]
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v")], ["u", "v"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Those of ``pairs`` that sizes and parities (``sketches``: n, size, parities) do not rule out; their sets need not travel."""
+    for end in ("u", "v"):
+        own = sketches.select(F.col("n").alias(end), F.col("size").alias(f"size_{end}"), F.col("parities").alias(f"parities_{end}"))
+        pairs = pairs.join(own, end)
+    return pairs.mapInArrow(_possible_task(least), "u bigint, v bigint")
+
+
 def _shingles_task(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -495,7 +581,7 @@ def _first_task(size: int, least: float, common: np.ndarray):
 
 def _common_shingles(texts: DataFrame, size: int) -> np.ndarray:
     """Sorted hashes of the commonest shingles of some texts."""
-    every = max(1, texts.count() // ORDER_TEXTS)
+    every = min(ORDER_SHARE, max(1, texts.count() // ORDER_TEXTS))
     some = texts.where(F.pmod(F.xxhash64("n"), F.lit(every)) == 0).select("text")
     counted = some.mapInArrow(_shingles_task(size), "shingle bigint").groupBy("shingle").agg(F.count("*").alias("c"))
     top = counted.where(F.col("c") >= ORDER_LEAST).orderBy(F.desc("c"), "shingle").limit(ORDER_SHINGLES).toArrow()
@@ -513,22 +599,34 @@ def candidates_apart(texts: DataFrame, nodes: DataFrame, least: float, size: int
     schema = "n bigint, root bigint, size int, first array<bigint>, parities array<bigint>"
     first = texts.join(nodes, "n").mapInArrow(_first_task(size, least, _common_shingles(texts.join(nodes, "n", "left_semi"), size)), schema)
     first = stage(first, "first-shingles")
+    _let_go(first)
     rows = _met_apart(first)
-    met = (F.col("shingle_u") == F.col("shingle_v")) & (F.col("to") == F.col("block_v")) & (F.col("root_u") < F.col("root_v"))
+    _let_go(rows)
+    met = (F.col("shingle_u") == F.col("shingle_v")) & (F.col("root_u") < F.col("root_v"))
     both = F.col("size_u") + F.col("size_v")
     shared = F.ceil(both * (least / (1 + least)) - 1e-9)
     likely = (F.least("size_u", "size_v") >= F.greatest("size_u", "size_v") * least - 1e-9) & (
         F.least(F.col("size_u") - F.col("at_u"), F.col("size_v") - F.col("at_v")) >= shared
     )
+    # Of the two runs of first shingles one ends before the other: up to there no more are shared than are left of either.
+    behind = F.ceil(F.greatest("size_u", "size_v") * least - 1e-9) - 1
+    likely &= F.least("left_u", "left_v") + behind >= shared
     differ = sum((F.bit_count(F.col("parities_u")[k].bitwiseXOR(F.col("parities_v")[k])) for k in range(PARITIES // 64)), F.lit(0))
     near = F.coalesce(differ <= both - 2 * shared, F.lit(True))
-    own = lambda df, end: df.select(*(F.col(c) if c == "to" else F.col(c).alias(f"{c}_{end}") for c in df.columns))
-    apart = own(_to_blocks(rows), "u").join(own(rows, "v"), met & likely & near & ~F.arrays_overlap("before_u", "before_v"))
-    found = apart.select(F.least("n_u", "n_v").alias("u"), F.greatest("n_u", "n_v").alias("v"), (both - 2 * shared).alias("most")).distinct()
-    found = stage(found, "apart")
-    for end in ("u", "v"):
-        found = found.join(first.select(F.col("n").alias(end), F.col("parities").alias(f"parities_{end}")), end)
-    return stage(found.where(differ <= F.col("most")).select("u", "v"), "apart-candidates")
+    own = lambda df, end: df.select(*(F.col(c).alias(f"{c}_{end}") for c in df.columns))
+    likely = met & likely & near & ~F.arrays_overlap("before_u", "before_v")
+    one, more, blocks = _to_blocks(rows)
+    apart = own(one, "u").join(own(one, "v"), likely)  # both sides are dealt once
+    if more is not None:
+        apart = apart.unionByName(own(more, "u").join(own(blocks, "v"), likely & (F.col("to_u") == F.col("block_v"))).select(*apart.columns))
+    found = stage(apart.select(F.least("n_u", "n_v").alias("u"), F.greatest("n_u", "n_v").alias("v")).distinct(), "apart")
+    return stage(_possible(found, first, least), "apart-candidates")
+
+
+def _folded(odd: Column, k: Column) -> Column:
+    """The k-th 64 of the ``PARITIES`` bits that longer parities come to."""
+    each = F.sequence(k, F.size(odd) - 1, F.lit(PARITIES // 64))
+    return F.aggregate(each, F.lit(0).cast("bigint"), lambda at, j: at.bitwiseXOR(odd[j]))
 
 
 def _met_apart(first: DataFrame) -> DataFrame:
@@ -536,35 +634,38 @@ def _met_apart(first: DataFrame) -> DataFrame:
 
     ``block`` numbers stretches of a shingle's rows in the order of their roots, ``before``
     has the last few such shingles of the text before this one: texts that share one of
-    those have met there.  Rows of shingles that many texts have bring the parities.
+    those have met there; ``left`` counts them from this one on.  Rows of shingles that many texts have bring the parities.
     """
-    rows = first.select("n", "root", F.posexplode("first").alias("at", "shingle"), "size")
+    rows = first.select("n", "root", F.posexplode("first").alias("at", "shingle"))
     alike = Window.partitionBy("shingle")
     nth = F.row_number().over(alike.orderBy("root", "n")) - 1
     rows = rows.withColumns({"met": F.count("*").over(alike), "low": F.min("root").over(alike), "high": F.max("root").over(alike)})
     rows = rows.where("low < high").drop("low", "high").withColumn("block", F.floor(nth / MET_BLOCK))
     earlier = Window.partitionBy("n").orderBy("at").rowsBetween(-MET_BEFORE, -1)
     rows = rows.withColumn("before", F.collect_list("shingle").over(earlier))
-    many = F.when(F.col("met") > MET_FEW, F.col("parities")).alias("parities")
-    parities = first.select(F.col("n").alias("_n"), "parities")
-    return stage(rows.join(parities, F.col("n") == F.col("_n")).select(*rows.columns, many), "met").drop("met")
+    passed = F.row_number().over(Window.partitionBy("n").orderBy("at")) - 1
+    rows = rows.withColumn("left", F.count("*").over(Window.partitionBy("n")) - passed)
+    some = F.transform(F.sequence(F.lit(0), F.lit(PARITIES // 64 - 1)), lambda k: _folded(F.col("parities"), k))
+    many = F.when(F.col("met") > MET_FEW, some).alias("parities")
+    of = first.select(F.col("n").alias("_n"), "size", "parities")
+    return stage(rows.join(of, F.col("n") == F.col("_n")).select(*rows.columns, "size", many), "met").drop("met")
 
 
-def _to_blocks(rows: DataFrame) -> DataFrame:
-    """``rows`` once for every block ``to`` of their shingle that has larger roots than their own block's smallest.
+def _to_blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """``rows`` of shingles with one block; those of the others, once for every block ``to`` that has larger roots than their own block's smallest, and once.
 
     A large group's blocks are not compared with each other, and no task gets more than two blocks at a time.
     """
     ends = rows.groupBy("shingle", "block").agg(F.min("root").alias("low"), F.max("root").alias("high"))
     several = stage(ends.withColumn("blocks", F.count("*").over(Window.partitionBy("shingle"))).where("blocks > 1"), "blocks")
     if is_empty(several):
-        return rows.withColumn("to", F.lit(0).cast("bigint"))
+        return rows, None, None
     of = several.select(F.col("shingle").alias("_shingle"), F.col("block").alias("_block"), F.col("low").alias("_low"))
     pairs = of.join(several, F.expr("_shingle = shingle and _block <= block and high > _low"))
     pairs = pairs.select("_shingle", "_block", F.col("block").alias("_to"))
-    one = rows.join(several.select(F.col("shingle").alias("_shingle")).distinct(), F.col("shingle") == F.col("_shingle"), "left_anti")
+    large, same = several.select(F.col("shingle").alias("_shingle")).distinct(), F.col("shingle") == F.col("_shingle")
     more = rows.join(pairs, F.expr("shingle = _shingle and block = _block")).select(*rows.columns, F.col("_to").alias("to"))
-    return one.withColumn("to", F.lit(0).cast("bigint")).unionByName(more)
+    return rows.join(large, same, "left_anti"), more, rows.join(large, same, "left_semi")
 
 
 def similar_links(texts: DataFrame, prints: DataFrame, least: float = 0.8, size: int = 5, cell: int = COPY_CELL) -> DataFrame:
@@ -587,13 +688,17 @@ def _trie_links(texts: DataFrame, prints: DataFrame, least: float, size: int, ce
     nodes = prints.select("n", F.posexplode("prints").alias("word", "fp"))
     nodes = stage(nodes, "nodes")
     distinct = stage(nodes.groupBy("word", "fp").agg(F.min("n").alias("first")), "distinct-prints")
-    rows, key = _cells(distinct.select("word", "fp"), COPY_BUDGET, cell)
+    rows, key = _cells(distinct.select("word", "fp"), COPY_BUDGET, cell, turned=True)
     found = rows.groupBy(*key).applyInPandas(_finish_links(COPY_BUDGET), "word int, u bigint, v bigint")
     numbered = lambda end: distinct.select(F.col("word"), F.col("fp").alias(end), F.col("first").alias(f"n_{end}"))
     found = found.join(numbered("u"), ["word", "u"]).join(numbered("v"), ["word", "v"]).select("n_u", "n_v")
     same = nodes.join(distinct, ["word", "fp"]).where("n <> first").select(F.col("first").alias("n_u"), F.col("n").alias("n_v"))
     pairs = found.union(same).select(F.least("n_u", "n_v").alias("u"), F.greatest("n_u", "n_v").alias("v")).distinct()
     pairs = stage(pairs, "candidates")
+    _let_go(pairs)
+    ends = pairs.select(F.explode(F.array("u", "v")).alias("n")).distinct()
+    sketches = texts.join(ends, "n", "left_semi").mapInArrow(_parities_task(size), "n bigint, size int, parities array<bigint>")
+    pairs = stage(_possible(pairs, stage(sketches, "parities"), least), "possible")
 
     def alike(some: DataFrame) -> DataFrame:
         ends = some.select(F.explode(F.array("u", "v")).alias("n")).distinct()
@@ -627,10 +732,17 @@ def _bucketed(df: DataFrame, key: str) -> DataFrame:
     """``df`` written in buckets of ``key``, so that joins on it move the other side alone."""
     spark, name = df.sparkSession, f"bucketed_{uuid4().hex[:12]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartition(n, key).write.bucketBy(n, key).option("path", workspace(spark, "bucketed")).saveAsTable(name)
+    packed = df.repartition(n, key).write.bucketBy(n, key).option("compression", "zstd")
+    packed.option("path", workspace(spark, "bucketed")).saveAsTable(name)
     return spark.table(name)
 
 
+def _let_go(df: DataFrame) -> None:
+    """Collects the driver's garbage: the files of shuffles that nothing needs any more stay on disk until then."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def keep_first_similar(docs: DataFrame, least: float = 0.8, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest id, null ids last.
 
@@ -641,6 +753,7 @@ def keep_first_similar(docs: DataFrame, least: float = 0.8, size: int = 5, doc_i
     """
     small_batches(docs.sparkSession)
     held = _bucketed(pack(docs, n=F.monotonically_increasing_id()), "n")
+    _let_go(held)
     texts = held.select("n", named("doc").getField(doc_id).cast("bigint").alias("id"), named("doc").getField(text).cast("binary").alias("text"))
     rows = stage(texts.mapInArrow(_prints_task(size), "n bigint, id bigint, text_key binary, prints array<bigint>"), "fingerprints")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_key", "n")

@@ -236,6 +236,64 @@ def test_texts_beside_a_large_group_are_few_rows(spark, monkeypatch, block):
     assert counts["apart"] <= 2 * len(want)
 
 
+def test_long_texts_that_share_a_passage_are_no_candidates(spark, monkeypatch):
+    """Texts of 2,800 words that share 60 % or 25 % of them: pairs are too many to compare by their sets, and none of the near ones is lost."""
+    counts = {}
+
+    def counted(df, label="stage", run=simhash_trie.stage):
+        out = run(df, label)
+        counts[label] = out.count()
+        return out
+
+    monkeypatch.setattr(simhash_trie, "stage", counted)
+    monkeypatch.setattr(simhash_trie, "ORDER_LEAST", 10**6)  # among very many texts the passages would not be common
+    rng = random.Random(17)
+    fresh = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    texts = [passage + fresh(2800 - len(passage)) for passage in (fresh(1680), fresh(700)) for _ in range(24)]
+    texts += [edited(texts[k][: 2800 - 20 * k], 30, rng) for k in range(8)] + [edited(texts[40], 600, rng), fresh(900)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    sets = {i: simhash_trie.shingle_hashes(text.encode(), 5) for i, text in rows}
+    want = {(i, j) for i in sets for j in sets if i < j and simhash_trie.jaccard(sets[i], sets[j]) >= 0.8}
+    frame = spark.createDataFrame(rows, "n bigint, row string").selectExpr("n", "cast(row as binary) as text")
+    found = simhash_trie.candidates_apart(frame, frame.selectExpr("n", "n as root"), 0.8, 5).collect()
+    pairs = {(r.u, r.v) for r in found}
+    assert len(want) >= 5 and want <= pairs and len(pairs) <= len(want) + 8
+    assert counts["apart"] <= 32 * 31 // 2 + 8  # those that share a quarter are not even met
+
+
+def test_parities_rule_out_no_near_pair():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 4, 40, 900, 1100, 3000, 9000):
+        own = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+        for out in {0, 1, size // 10, size // 9, size // 5, size}:
+            other = np.unique(np.concatenate([own[out:], rng.integers(0, 2**64, min(out, size // 9), dtype=np.uint64)]))
+            may = simhash_trie.possible((len(own), len(other)), (simhash_trie.parities(own), simhash_trie.parities(other)), 0.8)
+            assert may or simhash_trie.jaccard(own, other) < 0.8
+            assert not may or not size or out < size
+
+
+def test_a_fingerprint_goes_to_few_cells(spark):
+    """Whatever their number: blocks of bits in turn in front, instead of every partner of many levels."""
+    budget = simhash_trie.COPY_BUDGET
+    rng = random.Random(23)
+    values = {rng.getrandbits(64) for _ in range(600)}
+    for v in list(values)[:200]:
+        for bit in rng.sample(range(32), 6) + rng.sample(range(32, 64), 3):
+            v ^= 1 << bit
+        values.add(v)
+    values = np.array(sorted(values), np.uint64)
+    prints = spark.createDataFrame([(w, v) for w in (0, 1) for v in values.view(np.int64).tolist()], "word int, fp bigint")
+    rows, key = simhash_trie._cells(prints, budget, 8, turned=True)
+    assert rows.count() <= 4.5 * prints.count()
+    found = rows.groupBy(*key).applyInPandas(simhash_trie._finish_links(budget), "word int, u bigint, v bigint").collect()
+    near = lambda x: (x >> 32).bit_count() <= 3 and x.bit_count() <= 12
+    plain = values.tolist()
+    links = {(u, v) for k, u in enumerate(plain) for v in plain[k + 1 :] if near(u ^ v)}
+    for word in (0, 1):
+        got = {tuple(sorted((r.u % 2**64, r.v % 2**64))) for r in found if r.word == word}
+        assert got <= links and linked_groups(got, plain) == linked_groups(links, plain) and len(links) >= 200
+
+
 def linked_groups(links, keys):
     root = {k: k for k in keys}
 
